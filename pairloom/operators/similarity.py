@@ -22,6 +22,7 @@ SCAN_QUERIES = 1024      # up to this many queries are sent to the docs instead
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 64
+CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>"
 BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle bound
 
 
@@ -200,7 +201,7 @@ def _scan(queries: pa.Table, id_type: T.DataType, docs: DataFrame, k: int, floor
         qn = _lengths(q)
         held: pa.Table | None = None
         for batch in batches:
-            for start in range(0, batch.num_rows, SCAN_SLICE):
+            for start in range(0, batch.num_rows if queries.num_rows else 0, SCAN_SLICE):
                 part = pa.Table.from_batches([batch.slice(start, SCAN_SLICE)])
                 part = part.take(pc.sort_indices(part["doc_id"]))
                 d = _matrix(part["doc_vec"])
@@ -311,6 +312,26 @@ def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.nd
                        {s["_list"]: s["r"] for s in stats})
 
 
+def save_index(index: VectorIndex, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Store an index: docs in one folder per list, large lists in several files, and one row per centroid."""
+    spark = index.docs.sparkSession
+    files = [(c, -(-n // rows_per_file)) for c, n in index.sizes.items()]
+    fans = F.broadcast(spark.createDataFrame(files, "_list int, _files int"))  # at most MAX_CENTROIDS rows
+    placed = index.docs.join(fans, "_list").withColumn("_file", F.pmod(F.xxhash64("doc_id"), "_files"))
+    placed.repartition("_list", "_file").drop("_files", "_file").write.partitionBy("_list").parquet(f"{path}/docs")
+    centroids = [(c, index.sizes.get(c, 0), index.radius.get(c), [float(x) for x in row])
+                 for c, row in enumerate(index.centroids)]
+    spark.createDataFrame(centroids, CENTROID_SCHEMA).write.parquet(f"{path}/centroids")
+
+
+def load_index(spark, path: str) -> VectorIndex:
+    """A stored index; a search reads only the folders of the lists it probes."""
+    rows = spark.read.parquet(f"{path}/centroids").orderBy("list").collect()
+    filled = [r for r in rows if r["n"]]
+    return VectorIndex(spark.read.parquet(f"{path}/docs"), np.array([r["centroid"] for r in rows]),
+                       {r["list"]: r["n"] for r in filled}, {r["list"]: r["radius"] for r in filled})
+
+
 def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
     """One row per query and list that ``choose(cosines, bounds)`` selects."""
     centroids = index.centroids
@@ -349,7 +370,7 @@ def _listed_cells(routed: DataFrame, index: VectorIndex, k: int, floor: float |
         .withColumn("_cell", _cell("_list", "_qb", "_db")).drop("_list", "_qn", "_dn", "_qb", "_db")
     )
     d = (
-        index.docs.join(fans, "_list")
+        index.docs.where(F.col("_list").isin([c for c, _, _ in plan])).join(fans, "_list")
         .withColumn("_db", F.pmod(F.xxhash64("doc_id"), "_dn"))
         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1)))
         .withColumn("_cell", _cell("_list", "_qb", "_db")).drop("_list", "_qn", "_dn", "_qb", "_db")

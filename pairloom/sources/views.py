@@ -75,7 +75,12 @@ class FeatureView:
 
     def conform(self, df: DataFrame) -> DataFrame:
         """The declared columns with the declared types, as a view stores and serves them."""
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        return df.select(*[F.col(f.name).cast(_nullable(f.dataType)).alias(f.name) for f in self.schema])
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type to cast to: a cast cannot promise that an array holds no nulls."""
+    return T.ArrayType(_nullable(kind.elementType), True) if isinstance(kind, T.ArrayType) else kind
 
 
 def _same_type(declared: T.DataType, actual: T.DataType) -> bool:
