@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 VECTOR = T.ArrayType(T.FloatType(), False)
 WORD = re.compile(r"[^\W_]+")
-SLICE_CHARS = 4_000_000  # characters hashed at a time, which bounds the token arrays of very long texts
 CACHE_WORDS = 200_000
 
 
@@ -22,39 +21,30 @@ def _as_lists(flat: np.ndarray, rows: int, dim: int) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat.reshape(-1)))
 
 
-def _slices(texts: list) -> Iterator[list]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+class _WordCodes(dict):
+    """Word to ``2 * bucket + (1 if the sign is negative)``, filled on first sight and bounded in size."""
 
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
 
-def _bucket_and_sign(word: str, dim: int) -> tuple[int, int]:
-    digest = hashlib.md5(word.encode()).hexdigest()
-    return int(digest[:8], 16) % dim, 1 if int(digest[8], 16) % 2 == 0 else -1
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        digest = hashlib.md5(word.encode()).hexdigest()
+        code = self[word] = 2 * (int(digest[:8], 16) % self.dim) + int(digest[8], 16) % 2
+        return code
 
 
-def _hash_counts(texts: list, dim: int, cache: dict) -> np.ndarray:
-    rows, buckets, signs = [], [], []
+def _hash_counts(texts: list, dim: int, codes: _WordCodes) -> np.ndarray:
+    counts = np.zeros((len(texts), dim), dtype=np.float32)
     for row, text in enumerate(texts):
         words = WORD.findall(text)
-        rows.append(np.full(len(words), row))
-        for word in words:
-            hit = cache.get(word)
-            if hit is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                hit = cache[word] = _bucket_and_sign(word, dim)
-            buckets.append(hit[0])
-            signs.append(hit[1])
-    cell = np.concatenate(rows).astype(np.int64) * dim + np.array(buckets, dtype=np.int64)
-    counts = np.bincount(cell, weights=np.array(signs, dtype=np.float64), minlength=len(texts) * dim)
-    return counts.reshape(len(texts), dim).astype(np.float32)
+        if words:
+            code = np.fromiter(map(codes.__getitem__, words), dtype=np.int64, count=len(words))
+            both = np.bincount(code, minlength=2 * dim)
+            counts[row] = both[0::2] - both[1::2]
+    return counts
 
 
 @dataclass(frozen=True)
@@ -74,11 +64,10 @@ class HashingEncoder:
 
         @F.arrow_udf(VECTOR)
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            cache: dict = {}
+            codes = _WordCodes(dim)
             for batch in batches:
                 texts = [t or "" for t in batch.to_pylist()]
-                parts = [_hash_counts(part, dim, cache) for part in _slices(texts)]
-                flat = np.concatenate(parts) if parts else np.zeros((0, dim), np.float32)
+                flat = _hash_counts(texts, dim, codes)
                 if normalize:
                     length = np.sqrt((flat.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
                     flat = (flat / np.where(length == 0, 1, length)).astype(np.float32)

@@ -20,6 +20,7 @@ MIN_BLOCK = 256
 QUERY_SLICE = 512        # query rows multiplied at a time inside a cell
 SCAN_QUERIES = 1024      # up to this many queries are sent to the docs instead of shuffling the docs
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
+MAX_CELL_TASKS = 20_000
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 64
 CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>"
@@ -145,39 +146,42 @@ def _block_rows(n_queries: int, n_docs: int, slots: int) -> int:
 
 
 def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool,
-               grouped: bool, partitions: int) -> DataFrame:
-    """Both sides carry ``_cell``; each cell is one matrix product that keeps k rows per query."""
+               grouped: bool, cells: int) -> DataFrame:
+    """Both sides carry ``_cell``, a number below ``cells``: one matrix product that keeps k rows per query.
+
+    Cell numbers are partition numbers, one cell per task; only with very many cells do tasks share.
+    """
     fields = [T.StructField("query_id", queries.schema["query_id"].dataType),
               T.StructField("doc_id", docs.schema["doc_id"].dataType),
               T.StructField("similarity", T.DoubleType())]
     kernel = _cell_kernel(k, -math.inf if floor is None else floor, exclude_same_id, grouped)
-    left = queries.repartition(partitions, "_cell").groupBy("_cell")
-    right = docs.repartition(partitions, "_cell").groupBy("_cell")
-    return left.cogroup(right).applyInArrow(kernel, T.StructType(fields))
 
+    def placed(side: DataFrame) -> DataFrame:
+        if cells <= MAX_CELL_TASKS:
+            return side.withColumn("_cell", F.col("_cell").cast("int")).repartitionById(max(1, cells), "_cell")
+        return side.repartition(MAX_CELL_TASKS, "_cell")
 
-def _cell(*parts) -> F.Column:
-    return F.struct(*[F.col(p).cast("int").alias(p.strip("_")) for p in parts])
+    left, right = placed(queries).groupBy("_cell"), placed(docs).groupBy("_cell")
+    return left.cogroup(right).applyInArrow(kernel, T.StructType(fields))
 
 
 def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool, grouped: bool,
-          block: int | None) -> DataFrame:
-    n_queries, n_docs = queries.count(), docs.count()
-    slots = _parallelism(docs)
-    block = block or _block_rows(n_queries, n_docs, slots)
+          n_queries: int, block: int | None) -> DataFrame:
+    n_docs = docs.select("doc_id").count()
+    block = block or _block_rows(n_queries, n_docs, _parallelism(docs))
     q_blocks, d_blocks = max(1, -(-n_queries // block)), max(1, -(-n_docs // block))
     q = (
         queries.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
         .withColumn("_db", F.explode(F.sequence(F.lit(0), F.lit(d_blocks - 1))))
-        .withColumn("_cell", _cell("_qb", "_db"))
+        .withColumn("_cell", F.col("_qb") * d_blocks + F.col("_db"))
     )
     d = (
         docs.withColumn("_db", F.pmod(F.xxhash64("doc_id"), F.lit(d_blocks)))
         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-        .withColumn("_cell", _cell("_qb", "_db"))
+        .withColumn("_cell", F.col("_qb") * d_blocks + F.col("_db"))
     )
-    partitions = max(1, min(q_blocks * d_blocks, 100 * slots))
-    return _run_cells(q.drop("_qb", "_db"), d.drop("_qb", "_db"), k, floor, exclude_same_id, grouped, partitions)
+    return _run_cells(q.drop("_qb", "_db"), d.drop("_qb", "_db"), k, floor, exclude_same_id, grouped,
+                      q_blocks * d_blocks)
 
 
 def _keep_first_k(found: pa.Table, k: int) -> pa.Table:
@@ -232,15 +236,15 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
     sees more than two blocks, whatever the data looks like. A cell keeps k rows per query, never the
     pairs. Similarities are rounded to six decimals before ranking; ties go to the smaller doc id. Rows
     below ``floor``, zero vectors, the query's own id and, with groups, its own group are left out.
-    Inputs are read twice (count, then join): pass stored or staged tables.
+    Inputs are counted, then read: pass stored or staged tables.
     """
     q = _side(queries, "query", query_id, query_vec, query_group)
     d = _side(docs, "doc", doc_id, doc_vec, doc_group)
     grouped = query_group is not None and doc_group is not None
-    few = q.limit(scan_queries + 1).toArrow()
-    if few.num_rows <= scan_queries:
-        return _rank(_scan(few, q.schema["query_id"].dataType, d, k, floor, exclude_same_id, grouped), k)
-    return _rank(_grid(q, d, k, floor, exclude_same_id, grouped, block), k)
+    n_queries = queries.count()
+    if n_queries <= scan_queries:
+        return _rank(_scan(q.toArrow(), q.schema["query_id"].dataType, d, k, floor, exclude_same_id, grouped), k)
+    return _rank(_grid(q, d, k, floor, exclude_same_id, grouped, n_queries, block), k)
 
 
 # ---------------------------------------------------------------- centroid lists
@@ -362,22 +366,25 @@ def _listed_cells(routed: DataFrame, index: VectorIndex, k: int, floor: float |
     per_list = {r["_list"]: r["n"] for r in routed.groupBy("_list").agg(F.count("*").alias("n")).collect()}
     plan = [(c, -(-n // block), -(-index.sizes[c] // block)) for c, n in per_list.items() if c in index.sizes]
     # One row per centroid list, so at most MAX_CENTROIDS rows are broadcast.
-    fans = F.broadcast(spark.createDataFrame(plan, "_list int, _qn int, _dn int"))
+    first, numbered = 0, []
+    for c, qn, dn in plan:
+        numbered.append((c, qn, dn, first))
+        first += qn * dn
+    fans = F.broadcast(spark.createDataFrame(numbered, "_list int, _qn int, _dn int, _first long"))
+    cell = F.col("_first") + F.col("_qb") * F.col("_dn") + F.col("_db")
     q = (
         routed.join(fans, "_list")
         .withColumn("_qb", F.pmod(F.xxhash64("query_id"), "_qn"))
         .withColumn("_db", F.explode(F.sequence(F.lit(0), F.col("_dn") - 1)))
-        .withColumn("_cell", _cell("_list", "_qb", "_db")).drop("_list", "_qn", "_dn", "_qb", "_db")
+        .withColumn("_cell", cell).drop("_list", "_qn", "_dn", "_first", "_qb", "_db")
     )
     d = (
         index.docs.where(F.col("_list").isin([c for c, _, _ in plan])).join(fans, "_list")
         .withColumn("_db", F.pmod(F.xxhash64("doc_id"), "_dn"))
         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1)))
-        .withColumn("_cell", _cell("_list", "_qb", "_db")).drop("_list", "_qn", "_dn", "_qb", "_db")
+        .withColumn("_cell", cell).drop("_list", "_qn", "_dn", "_first", "_qb", "_db")
     )
-    cells = sum(a * b for _, a, b in plan)
-    partitions = max(1, min(cells, 100 * _parallelism(routed)))
-    return _run_cells(q, d, k, floor, exclude_same_id, grouped, partitions)
+    return _run_cells(q, d, k, floor, exclude_same_id, grouped, first)
 
 
 def _nearest_lists(nprobe: int):

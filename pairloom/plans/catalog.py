@@ -19,7 +19,7 @@ from pairloom.operators.train import train_adapter
 from pairloom.plans.store import FeatureStore
 from pairloom.session import scratch_path, stage
 from pairloom.sources import metrics
-from pairloom.sources.tables import driver_table, passages_from_documents
+from pairloom.sources.tables import driver_table, passages_from_documents, spread
 from pairloom.sources.versions import VersionedTable
 from pairloom.sources.views import Entity, FeatureView, Registry, standard_views
 from pairloom.streaming.materialize import current_table, feature_stream, stream_latest
@@ -48,11 +48,11 @@ _stored: dict = {}
 # ---------------------------------------------------------------- inputs
 
 def passages(spark: SparkSession, folder: str) -> DataFrame:
-    return passages_from_documents(driver_table(spark, folder, "documents"))
+    return passages_from_documents(spread(driver_table(spark, folder, "documents")))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return driver_table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread(driver_table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,7 +314,7 @@ def q_rag_answer(spark, folder):
 # ---------------------------------------------------------------- refresh, evaluation, training
 
 def q_refresh_negatives(spark, folder):
-    return refresh_hard_negatives(vector_pairs(spark, folder), RUN_TS, SEED, 5, band=BAND).select(
+    return refresh_hard_negatives(stage(vector_pairs(spark, folder), "pairs"), RUN_TS, SEED, 5, band=BAND).select(
         "training_sample_id", "label", "similarity_score", "query_id", "document_id", "event_timestamp")
 
 

@@ -75,8 +75,9 @@ class FeatureStore:
         """The online table: one row per key, newest wins across base and deltas."""
         view = self.registry.online_view(name)
         table = self.online_table(name)
-        rows = table.read(version)
-        if len(table.parts(version)) == 1:
+        parts = table.parts(version)
+        rows = table.read_parts(parts)
+        if len(parts) == 1:
             return rows
         return latest_per_key(rows, view.keys, view.ts_col, view.tie_break)
 

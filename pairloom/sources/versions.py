@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 MANIFEST_SCHEMA = "version int, kind string, folder string, run_id string, batch_id long, upto string"
 
@@ -65,11 +65,13 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of the base and its deltas; the reader merges deltas when the table has keys."""
-        rows = self.parts(version)
+        return self.read_parts(self.parts(version))
+
+    def read_parts(self, rows: list) -> DataFrame:
         if not rows:
             raise ValueError(f"no version of {self.path} yet")
         return self.spark.read.parquet(*[f"{self.path.rstrip('/')}/data/{r['folder']}" for r in rows])
 
     def last_upto(self) -> str | None:
         """The end of the newest time window that was written."""
-        return self.manifest().agg(F.max("upto")).first()[0]
+        return max((r["upto"] for r in self.history() if r["upto"]), default=None)
