@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
 DECIMALS = 6
 
@@ -20,3 +22,27 @@ def norm(a) -> Column:
 def cosine(a, b) -> Column:
     """Cosine similarity; NULL for a zero vector, so it passes no threshold and enters no mean."""
     return F.try_divide(dot(a, b), norm(a) * norm(b))
+
+
+def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The rows of a list column without nulls as a matrix of doubles."""
+    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(array), -1) if len(array) else np.zeros((0, 0))
+
+
+def row_lengths(matrix: np.ndarray) -> np.ndarray:
+    return np.sqrt((matrix ** 2).sum(axis=1))
+
+
+@F.arrow_udf(T.DoubleType())
+def batched_cosine(a: pa.Array, b: pa.Array) -> pa.Array:
+    """``cosine`` by Arrow batches: faster for long vectors, as lambdas over arrays are not compiled."""
+    given = a.is_valid().to_numpy(zero_copy_only=False) & b.is_valid().to_numpy(zero_copy_only=False)
+    out = np.full(len(a), np.nan)
+    if given.any():
+        x, y = as_matrix(a.filter(pa.array(given))), as_matrix(b.filter(pa.array(given)))
+        scale = row_lengths(x) * row_lengths(y)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[given] = np.where(scale > 0, (x * y).sum(axis=1) / scale, np.nan)
+    return pa.array(out, mask=np.isnan(out))

@@ -16,9 +16,10 @@ WORD = re.compile(r"[^\W_]+")
 CACHE_WORDS = 200_000
 
 
-def _as_lists(flat: np.ndarray, rows: int, dim: int) -> pa.Array:
+def as_lists(flat: np.ndarray, rows: int, dim: int, nulls: pa.Array | None = None) -> pa.Array:
+    """The rows of a matrix as a list column; where ``nulls`` is true the list is null."""
     offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
-    return pa.ListArray.from_arrays(offsets, pa.array(flat.reshape(-1)))
+    return pa.ListArray.from_arrays(offsets, pa.array(flat.reshape(-1)), mask=nulls)
 
 
 class _WordCodes(dict):
@@ -71,7 +72,7 @@ class HashingEncoder:
                 if normalize:
                     length = np.sqrt((flat.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
                     flat = (flat / np.where(length == 0, 1, length)).astype(np.float32)
-                yield _as_lists(flat, len(texts), dim)
+                yield as_lists(flat, len(texts), dim)
 
         return encode(F.lower(text))
 
@@ -96,7 +97,7 @@ class ModelEncoder:
                 flat = np.concatenate(parts) if parts else np.zeros((0, dim), np.float32)
                 if flat.shape != (len(texts), dim):
                     raise ValueError(f"the model gave {flat.shape}, expected {(len(texts), dim)}")
-                yield _as_lists(flat, len(texts), dim)
+                yield as_lists(flat, len(texts), dim)
 
         return encode(text)
 

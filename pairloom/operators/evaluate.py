@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.functions.vectors import cosine
+from pairloom.functions.vectors import batched_cosine
 from pairloom.operators.pairs import HARD_NEGATIVE, NEGATIVE, POSITIVE, label_value
 from pairloom.operators.splits import first_rows
 
@@ -17,7 +17,7 @@ MARGIN = 0.5
 
 def with_similarity(pairs: DataFrame, a: str = "query_vec", b: str = "doc_vec", name: str = "similarity") -> DataFrame:
     """Cosine of the two vectors of a row; no matrix, since only matching rows count."""
-    return pairs.withColumn(name, cosine(a, b))
+    return pairs.withColumn(name, batched_cosine(a, b))
 
 
 def similarity_by_label(pairs: DataFrame) -> DataFrame:

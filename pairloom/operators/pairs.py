@@ -28,13 +28,24 @@ def run_time(run_ts: dt.datetime | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def complete_passages(passages: DataFrame) -> DataFrame:
-    return passages.dropna(subset=["title", "text"])
+def complete_passages(numbered: DataFrame) -> DataFrame:
+    """Numbered passages with both a title and a text."""
+    return numbered.where(F.col("has_title") & F.col("has_text"))
 
 
 def number_passages(passages: DataFrame) -> DataFrame:
-    """Passages with their row position by id, stored once and sorted by id; everything below reads this."""
-    return dense_position(passages.select("id", "title", "text"), "id", "source_row")
+    """Passages with their row position by id, stored once; everything below reads this table.
+
+    Only the ids are sorted. ``has_title`` and ``has_text`` spare later null checks from reading the texts.
+    Ids must be unique, since every key of a pair is made from them.
+    """
+    rows = dense_position(passages.select("id"), "id", "source_row")
+    twice = rows.groupBy("id").count().where("count > 1").select("id").take(3)
+    if twice:
+        raise ValueError(f"passage ids are not unique, for example {[r['id'] for r in twice]}")
+    flagged = passages.select("id", "title", "text", F.col("title").isNotNull().alias("has_title"),
+                              F.col("text").isNotNull().alias("has_text"))
+    return stage(flagged.join(rows, "id"), "passages")
 
 
 def label_value(label: str = "label") -> Column:
@@ -83,9 +94,9 @@ def random_negative_pairs(numbered: DataFrame, run_ts, n_draws: int | None = Non
     """
     n_rows = numbered.count()
     draws = random_draws(numbered.sparkSession, n_rows // 2 if n_draws is None else n_draws, n_rows, seed)
-    queries = numbered.where(F.col("title").isNotNull()).select(
+    queries = numbered.where("has_title").select(
         F.col("source_row").alias("query_row"), F.col("id").alias("_qid"), F.col("title").alias("query_text"))
-    docs = numbered.where(F.col("text").isNotNull()).select(
+    docs = numbered.where("has_text").select(
         F.col("source_row").alias("doc_row"), F.col("id").alias("_did"), F.col("text").alias("document_text"))
     joined = draws.join(queries, "query_row").join(docs, "doc_row")
     metadata = F.struct(F.lit("random_negative").alias("pair_type"), "query_row", "doc_row")

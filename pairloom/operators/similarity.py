@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.hashing import draw
-from pairloom.functions.vectors import DECIMALS
+from pairloom.functions.vectors import DECIMALS, as_matrix, row_lengths
 from pairloom.session import stage
 
 MAX_BLOCK = 4096         # rows of one side in a grid cell
@@ -29,21 +29,11 @@ BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle
 
 # ---------------------------------------------------------------- kernels (run inside tasks)
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(array), -1) if len(array) else np.zeros((0, 0))
-
-
 def _round(values: np.ndarray) -> np.ndarray:
     scale = 10.0 ** DECIMALS
     return np.sign(values) * np.floor(np.abs(values) * scale + 0.5) / scale
 
 
-def _lengths(matrix: np.ndarray) -> np.ndarray:
-    return np.sqrt((matrix ** 2).sum(axis=1))
-
-
 def _cosines(q: np.ndarray, qn: np.ndarray, d: np.ndarray, dn: np.ndarray) -> np.ndarray:
     """Rounded cosines; minus infinity where a vector is zero."""
     scale = qn[:, None] * dn[None, :]
@@ -74,8 +64,8 @@ def _cell_kernel(k: int, floor: float, exclude_same_id: bool, grouped: bool):
             return schema.empty_table()
         # Columns in id order, so that the first k by column number are the first k by id on ties.
         right = right.take(pc.sort_indices(right["doc_id"]))
-        q, d = _matrix(left["query_vec"]), _matrix(right["doc_vec"])
-        qn, dn = _lengths(q), _lengths(d)
+        q, d = as_matrix(left["query_vec"]), as_matrix(right["doc_vec"])
+        qn, dn = row_lengths(q), row_lengths(d)
         banned = _banned_pairs(left, right, exclude_same_id, grouped)
         q_rows, d_rows, values = [], [], []
         for start in range(0, len(q), QUERY_SLICE):
@@ -129,9 +119,9 @@ def _side(df: DataFrame, role: str, id_col: str, vec_col: str, group_col: str |
 def _rank(pairs: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return (
-        pairs.withColumn("rank", F.row_number().over(order) - 1)
-        .where(F.col("rank") < k)
-        .withColumn("rank", F.col("rank").cast("bigint"))
+        pairs.withColumn("_nth", F.row_number().over(order))
+        .where(F.col("_nth") <= k)
+        .select("query_id", "doc_id", "similarity", (F.col("_nth") - 1).cast("bigint").alias("rank"))
     )
 
 
@@ -201,15 +191,15 @@ def _scan(queries: pa.Table, id_type: T.DataType, docs: DataFrame, k: int, floor
     lowest = -math.inf if floor is None else floor
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = _matrix(queries["query_vec"])
-        qn = _lengths(q)
+        q = as_matrix(queries["query_vec"])
+        qn = row_lengths(q)
         held: pa.Table | None = None
         for batch in batches:
             for start in range(0, batch.num_rows if queries.num_rows else 0, SCAN_SLICE):
                 part = pa.Table.from_batches([batch.slice(start, SCAN_SLICE)])
                 part = part.take(pc.sort_indices(part["doc_id"]))
-                d = _matrix(part["doc_vec"])
-                sims = _cosines(q, qn, d, _lengths(d))
+                d = as_matrix(part["doc_vec"])
+                sims = _cosines(q, qn, d, row_lengths(d))
                 for mask in _banned_pairs(queries, part, exclude_same_id, grouped)(slice(None)):
                     sims[mask] = -np.inf
                 sims[sims < lowest] = -np.inf
@@ -299,10 +289,10 @@ def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.nd
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            matrix = _matrix(batch.column(batch.schema.get_field_index("doc_vec")))
+            matrix = as_matrix(batch.column(batch.schema.get_field_index("doc_vec")))
             if not len(matrix):
                 continue
-            length = _lengths(matrix)
+            length = row_lengths(matrix)
             batch = batch.filter(pa.array(length > 0))
             cos = (matrix[length > 0] / length[length > 0][:, None]) @ centroids.T
             best = cos.argmax(axis=1) if len(cos) else np.zeros(0, int)
@@ -344,10 +334,10 @@ def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            matrix = _matrix(batch.column(batch.schema.get_field_index("query_vec")))
+            matrix = as_matrix(batch.column(batch.schema.get_field_index("query_vec")))
             if not len(matrix):
                 continue
-            length = _lengths(matrix)
+            length = row_lengths(matrix)
             cos = (matrix / np.where(length == 0, 1, length)[:, None]) @ centroids.T
             wanted = choose(cos, batch) & (length > 0)[:, None]
             rows, lists = np.nonzero(wanted)

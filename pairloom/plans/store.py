@@ -11,7 +11,7 @@ from pairloom.operators.encode import with_vector
 from pairloom.operators.materialize import latest_per_key, online_lookup, time_window
 from pairloom.operators.pit import point_in_time
 from pairloom.operators.similarity import VectorIndex, probe_topk, pruned_topk, topk_join
-from pairloom.sources.versions import VersionedTable
+from pairloom.sources.versions import VersionedTable, last_upto
 from pairloom.sources.views import FeatureView, Registry
 
 COMPACT_AFTER = 16  # deltas after which a materialisation writes a new base
@@ -60,14 +60,16 @@ class FeatureStore:
         """
         view = self.registry.online_view(name)
         table = self.online_table(name)
-        last = table.last_upto()
+        past = table.history()
+        last = last_upto(past)
         start = dt.datetime.fromisoformat(last) if last else end - view.ttl
         if last and end <= start:
-            return table.history()[-1]["version"]
+            return past[-1]["version"]
         rows = time_window(self.source(view) if df is None else df, view.ts_col, start, end)
         latest = latest_per_key(rows, view.keys, view.ts_col, view.tie_break)
-        version = table.write(latest, run_id, kind="delta", upto=end.isoformat(sep=" ", timespec="microseconds"))
-        if len(table.parts()) > compact_after:
+        version = table.write(latest, run_id, kind="delta", upto=end.isoformat(sep=" ", timespec="microseconds"),
+                              past=past)
+        if len(table.parts(past=past)) + 1 > compact_after:
             version = table.write(self.online(name), run_id, kind="base")
         return version
 

@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MANIFEST_SCHEMA = "version int, kind string, folder string, run_id string, batch_id long, upto string"
 
@@ -26,25 +26,26 @@ class VersionedTable:
     def _manifest_path(self) -> str:
         return f"{self.path.rstrip('/')}/manifest"
 
-    def manifest(self) -> DataFrame:
+    def history(self) -> list:
+        """All manifest rows in version order: one small row per write."""
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest_path)
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest_path).collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-
-    def history(self) -> list:
-        """All manifest rows in version order: one per write, so few."""
-        return self.manifest().orderBy("version").collect()
+            return []
+        return sorted(rows, key=lambda r: r["version"])
 
     def exists(self) -> bool:
         return bool(self.history())
 
     def write(self, df: DataFrame, run_id: str, kind: str = "base", batch_id: int | None = None,
-              upto: str | None = None, partition_by=()) -> int:
-        """Store ``df`` as the next version; a ``batch_id`` already in the manifest is not written again."""
-        past = self.history()
+              upto: str | None = None, partition_by=(), past: list | None = None) -> int:
+        """Store ``df`` as the next version; a ``batch_id`` already in the manifest is not written again.
+
+        ``past`` is the history where the caller has just read it.
+        """
+        past = self.history() if past is None else past
         if batch_id is not None:
             for row in past:
                 if row["batch_id"] == batch_id and row["run_id"] == run_id:
@@ -53,13 +54,16 @@ class VersionedTable:
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.path.rstrip('/')}/data/{folder}")
-        entry = [(version, kind, folder, run_id, batch_id, upto)]
-        self.spark.createDataFrame(entry, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(self._manifest_path)
+        entry = {"version": version, "kind": kind, "folder": folder, "run_id": run_id, "batch_id": batch_id,
+                 "upto": upto}
+        row = self.spark.range(1, numPartitions=1).select(*[F.lit(value).alias(name) for name, value in entry.items()])
+        row.write.mode("append").json(self._manifest_path)
         return version
 
-    def parts(self, version: int | None = None) -> list:
+    def parts(self, version: int | None = None, past: list | None = None) -> list:
         """The manifest rows that make up a version: the newest base up to it and the deltas after that."""
-        rows = [r for r in self.history() if version is None or r["version"] <= version]
+        past = self.history() if past is None else past
+        rows = [r for r in past if version is None or r["version"] <= version]
         bases = [i for i, r in enumerate(rows) if r["kind"] == "base"]
         return rows[bases[-1]:] if bases else rows
 
@@ -72,6 +76,7 @@ class VersionedTable:
             raise ValueError(f"no version of {self.path} yet")
         return self.spark.read.parquet(*[f"{self.path.rstrip('/')}/data/{r['folder']}" for r in rows])
 
-    def last_upto(self) -> str | None:
-        """The end of the newest time window that was written."""
-        return max((r["upto"] for r in self.history() if r["upto"]), default=None)
+
+def last_upto(past: list) -> str | None:
+    """The end of the newest time window in a history."""
+    return max((r["upto"] for r in past if r["upto"]), default=None)

@@ -34,8 +34,9 @@ def stream_latest(stream: DataFrame, table: VersionedTable, keys, ts: str, tie_b
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        table.write(latest_per_key(batch, keys, ts, tie_break), run_id, kind="delta", batch_id=batch_id)
-        if len(table.parts()) > compact_after:
+        past = table.history()
+        table.write(latest_per_key(batch, keys, ts, tie_break), run_id, kind="delta", batch_id=batch_id, past=past)
+        if len(table.parts(past=past)) + 1 > compact_after:
             table.write(current_table(table, keys, ts, tie_break), run_id, kind="base")
 
     writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)

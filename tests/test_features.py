@@ -9,7 +9,7 @@ from pairloom.operators.encode import HashingEncoder
 from pairloom.operators.materialize import latest_per_key, online_lookup, time_window
 from pairloom.operators.pit import point_in_time
 from pairloom.plans.store import FeatureStore
-from pairloom.sources.versions import VersionedTable
+from pairloom.sources.versions import VersionedTable, last_upto
 from pairloom.sources.views import Entity, FeatureView, Registry, VectorField, standard_views
 
 DAY = dt.timedelta(days=1)
@@ -84,7 +84,7 @@ def test_lookup_of_unknown_key(spark):
 
 def test_versions(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
-    assert not table.exists() and table.last_upto() is None
+    assert not table.exists() and last_upto(table.history()) is None
     with pytest.raises(ValueError, match="no version"):
         table.read()
     assert table.write(spark.range(3), "r") == 1

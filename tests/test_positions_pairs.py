@@ -56,6 +56,11 @@ def test_positive_pairs(numbered):
     assert json.loads(row.metadata) == {"pair_type": "title_text", "source_row": 3}
 
 
+def test_ids_must_be_unique(spark):
+    with pytest.raises(ValueError, match="unique"):
+        pairs.number_passages(spark.createDataFrame([("1", "a", "b"), ("1", "c", "d")], SCHEMA))
+
+
 def test_random_negatives_never_pair_a_row_with_itself(numbered):
     rows = pairs.random_negative_pairs(numbered, RUN, 200, seed=3).collect()
     assert 0 < len(rows) < 200

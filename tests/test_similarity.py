@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.functions.vectors import cosine
+from pairloom.functions.vectors import batched_cosine, cosine
 from pairloom.operators import similarity as sim
+from pairloom.session import stage
 
 SCHEMA = "id string, v array<float>, grp string"
 
@@ -42,7 +43,7 @@ def rows():
 
 @pytest.fixture(scope="module")
 def table(spark, rows):
-    return sim.stage(spark.createDataFrame(rows, SCHEMA).repartition(4), "test")
+    return stage(spark.createDataFrame(rows, SCHEMA).repartition(4), "test")
 
 
 KEYS = {"query_id": "id", "query_vec": "v", "doc_id": "id", "doc_vec": "v"}
@@ -131,10 +132,18 @@ def test_saved_index_gives_the_same(table, rows, index, tmp_path):
 
 
 def test_cosine_expression(spark):
-    df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
-    assert [r[0] for r in df.select(F.round(cosine("a", "b"), 6)).collect()] == [0.96, None]
+    df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0])],
+                               "a array<float>, b array<float>")
+    for form in (cosine, batched_cosine):
+        assert [r[0] for r in df.select(F.round(form("a", "b"), 6)).collect()] == [0.96, None, None]
 
 
 def test_docs_are_not_shuffled_for_few_queries(table):
     plan = sim.topk_join(table, table, 3, **KEYS)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroups" not in plan and "MapInArrow" in plan
+
+
+def test_plan_keeps_k_per_query_before_the_shuffle(table):
+    plan = sim.topk_join(table, table, 3, **KEYS, scan_queries=0, block=60)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "shufflepartitionidpassthrough" in plan
+    assert plan.count("REPARTITION_BY_NUM") == 2  # nothing is shuffled again for the grouping

@@ -28,6 +28,11 @@ def test_holdout_and_split(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_holdout_keeps_few_rows_per_task(spark):
+    plan = splits.per_label_sample(labelled(spark, {"positive": 10}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_holdout_without_known_labels(spark):
     assert splits.holdout(labelled(spark, {"x": 95})).count() == 9
     assert splits.holdout(labelled(spark, {"x": 900})).count() == 60
@@ -188,3 +193,9 @@ def test_loss_falls_and_adapter_is_stored(spark):
     assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
     assert np.allclose(train.load_adapter(train.adapter_table(spark, weights)), weights)
     assert [train.learning_rate(s, 1.0, 2) for s in range(3)] == [0.5, 1.0, 1.0]
+
+
+def test_adapter_keeps_null_vectors(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), (None,), ([0.0, 1.0],)], "v array<float>").coalesce(1)
+    out = [r[0] for r in df.select(train.apply_adapter(np.array([[2.0, 0.0], [0.0, 1.0]]), F.col("v"))).collect()]
+    assert out == [[2.0, 2.0], None, [0.0, 1.0]]
