@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.hashing import draw, shuffle_key
 from pairloom.operators.positions import dense_position, hash_position
-from pairloom.operators.similarity import VectorIndex, probe_topk, topk_join
+from pairloom.operators.similarity import build_index, probe_topk, pruned_topk, topk_join
 from pairloom.session import stage
 
 # The closed set of labels and the mining defaults.
@@ -114,14 +114,15 @@ def random_negative_pairs(numbered: DataFrame, run_ts, n_draws: int | None = Non
 
 
 def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY, floor: float = HARD_FLOOR,
-                          exclude: str = "id", index_lists: int | None = None, nprobe: int = 8,
+                          exclude: str = "id", index_lists: int | None = None, nprobe: int | None = 8,
                           seed: int = 42) -> DataFrame:
     """``query_id, doc_id, similarity, rank``: for each title the k most similar texts at or above the floor.
 
     Each text is encoded once and the vectors are staged; texts take no part in the join. ``exclude`` says
     what a query may not meet: its own row (``id``), passages of the same ``title``, of the same ``parent``
-    (the id before its chunk number) or with the same ``text``. With ``index_lists`` the search probes
-    centroid lists instead of comparing all pairs, which is approximate.
+    (the id before its chunk number) or with the same ``text``. With ``index_lists`` the search goes through
+    centroid lists: the ``nprobe`` nearest, which is approximate, or with ``nprobe=None`` all that can hold a
+    result, which is exact.
     """
     groups = {"id": None, "title": F.col("title"), "parent": F.regexp_replace("id", r"_\d+$", ""),
               "text": F.md5(F.col("text").cast("binary"))}
@@ -134,10 +135,11 @@ def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY,
         *([group.alias("grp")] if group is not None else [])), "vectors")
     grp = "grp" if group is not None else None
     if index_lists:
-        from pairloom.operators.similarity import build_index
-        index: VectorIndex = build_index(vectors, "id", "doc_vec", index_lists, seed, grp)
-        return probe_topk(vectors, index, k, nprobe, query_id="id", query_vec="query_vec", floor=floor,
-                          query_group=grp)
+        index = build_index(vectors, "id", "doc_vec", index_lists, seed, grp, keep_copies=k + 1)
+        common = {"query_id": "id", "query_vec": "query_vec", "floor": floor, "query_group": grp}
+        if nprobe is None:
+            return pruned_topk(vectors, index, k, **common)
+        return probe_topk(vectors, index, k, nprobe, **common)
     return topk_join(vectors, vectors, k, query_id="id", query_vec="query_vec", doc_id="id", doc_vec="doc_vec",
                      floor=floor, query_group=grp, doc_group=grp)
 

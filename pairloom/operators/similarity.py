@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.hashing import draw
 from pairloom.functions.vectors import DECIMALS, as_matrix, row_lengths
@@ -18,12 +18,13 @@ from pairloom.session import stage
 MAX_BLOCK = 4096         # rows of one side in a grid cell
 MIN_BLOCK = 256
 QUERY_SLICE = 512        # query rows multiplied at a time inside a cell
-SCAN_QUERIES = 1024      # up to this many queries are sent to the docs instead of shuffling the docs
+SCAN_QUERIES = 256       # up to this many queries are sent to the docs instead of shuffling the docs
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
 MAX_CELL_TASKS = 20_000
+COPIED_SHARE = 0.8       # below this share of distinct vectors, copies are compared once
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 64
-CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>"
+CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>, keep_copies int"
 BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle bound
 
 
@@ -125,6 +126,52 @@ def _rank(pairs: DataFrame, k: int) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- copies of one vector
+
+def _copy_key(vec: str) -> Column:
+    """128 bits that the copies of a vector share."""
+    return F.concat_ws("-", F.hex(F.xxhash64(vec)), F.hex(F.xxhash64(F.lit(1), vec)))
+
+
+def _has_copies(side: DataFrame, vec: str) -> bool:
+    """Whether many rows of a side repeat the vector of another: one pass, partial sketches only."""
+    row = side.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(vec)).alias("d")).first()
+    return row["d"] < COPIED_SHARE * row["n"]
+
+
+def _first_copies(docs: DataFrame, keep: int, grouped: bool) -> DataFrame:
+    """Of docs with the same vector (and group), the ``keep`` smallest ids: no other can be in a top ``keep``.
+
+    Each task keeps that many per vector before the shuffle, so copies never gather anywhere.
+    """
+    keyed = docs.withColumn("_copy", _copy_key("doc_vec"))
+    order = Window.partitionBy("_copy", *(["doc_group"] if grouped else [])).orderBy("doc_id")
+    first = keyed.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= keep)
+    return first.drop("_copy", "_nth")
+
+
+def _search(queries: DataFrame, k: int, exclude_same_id: bool, grouped: bool, collapse: bool | None, run) -> DataFrame:
+    """Rank what ``run(queries, k, exclude_same_id)`` finds; queries with the same vector are searched once.
+
+    One row then stands for all copies and asks for one result more, since each copy leaves out its own id.
+    """
+    if collapse is None:
+        collapse = _has_copies(queries, "query_vec")
+    if not collapse:
+        return _rank(run(queries, k, exclude_same_id), k)
+    wanted = k + 1 if exclude_same_id else k
+    same = [_copy_key("query_vec"), *([F.col("query_group").cast("string")] if grouped else [])]
+    members = queries.withColumn("_rep", F.concat_ws(":", *same))
+    kept = [F.any_value(c).alias(c) for c in ("query_vec", *(["query_group"] if grouped else []))]
+    reps = stage(members.groupBy("_rep").agg(*kept).withColumnRenamed("_rep", "query_id"), "distinct-queries")
+    found = _rank(run(reps, wanted, False), wanted).select(
+        F.col("query_id").alias("_rep"), "doc_id", "similarity")
+    each = members.select("query_id", "_rep").join(found, "_rep")
+    if exclude_same_id:
+        each = each.where(F.col("query_id") != F.col("doc_id"))
+    return _rank(each, k)
+
+
 def _parallelism(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
@@ -156,8 +203,8 @@ def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None,
 
 
 def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool, grouped: bool,
-          n_queries: int, block: int | None) -> DataFrame:
-    n_docs = docs.select("doc_id").count()
+          block: int | None) -> DataFrame:
+    n_queries, n_docs = queries.count(), docs.count()
     block = block or _block_rows(n_queries, n_docs, _parallelism(docs))
     q_blocks, d_blocks = max(1, -(-n_queries // block)), max(1, -(-n_docs // block))
     q = (
@@ -218,7 +265,7 @@ def _scan(queries: pa.Table, id_type: T.DataType, docs: DataFrame, k: int, floor
 def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, query_vec: str, doc_id: str,
               doc_vec: str, floor: float | None = None, exclude_same_id: bool = True,
               query_group: str | None = None, doc_group: str | None = None, block: int | None = None,
-              scan_queries: int = SCAN_QUERIES) -> DataFrame:
+              scan_queries: int = SCAN_QUERIES, collapse: bool | None = None) -> DataFrame:
     """The k most similar docs of every query: ``query_id, doc_id, similarity, rank`` with rank from 0.
 
     Exact. At most ``scan_queries`` queries are sent to the docs, which then need no shuffle. Beyond that,
@@ -226,6 +273,7 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
     sees more than two blocks, whatever the data looks like. A cell keeps k rows per query, never the
     pairs. Similarities are rounded to six decimals before ranking; ties go to the smaller doc id. Rows
     below ``floor``, zero vectors, the query's own id and, with groups, its own group are left out.
+    ``collapse`` compares copies of a vector once, which changes no result; by default where there are many.
     Inputs are counted, then read: pass stored or staged tables.
     """
     q = _side(queries, "query", query_id, query_vec, query_group)
@@ -234,19 +282,35 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
     n_queries = queries.count()
     if n_queries <= scan_queries:
         return _rank(_scan(q.toArrow(), q.schema["query_id"].dataType, d, k, floor, exclude_same_id, grouped), k)
-    return _rank(_grid(q, d, k, floor, exclude_same_id, grouped, n_queries, block), k)
+    if _has_copies(d, "doc_vec") if collapse is None else collapse:
+        d = stage(_first_copies(d, k + 1 if exclude_same_id else k, grouped), "distinct-docs")
+
+    def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
+        return _grid(asked, d, wanted, floor, exclude, grouped, block)
+
+    return _search(q, k, exclude_same_id, grouped, collapse, run)
 
 
 # ---------------------------------------------------------------- centroid lists
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """Docs assigned to their nearest centroid (``_list``), with the size and angular radius of each list."""
+    """Docs assigned to their nearest centroid (``_list``), with the size and angular radius of each list.
+
+    With ``keep_copies``, only that many docs of equal vector and group are held.
+    """
 
     docs: DataFrame
     centroids: np.ndarray = field(repr=False)
     sizes: dict = field(repr=False)
     radius: dict = field(repr=False)
+    keep_copies: int | None = None
+
+    def check(self, k: int, exclude_same_id: bool) -> None:
+        """A search may ask for no more results than copies are held, or it would miss some."""
+        wanted = k + 1 if exclude_same_id else k
+        if self.keep_copies is not None and wanted > self.keep_copies:
+            raise ValueError(f"the index keeps {self.keep_copies} copies of a vector, this search needs {wanted}")
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -275,15 +339,17 @@ def train_centroids(docs: DataFrame, id_col: str, vec_col: str, lists: int, seed
 
 
 def build_index(docs: DataFrame, doc_id: str, doc_vec: str, lists: int, seed: int = 42,
-                group_col: str | None = None) -> VectorIndex:
-    """Assign every doc to its nearest centroid and store the result partitioned by list."""
+                group_col: str | None = None, keep_copies: int | None = None) -> VectorIndex:
+    """Train centroids and assign every doc to its nearest one."""
     centroids = train_centroids(docs, doc_id, doc_vec, lists, seed)
-    return assign_to_lists(docs, doc_id, doc_vec, centroids, group_col)
+    return assign_to_lists(docs, doc_id, doc_vec, centroids, group_col, keep_copies)
 
 
 def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.ndarray,
-                    group_col: str | None = None) -> VectorIndex:
+                    group_col: str | None = None, keep_copies: int | None = None) -> VectorIndex:
     side = _side(docs, "doc", doc_id, doc_vec, group_col)
+    if keep_copies is not None:
+        side = _first_copies(side, keep_copies, group_col is not None)
     schema = T.StructType([*side.schema.fields, T.StructField("_list", T.IntegerType()),
                            T.StructField("_angle", T.DoubleType())])
 
@@ -303,7 +369,7 @@ def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.nd
     assigned = stage(side.mapInArrow(assign, schema), "lists")
     stats = assigned.groupBy("_list").agg(F.count("*").alias("n"), F.max("_angle").alias("r")).collect()
     return VectorIndex(assigned.drop("_angle"), centroids, {s["_list"]: s["n"] for s in stats},
-                       {s["_list"]: s["r"] for s in stats})
+                       {s["_list"]: s["r"] for s in stats}, keep_copies)
 
 
 def save_index(index: VectorIndex, path: str, rows_per_file: int = 1_000_000) -> None:
@@ -313,7 +379,7 @@ def save_index(index: VectorIndex, path: str, rows_per_file: int = 1_000_000) ->
     fans = F.broadcast(spark.createDataFrame(files, "_list int, _files int"))  # at most MAX_CENTROIDS rows
     placed = index.docs.join(fans, "_list").withColumn("_file", F.pmod(F.xxhash64("doc_id"), "_files"))
     placed.repartition("_list", "_file").drop("_files", "_file").write.partitionBy("_list").parquet(f"{path}/docs")
-    centroids = [(c, index.sizes.get(c, 0), index.radius.get(c), [float(x) for x in row])
+    centroids = [(c, index.sizes.get(c, 0), index.radius.get(c), [float(x) for x in row], index.keep_copies)
                  for c, row in enumerate(index.centroids)]
     spark.createDataFrame(centroids, CENTROID_SCHEMA).write.parquet(f"{path}/centroids")
 
@@ -323,7 +389,8 @@ def load_index(spark, path: str) -> VectorIndex:
     rows = spark.read.parquet(f"{path}/centroids").orderBy("list").collect()
     filled = [r for r in rows if r["n"]]
     return VectorIndex(spark.read.parquet(f"{path}/docs"), np.array([r["centroid"] for r in rows]),
-                       {r["list"]: r["n"] for r in filled}, {r["list"]: r["radius"] for r in filled})
+                       {r["list"]: r["n"] for r in filled}, {r["list"]: r["radius"] for r in filled},
+                       rows[0]["keep_copies"])
 
 
 def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
@@ -350,9 +417,11 @@ def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
 
 def _listed_cells(routed: DataFrame, index: VectorIndex, k: int, floor: float | None, exclude_same_id: bool,
                   grouped: bool, block: int) -> DataFrame:
-    """Search each routed (query, list). A list or query set over the block size is split by id hash."""
+    """Search each routed (query, list). A list or query set over the block size is split by id hash.
+
+    The routing runs twice, for the counts and for the search, which costs less than storing routed vectors.
+    """
     spark = routed.sparkSession
-    routed = stage(routed, "routed")
     per_list = {r["_list"]: r["n"] for r in routed.groupBy("_list").agg(F.count("*").alias("n")).collect()}
     plan = [(c, -(-n // block), -(-index.sizes[c] // block)) for c, n in per_list.items() if c in index.sizes]
     # One row per centroid list, so at most MAX_CENTROIDS rows are broadcast.
@@ -389,16 +458,21 @@ def _nearest_lists(nprobe: int):
 
 def probe_topk(queries: DataFrame, index: VectorIndex, k: int, nprobe: int, *, query_id: str, query_vec: str,
                floor: float | None = None, exclude_same_id: bool = True, query_group: str | None = None,
-               block: int = MAX_BLOCK) -> DataFrame:
+               block: int = MAX_BLOCK, collapse: bool | None = None) -> DataFrame:
     """Approximate top-k: every query searches its ``nprobe`` nearest lists. With all lists it is exact."""
+    index.check(k, exclude_same_id)
+    grouped = query_group is not None
+
+    def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
+        return _listed_cells(_route(asked, index, _nearest_lists(nprobe)), index, wanted, floor, exclude, grouped, block)
+
     q = _side(queries, "query", query_id, query_vec, query_group)
-    routed = _route(q, index, _nearest_lists(nprobe))
-    return _rank(_listed_cells(routed, index, k, floor, exclude_same_id, query_group is not None, block), k)
+    return _search(q, k, exclude_same_id, grouped, collapse, run)
 
 
 def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str, query_vec: str,
                 floor: float | None = None, exclude_same_id: bool = True, query_group: str | None = None,
-                block: int = MAX_BLOCK) -> DataFrame:
+                block: int = MAX_BLOCK, collapse: bool | None = None) -> DataFrame:
     """Exact top-k that skips lists which cannot hold a result.
 
     First every query searches its nearest list, which gives a lower bound for its k-th similarity. A doc
@@ -406,25 +480,31 @@ def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str
     angles its cosine is at most ``cos(max(0, angle(query, centroid) - radius))``; only lists whose bound
     reaches the query's lower bound (or the floor) are searched in the second pass.
     """
+    index.check(k, exclude_same_id)
     grouped = query_group is not None
-    q = _side(queries, "query", query_id, query_vec, query_group)
-    first = stage(_listed_cells(_route(q, index, _nearest_lists(1)), index, k, floor, exclude_same_id, grouped,
-                                block), "first")
-    top = _rank(first, k)
-    kth = top.where(F.col("rank") == k - 1).select("query_id", F.col("similarity").alias("_kth"))
     lowest = -2.0 if floor is None else floor
     radius = np.full(len(index.centroids), -np.inf)
     for c, r in index.radius.items():
         radius[c] = r
 
-    def choose(cos: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    def within_reach(cos: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
         angle = np.arccos(np.clip(cos, -1, 1))
         bound = np.cos(np.maximum(0.0, angle - radius[None, :])) + BOUND_SLACK
         kth = batch.column(batch.schema.get_field_index("_kth")).fill_null(lowest).to_numpy(zero_copy_only=False)
+        nearest = batch.column(batch.schema.get_field_index("_nearest")).to_numpy(zero_copy_only=False)
         wanted = (bound >= np.maximum(kth, lowest)[:, None]) & np.isfinite(radius)[None, :]
-        wanted[np.arange(len(cos)), cos.argmax(axis=1)] = False  # searched in the first pass
+        wanted[np.arange(len(cos)), nearest] = False
         return wanted
 
-    second = _listed_cells(_route(q.join(kth, "query_id", "left"), index, choose), index, k, floor,
-                           exclude_same_id, grouped, block)
-    return _rank(first.select("query_id", "doc_id", "similarity").unionByName(second), k)
+    def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
+        # The list each query searched first is stored with it, so that the second pass leaves out exactly that.
+        routed = stage(_route(asked, index, _nearest_lists(1)), "nearest")
+        first = stage(_listed_cells(routed, index, wanted, floor, exclude, grouped, block), "first")
+        kth = _rank(first, wanted).where(F.col("rank") == wanted - 1).select(
+            "query_id", F.col("similarity").alias("_kth"))
+        ready = routed.withColumnRenamed("_list", "_nearest").join(kth, "query_id", "left")
+        second = _listed_cells(_route(ready, index, within_reach), index, wanted, floor, exclude, grouped, block)
+        return first.select("query_id", "doc_id", "similarity").unionByName(second)
+
+    q = _side(queries, "query", query_id, query_vec, query_group)
+    return _search(q, k, exclude_same_id, grouped, collapse, run)

@@ -76,12 +76,7 @@ class FeatureStore:
     def online(self, name: str, version: int | None = None) -> DataFrame:
         """The online table: one row per key, newest wins across base and deltas."""
         view = self.registry.online_view(name)
-        table = self.online_table(name)
-        parts = table.parts(version)
-        rows = table.read_parts(parts)
-        if len(parts) == 1:
-            return rows
-        return latest_per_key(rows, view.keys, view.ts_col, view.tie_break)
+        return self.online_table(name).read_latest(view.keys, view.ts_col, view.tie_break, version)
 
     # ------------------------------------------------------------ online reads
 
@@ -103,7 +98,7 @@ class FeatureStore:
                features=(), index: VectorIndex | None = None, nprobe: int | None = None) -> DataFrame:
         """The ``top_k`` nearest stored rows of each query, with ``distance`` and the asked features.
 
-        ``distance`` is the cosine, best 1.0; rows come in the order of distance, then key. With an index,
+        ``distance`` is the cosine, best 1.0; ``rank`` counts from 0 by distance, then key. With an index,
         ``nprobe`` lists are searched, or without ``nprobe`` all lists that can hold a result.
         """
         view = self.registry.online_view(name)
@@ -120,7 +115,7 @@ class FeatureStore:
         found = found.select(F.col("query_id").alias(query_id), F.col("doc_id").alias(key),
                              F.col("similarity").alias("distance"), "rank")
         columns = [f.partition(":")[2] for f in features] or ["text"]
-        return found.join(table.select(key, *columns), key).orderBy(query_id, "rank")
+        return found.join(table.select(key, *columns), key)
 
     def answer(self, name: str, questions: DataFrame, question_id: str, text_col: str, encoder, top_k: int = 10,
                **search) -> DataFrame:

@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairloom.operators.materialize import latest_per_key
+
+BROADCAST_ROWS = 200_000
 MANIFEST_SCHEMA = "version int, kind string, folder string, run_id string, batch_id long, upto string"
 
 
@@ -71,6 +74,26 @@ class VersionedTable:
         """The rows of the base and its deltas; the reader merges deltas when the table has keys."""
         return self.read_parts(self.parts(version))
 
+    def read_latest(self, keys, ts: str, tie_break=(), version: int | None = None) -> DataFrame:
+        """The newest row per key over the base and its deltas.
+
+        The base has one row per key. While the deltas are few rows, only the base rows they touch are
+        compared with them and the rest of the base is read in place; otherwise all rows are grouped.
+        """
+        parts = self.parts(version)
+        if len(parts) == 1 and parts[0]["kind"] == "base":
+            return self.read_parts(parts)
+        if not parts or parts[0]["kind"] != "base":
+            return latest_per_key(self.read_parts(parts), keys, ts, tie_break)
+        base, deltas = self.read_parts(parts[:1]), self.read_parts(parts[1:])
+        if deltas.count() > BROADCAST_ROWS:
+            return latest_per_key(base.unionByName(deltas), keys, ts, tie_break)
+        keys = [keys] if isinstance(keys, str) else list(keys)
+        touched = F.broadcast(deltas.select(*keys))  # at most BROADCAST_ROWS keys, as just counted
+        rest = base.join(touched, keys, "left_anti").select(*base.columns)
+        met = base.join(touched, keys, "left_semi").select(*base.columns)
+        return rest.unionByName(latest_per_key(met.unionByName(deltas), keys, ts, tie_break))
+
     def read_parts(self, rows: list) -> DataFrame:
         if not rows:
             raise ValueError(f"no version of {self.path} yet")

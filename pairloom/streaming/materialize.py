@@ -21,7 +21,7 @@ def feature_stream(spark: SparkSession, path: str, schema, max_files: int | None
 
 def current_table(table: VersionedTable, keys, ts: str, tie_break=()) -> DataFrame:
     """What the stream has materialised so far: the newest row per key over base and deltas."""
-    return latest_per_key(table.read(), keys, ts, tie_break)
+    return table.read_latest(keys, ts, tie_break)
 
 
 def stream_latest(stream: DataFrame, table: VersionedTable, keys, ts: str, tie_break, checkpoint: str,

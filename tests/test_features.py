@@ -96,6 +96,20 @@ def test_versions(spark, tmp_path):
     assert [r.run_id for r in table.history()] == ["r"] * 3
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_deltas_over_a_base(spark, tmp_path, monkeypatch, limit):
+    from pairloom.sources import versions
+    monkeypatch.setattr(versions, "BROADCAST_ROWS", limit)
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.createDataFrame([("a", T0, 1, 0), ("b", T0, 2, 0), ("c", T0 + 9 * DAY, 3, 0)], FACTS), "r")
+    table.write(spark.createDataFrame([("a", T0 + DAY, 11, 0), ("c", T0, 33, 0)], FACTS), "r", kind="delta")
+    table.write(spark.createDataFrame([("d", T0, 4, 0), ("a", T0, 12, 0)], FACTS), "r", kind="delta")
+    latest = table.read_latest("k", "seen", ["w"])
+    assert {r.k: r.v for r in latest.collect()} == {"a": 11, "b": 2, "c": 3, "d": 4}
+    assert latest.count() == 4
+    assert {r.k: r.v for r in table.read_latest("k", "seen", version=1).collect()} == {"a": 1, "b": 2, "c": 3}
+
+
 def make_view(**kw):
     fields = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("w", T.IntegerType())])
     return FeatureView("facts", Entity("k", ("k",)), fields, DAY, ts_col="seen", tie_break=("w",), **kw)

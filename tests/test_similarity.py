@@ -50,25 +50,32 @@ KEYS = {"query_id": "id", "query_vec": "v", "doc_id": "id", "doc_vec": "v"}
 QUERY_KEYS = {"query_id": "id", "query_vec": "v"}
 
 
-@pytest.mark.parametrize("scan", [0, 10_000])
-@pytest.mark.parametrize("block", [17, 1000])
-def test_exact_equals_brute_force(table, rows, scan, block):
-    got = sim.topk_join(table, table, 3, **KEYS, scan_queries=scan, block=block)
+@pytest.mark.parametrize("scan, block, collapse", [(0, 17, False), (0, 1000, False), (0, 40, True), (0, 40, None),
+                                                   (10_000, None, None)])
+def test_exact_equals_brute_force(table, rows, scan, block, collapse):
+    got = sim.topk_join(table, table, 3, **KEYS, scan_queries=scan, block=block, collapse=collapse)
     assert result(got) == brute(rows, 3)
 
 
-@pytest.mark.parametrize("scan", [0, 10_000])
-def test_floor_and_groups(table, rows, scan):
+@pytest.mark.parametrize("scan, collapse", [(0, False), (0, True), (10_000, None)])
+def test_floor_and_groups(table, rows, scan, collapse):
     got = sim.topk_join(table, table, 4, **KEYS, floor=0.5, query_group="grp", doc_group="grp", scan_queries=scan,
-                        block=40)
+                        block=40, collapse=collapse)
     assert result(got) == brute(rows, 4, 0.5, True, True)
 
 
-def test_more_wanted_than_there_is(table, rows):
-    got = sim.topk_join(table, table, 500, **KEYS, exclude_same_id=False, scan_queries=0, block=50)
+@pytest.mark.parametrize("collapse", [False, True])
+def test_more_wanted_than_there_is(table, rows, collapse):
+    got = sim.topk_join(table, table, 500, **KEYS, exclude_same_id=False, scan_queries=0, block=50, collapse=collapse)
     assert result(got) == brute(rows, 500, exclude=False)
 
 
+def test_copies_are_noticed_and_held_once(table):
+    side = sim._side(table, "doc", "id", "v", None)
+    assert sim._has_copies(side, "doc_vec") and not sim._has_copies(side.where("doc_id not like 'copy%'"), "doc_vec")
+    assert sim._first_copies(side, 4, False).where("doc_id like 'copy%'").count() == 3  # and the original
+
+
 def test_no_docs_and_no_queries(spark, table):
     none = table.limit(0)
     assert result(sim.topk_join(table, none, 2, **KEYS, scan_queries=0)) == []
@@ -101,6 +108,16 @@ def test_pruned_equals_brute_force(table, rows, index, block):
     assert result(got) == brute(rows, 3)
 
 
+@pytest.mark.parametrize("collapse", [False, True])
+def test_index_that_holds_few_copies(table, rows, collapse):
+    small = sim.build_index(table, "id", "v", 4, group_col="grp", keep_copies=4)
+    assert sum(small.sizes.values()) < 130
+    got = sim.pruned_topk(table, small, 3, **QUERY_KEYS, query_group="grp", collapse=collapse)
+    assert result(got) == brute(rows, 3, None, True, True)
+    with pytest.raises(ValueError, match="copies"):
+        sim.pruned_topk(table, small, 4, **QUERY_KEYS)
+
+
 def test_pruned_with_floor_and_groups(table, rows, index):
     got = sim.pruned_topk(table, index, 3, **QUERY_KEYS, floor=0.6, query_group="grp")
     assert result(got) == brute(rows, 3, 0.6, True, True)
@@ -144,6 +161,6 @@ def test_docs_are_not_shuffled_for_few_queries(table):
 
 
 def test_plan_keeps_k_per_query_before_the_shuffle(table):
-    plan = sim.topk_join(table, table, 3, **KEYS, scan_queries=0, block=60)._jdf.queryExecution().executedPlan().toString()
+    plan = sim.topk_join(table, table, 3, **KEYS, scan_queries=0, block=60, collapse=False)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "shufflepartitionidpassthrough" in plan
     assert plan.count("REPARTITION_BY_NUM") == 2  # nothing is shuffled again for the grouping
