@@ -11,6 +11,7 @@ from pairloom.session import stage
 
 HOT_ROWS = 2_000_000  # rows of one key beyond which the key is cut into time slices
 MAX_SLICES = 10_000
+MAX_BROADCAST = 2_000_000  # keys or time points in one broadcast
 
 
 def interval(span: dt.timedelta) -> Column:
@@ -41,15 +42,9 @@ def point_in_time(spine: DataFrame, features: DataFrame, keys, spine_ts: str, fe
                         F.struct(*spine.columns).alias("_row"))
     cuts = _time_cuts(facts, asks, keys, hot_rows)
     if cuts is None:
-        rows, slices = facts.unionByName(asks, allowMissingColumns=True), []
+        found = _as_of(facts, asks, keys)
     else:
-        facts, asks = _with_slice(facts, cuts, keys), _with_slice(asks, cuts, keys)
-        rows = facts.unionByName(asks, allowMissingColumns=True).unionByName(
-            _carried(facts, cuts, keys), allowMissingColumns=True)
-        slices = ["_slice"]
-    order = Window.partitionBy(*keys, *slices).orderBy("_ts", "_kind", "_tie")
-    seen = F.last("_value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    found = rows.withColumn("_seen", seen).where(F.col("_kind") == 1)
+        found = _split_as_of(facts, asks, cuts, keys)
     fresh = F.col("_seen._at").isNotNull()
     if ttl is not None:
         fresh = F.col("_seen._at") >= F.col("_ts") - interval(ttl)
@@ -57,35 +52,73 @@ def point_in_time(spine: DataFrame, features: DataFrame, keys, spine_ts: str, fe
                         *[F.when(fresh, F.col("_seen")[c]).alias(c) for c in columns])
 
 
+def _as_of(facts: DataFrame, asks: DataFrame, partition: list, order=("_ts", "_kind", "_tie")) -> DataFrame:
+    """The asks with ``_seen``, the last value at or before them within their partition."""
+    window = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = facts.unionByName(asks, allowMissingColumns=True)
+    return rows.withColumn("_seen", F.last("_value", ignorenulls=True).over(window)).where(F.col("_kind") == 1)
+
+
+def _split_as_of(facts: DataFrame, asks: DataFrame, cuts: DataFrame, keys: list) -> DataFrame:
+    """``_as_of`` where the keys in ``cuts`` are cut into time slices.
+
+    Of a hot key, each instant takes part once: features of one instant are reduced to the winner of the
+    tie-break, and spine rows of one instant share its answer, fetched by an equi-join that AQE may split.
+    """
+    hot = _bounded(cuts.select(*keys), cuts.count())
+    timed = F.col("_ts").isNotNull()
+    hot_asks = asks.where(timed).join(hot, keys, "left_semi")
+    calm_asks = asks.where(timed).join(hot, keys, "left_anti").unionByName(asks.where(~timed))
+    calm = _as_of(facts.join(hot, keys, "left_anti"), calm_asks, keys)
+    values = facts.join(hot, keys, "left_semi").groupBy(*keys, "_ts").agg(F.max_by("_value", "_tie").alias("_value"))
+    values = _with_slice(values, cuts, keys).withColumn("_kind", F.lit(0))
+    instants = _with_slice(hot_asks.select(*keys, "_ts").distinct(), cuts, keys).withColumn("_kind", F.lit(1))
+    known = values.unionByName(_carried(values, cuts, keys), allowMissingColumns=True)
+    answers = _as_of(known, instants, [*keys, "_slice"], ["_ts", "_kind"]).select(*keys, "_ts", "_seen")
+    columns = ["_row", "_ts", "_seen"]
+    return calm.select(*columns).unionByName(hot_asks.join(answers, [*keys, "_ts"]).select(*columns))
+
+
+def _bounded(df: DataFrame, entries: int) -> DataFrame:
+    """A broadcast hint where the counted size allows it; otherwise the optimizer chooses."""
+    return F.broadcast(df) if entries <= MAX_BROADCAST else df
+
+
 def _time_cuts(facts: DataFrame, asks: DataFrame, keys: list, hot_rows: int) -> DataFrame | None:
-    """Quantiles of the time of each hot key, stored so that every use sees the same cuts; None without any.
+    """For each key of over ``hot_rows`` rows the quantiles of its times; None without such a key.
 
-    A hot key holds over ``hot_rows`` rows, so there are at most ``rows / hot_rows`` of them.
+    Stored, so that every use sees the same cuts. A key gets about one cut per ``hot_rows`` of its rows, so
+    all cuts together are at most about ``2 * rows / hot_rows``.
     """
     times = facts.select(*keys, "_ts").unionAll(asks.select(*keys, "_ts"))
     sizes = times.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    for key in keys:
+        sizes = sizes.where(F.col(key).isNotNull())
     hot = stage(sizes, "hot-keys")
-    largest = hot.agg(F.max("_n")).first()[0]
-    if largest is None:
+    totals = hot.agg(F.max("_n").alias("largest"), F.count("*").alias("keys")).first()
+    if not totals["keys"]:
         return None
-    slices = min(MAX_SLICES, math.ceil(largest / hot_rows))
+    slices = max(2, min(MAX_SLICES, math.ceil(totals["largest"] / hot_rows)))
     quantiles = [i / slices for i in range(1, slices)]
-    hot_times = times.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+    hot_times = times.join(_bounded(hot, totals["keys"]), keys)
     points = F.percentile_approx("_ts", quantiles, 10 * slices)
-    return stage(hot_times.groupBy(*keys).agg(F.array_distinct(points).alias("_cuts")), "time-cuts")
+    every = hot_times.groupBy(*keys).agg(points.alias("_points"), F.max("_n").alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(slices) / F.ceil(F.col("_n") / hot_rows)))
+    thinned = F.filter("_points", lambda x, i: (i + 1) % step == 0)
+    return stage(every.select(*keys, F.array_distinct(thinned).alias("_cuts")), "time-cuts")
 
 
 def _with_slice(df: DataFrame, cuts: DataFrame, keys: list) -> DataFrame:
-    before = F.size(F.filter(F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType)),
-                             lambda c: c < F.col("_ts")))
-    return df.join(F.broadcast(cuts), keys, "left").withColumn("_slice", before).drop("_cuts")
+    """Rows of the keys in ``cuts`` with the number of cuts before their time."""
+    points = cuts.agg(F.sum(F.size("_cuts"))).first()[0]
+    before = F.size(F.filter("_cuts", lambda c: c < F.col("_ts")))
+    return df.join(_bounded(cuts, points), keys).withColumn("_slice", before).drop("_cuts")
 
 
-def _carried(facts: DataFrame, cuts: DataFrame, keys: list) -> DataFrame:
-    """For each slice of a hot key, the newest feature of the slices before; sorted first by its null time."""
+def _carried(values: DataFrame, cuts: DataFrame, keys: list) -> DataFrame:
+    """For each slice of a key, the newest value of the slices before; sorted first by its null time."""
     slices = cuts.select(*keys, F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_slice"))
-    hot = facts.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-    newest = hot.groupBy(*keys, "_slice").agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_newest"))
+    newest = values.groupBy(*keys, "_slice").agg(F.max_by("_value", "_ts").alias("_newest"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.join(newest, [*keys, "_slice"], "left").withColumn(
         "_value", F.last("_newest", ignorenulls=True).over(earlier))

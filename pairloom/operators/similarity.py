@@ -22,6 +22,7 @@ SCAN_QUERIES = 256       # up to this many queries are sent to the docs instead
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
 MAX_CELL_TASKS = 20_000
 COPIED_SHARE = 0.8       # below this share of distinct vectors, copies are compared once
+COPIED_PAIRS = 10 ** 9   # with fewer pairs to compare, looking for copies costs more than it saves
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 64
 CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>, keep_copies int"
@@ -150,13 +151,14 @@ def _first_copies(docs: DataFrame, keep: int, grouped: bool) -> DataFrame:
     return first.drop("_copy", "_nth")
 
 
-def _search(queries: DataFrame, k: int, exclude_same_id: bool, grouped: bool, collapse: bool | None, run) -> DataFrame:
+def _search(queries: DataFrame, n_docs: int, k: int, exclude_same_id: bool, grouped: bool, collapse: bool | None,
+            run) -> DataFrame:
     """Rank what ``run(queries, k, exclude_same_id)`` finds; queries with the same vector are searched once.
 
     One row then stands for all copies and asks for one result more, since each copy leaves out its own id.
     """
     if collapse is None:
-        collapse = _has_copies(queries, "query_vec")
+        collapse = queries.count() * n_docs > COPIED_PAIRS and _has_copies(queries, "query_vec")
     if not collapse:
         return _rank(run(queries, k, exclude_same_id), k)
     wanted = k + 1 if exclude_same_id else k
@@ -203,8 +205,7 @@ def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None,
 
 
 def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool, grouped: bool,
-          block: int | None) -> DataFrame:
-    n_queries, n_docs = queries.count(), docs.count()
+          n_queries: int, n_docs: int, block: int | None) -> DataFrame:
     block = block or _block_rows(n_queries, n_docs, _parallelism(docs))
     q_blocks, d_blocks = max(1, -(-n_queries // block)), max(1, -(-n_docs // block))
     q = (
@@ -273,7 +274,8 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
     sees more than two blocks, whatever the data looks like. A cell keeps k rows per query, never the
     pairs. Similarities are rounded to six decimals before ranking; ties go to the smaller doc id. Rows
     below ``floor``, zero vectors, the query's own id and, with groups, its own group are left out.
-    ``collapse`` compares copies of a vector once, which changes no result; by default where there are many.
+    ``collapse`` compares copies of a vector once, which changes no result; by default where there are many
+    copies and many pairs to compare.
     Inputs are counted, then read: pass stored or staged tables.
     """
     q = _side(queries, "query", query_id, query_vec, query_group)
@@ -282,13 +284,16 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
     n_queries = queries.count()
     if n_queries <= scan_queries:
         return _rank(_scan(q.toArrow(), q.schema["query_id"].dataType, d, k, floor, exclude_same_id, grouped), k)
-    if _has_copies(d, "doc_vec") if collapse is None else collapse:
+    n_docs = docs.count()
+    big = n_queries * n_docs > COPIED_PAIRS
+    if (big and _has_copies(d, "doc_vec")) if collapse is None else collapse:
         d = stage(_first_copies(d, k + 1 if exclude_same_id else k, grouped), "distinct-docs")
+        n_docs = d.count()
 
     def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
-        return _grid(asked, d, wanted, floor, exclude, grouped, block)
+        return _grid(asked, d, wanted, floor, exclude, grouped, n_queries if asked is q else asked.count(), n_docs, block)
 
-    return _search(q, k, exclude_same_id, grouped, collapse, run)
+    return _search(q, n_docs, k, exclude_same_id, grouped, collapse, run)
 
 
 # ---------------------------------------------------------------- centroid lists
@@ -467,7 +472,7 @@ def probe_topk(queries: DataFrame, index: VectorIndex, k: int, nprobe: int, *, q
         return _listed_cells(_route(asked, index, _nearest_lists(nprobe)), index, wanted, floor, exclude, grouped, block)
 
     q = _side(queries, "query", query_id, query_vec, query_group)
-    return _search(q, k, exclude_same_id, grouped, collapse, run)
+    return _search(q, sum(index.sizes.values()), k, exclude_same_id, grouped, collapse, run)
 
 
 def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str, query_vec: str,
@@ -507,4 +512,4 @@ def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str
         return first.select("query_id", "doc_id", "similarity").unionByName(second)
 
     q = _side(queries, "query", query_id, query_vec, query_group)
-    return _search(q, k, exclude_same_id, grouped, collapse, run)
+    return _search(q, sum(index.sizes.values()), k, exclude_same_id, grouped, collapse, run)

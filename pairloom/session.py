@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_own_folders: dict = {}
 
 
 def build_session(master: str | None = None, name: str = "pairloom", shuffle_partitions: int | None = None,
@@ -48,10 +49,12 @@ def staging_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pairloom-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
+        if context.applicationId not in _own_folders:
+            _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="pairloom-")
+        folder = _own_folders[context.applicationId]
     return folder.rstrip("/")
 
 

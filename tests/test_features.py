@@ -40,14 +40,15 @@ def test_hot_keys_against_brute_force(spark, hot_rows):
     rng = random.Random(hot_rows)
     key = lambda: "hot" if rng.random() < 0.6 else f"k{rng.randrange(6)}"
     time = lambda: T0 + dt.timedelta(minutes=rng.randrange(60 * 24 * 9))
-    spine = [(key(), time(), i) for i in range(200)]
+    spine = [(key(), time(), i) for i in range(200)] + [("hot", T0 + 4 * DAY, 200 + i) for i in range(30)]
+    spine += [("hot", None, 230), (None, T0, 231)]
     facts = [(key(), time(), i, i) for i in range(200)] + [("hot", T0 + 3 * DAY, 1000 + i, 1000 + i) for i in range(40)]
     want = {}
     for k, at, tag in spine:
-        seen = [(t, w, v) for fk, t, v, w in facts if fk == k and at - DAY <= t <= at]
+        seen = [(t, w, v) for fk, t, v, w in facts if fk == k and at is not None and at - DAY <= t <= at]
         want[tag] = max(seen)[2] if seen else None
     got, n = joined(spark, spine, facts, hot_rows=hot_rows)
-    assert n == 200 and got == want
+    assert n == 232 and got == want
 
 
 def test_without_ttl_and_with_a_clash(spark):

@@ -52,7 +52,8 @@ QUERY_KEYS = {"query_id": "id", "query_vec": "v"}
 
 @pytest.mark.parametrize("scan, block, collapse", [(0, 17, False), (0, 1000, False), (0, 40, True), (0, 40, None),
                                                    (10_000, None, None)])
-def test_exact_equals_brute_force(table, rows, scan, block, collapse):
+def test_exact_equals_brute_force(table, rows, scan, block, collapse, monkeypatch):
+    monkeypatch.setattr(sim, "COPIED_PAIRS", 0)
     got = sim.topk_join(table, table, 3, **KEYS, scan_queries=scan, block=block, collapse=collapse)
     assert result(got) == brute(rows, 3)
 
