@@ -77,20 +77,35 @@ class HashingEncoder:
         return encode(F.lower(text))
 
 
+_models: dict = {}  # in each Python worker: the models loaded so far, by name
+
+
+def _loaded(name: str | None, loader: Callable):
+    if name is None:
+        return loader()
+    if name not in _models:
+        _models[name] = loader()
+    return _models[name]
+
+
 @dataclass(frozen=True)
 class ModelEncoder:
-    """An encoder from user code: ``loader()`` runs once per Python task and returns ``list[str] -> matrix``."""
+    """An encoder from user code: ``loader()`` returns ``list[str] -> matrix`` and runs once per Python task.
+
+    With a ``name``, the tasks that follow each other in one Python worker share the loaded model.
+    """
 
     loader: Callable[[], Callable[[list], np.ndarray]]
     dim: int = 384
     batch_size: int = 256
+    name: str | None = None
 
     def __call__(self, text: Column) -> Column:
-        loader, dim, size = self.loader, self.dim, self.batch_size
+        loader, dim, size, name = self.loader, self.dim, self.batch_size, self.name
 
         @F.arrow_udf(VECTOR)
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            model = loader()
+            model = _loaded(name, loader)
             for batch in batches:
                 texts = [t or "" for t in batch.to_pylist()]
                 parts = [np.asarray(model(texts[i:i + size]), dtype=np.float32) for i in range(0, len(texts), size)]

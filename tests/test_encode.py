@@ -29,15 +29,25 @@ def test_unit_length_and_zero(spark):
         assert norm == pytest.approx(1.0, abs=1e-6) or (norm == 0 and not (row.text or "").strip("_"))
 
 
-def test_model_encoder_loads_per_task(spark):
+@pytest.mark.parametrize("name", [None, "lengths"])
+def test_model_encoder(spark, name):
     def load():
         return lambda texts: np.array([[len(t), 1.0] for t in texts])
 
     df = spark.createDataFrame([("abc",), ("",), (None,)], "t string").coalesce(1)
-    got = [list(r.v) for r in df.select(ModelEncoder(load, dim=2, batch_size=2)(F.col("t")).alias("v")).collect()]
+    encoder = ModelEncoder(load, dim=2, batch_size=2, name=name)
+    got = [list(r.v) for r in df.select(encoder(F.col("t")).alias("v")).collect()]
     assert got == [[3.0, 1.0], [0.0, 1.0], [0.0, 1.0]]
 
 
+def test_model_is_loaded_once_per_name():
+    from pairloom.operators.encode import _loaded
+    loads = []
+    for name in ("a", "a", "b", None, None):
+        _loaded(name, lambda: loads.append(name) or name)
+    assert loads == ["a", "b", None, None]
+
+
 def test_model_of_the_wrong_length_fails(spark):
     df = spark.createDataFrame([("abc",)], "t string")
     encoder = ModelEncoder(lambda: lambda texts: np.zeros((len(texts), 3)), dim=2)

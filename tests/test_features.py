@@ -8,6 +8,7 @@ from pairloom.operators import quality
 from pairloom.operators.encode import HashingEncoder
 from pairloom.operators.materialize import latest_per_key, online_lookup, time_window
 from pairloom.operators.pit import point_in_time
+from pairloom.operators.similarity import build_index
 from pairloom.plans.store import FeatureStore
 from pairloom.sources.versions import VersionedTable, last_upto
 from pairloom.sources.views import Entity, FeatureView, Registry, VectorField, standard_views
@@ -208,3 +209,8 @@ def test_search_and_on_demand(spark, tmp_path):
     found = store.answer("wiki_passages", asked, "query_text", "query_text", encoder, 1).collect()
     assert {r.query_text: r.id for r in found} == {"two three one": "2", "green": "1"}
     assert {r.query_text: r.distance for r in found}["two three one"] == 1.0
+    index = build_index(store.online("wiki_passages"), "id", "embeddings", 2)
+    for nprobe in (None, 2):
+        again = store.answer("wiki_passages", asked, "query_text", "query_text", encoder, 1, index=index,
+                             nprobe=nprobe, features=["wiki_passages:text"])
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found))
