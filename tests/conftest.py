@@ -14,7 +14,7 @@ DATA = os.environ.get("PAIRLOOM_TESTDATA", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", "pairloom-tests", shuffle_partitions=8)
+    session = build_session("local[8]", "pairloom-tests", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
