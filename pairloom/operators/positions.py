@@ -32,7 +32,7 @@ def dense_position(df: DataFrame, order_by, name: str = "pos", partitions: int |
     )
 
 
-def hash_position(df: DataFrame, key: Column, name: str = "pos", ties=(), within=(), digits: int = 3) -> DataFrame:
+def hash_position(df: DataFrame, key: Column, name: str = "pos", ties=(), within=(), digits: int = 4) -> DataFrame:
     """Position in the order of a hex hash ``key`` (then of ``ties``), counted within ``within`` if given.
 
     The leading digits of the hash are the bucket, a pure function of the row: uniform by construction,

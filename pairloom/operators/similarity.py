@@ -188,20 +188,21 @@ def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None,
                grouped: bool, cells: int) -> DataFrame:
     """Both sides carry ``_cell``, a number below ``cells``: one matrix product that keeps k rows per query.
 
-    Cell numbers are partition numbers, one cell per task; only with very many cells do tasks share.
+    A task takes one cell, or with very many cells a run of neighbours, which mostly belong to the same
+    queries, so that ranking can drop rows before the next shuffle.
     """
     fields = [T.StructField("query_id", queries.schema["query_id"].dataType),
               T.StructField("doc_id", docs.schema["doc_id"].dataType),
               T.StructField("similarity", T.DoubleType())]
     kernel = _cell_kernel(k, -math.inf if floor is None else floor, exclude_same_id, grouped)
+    run = max(1, -(-cells // MAX_CELL_TASKS))
+    tasks = max(1, -(-cells // run))
 
-    def placed(side: DataFrame) -> DataFrame:
-        if cells <= MAX_CELL_TASKS:
-            return side.withColumn("_cell", F.col("_cell").cast("int")).repartitionById(max(1, cells), "_cell")
-        return side.repartition(MAX_CELL_TASKS, "_cell")
+    def placed(side: DataFrame):
+        numbered = side.withColumn("_task", F.floor(F.col("_cell") / run).cast("int"))
+        return numbered.repartitionById(tasks, "_task").groupBy("_task", "_cell")
 
-    left, right = placed(queries).groupBy("_cell"), placed(docs).groupBy("_cell")
-    return left.cogroup(right).applyInArrow(kernel, T.StructType(fields))
+    return placed(queries).cogroup(placed(docs)).applyInArrow(kernel, T.StructType(fields))
 
 
 def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool, grouped: bool,

@@ -77,6 +77,14 @@ def test_copies_are_noticed_and_held_once(table):
     assert sim._first_copies(side, 4, False).where("doc_id like 'copy%'").count() == 3  # and the original
 
 
+def test_many_cells_share_tasks(table, rows, monkeypatch):
+    monkeypatch.setattr(sim, "MAX_CELL_TASKS", 5)
+    got = sim.topk_join(table, table, 3, **KEYS, scan_queries=0, block=30)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "passthrough(direct_shuffle_partition_id(_task" in plan and plan.count("REPARTITION_BY_NUM") == 2
+    assert result(got) == brute(rows, 3)
+
+
 def test_no_docs_and_no_queries(spark, table):
     none = table.limit(0)
     assert result(sim.topk_join(table, none, 2, **KEYS, scan_queries=0)) == []
