@@ -1,4 +1,4 @@
-"""Command line: ``chunk`` a corpus, ``prepare`` the training tables, ``reembed`` a corpus."""
+"""Command line: ``chunk`` a corpus, ``prepare`` the training tables, ``train`` on them, ``reembed`` a corpus."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ import sys
 
 from pairloom.functions.text import CHUNK_BUDGET
 from pairloom.operators.encode import HashingEncoder
-from pairloom.plans.jobs import build_training_data, chunk_job, reembed_job
+from pairloom.plans.jobs import TrainConfig, build_training_data, chunk_job, load_pairs, reembed_job, train_job
+from pairloom.plans.store import FeatureStore
 from pairloom.session import build_session
+from pairloom.sources.views import standard_views
 
 
 def main(argv=None) -> int:
@@ -30,7 +32,18 @@ def main(argv=None) -> int:
     r = jobs.add_parser("reembed")
     r.add_argument("-i", "--input", required=True)
     r.add_argument("-o", "--output", required=True)
-    for sub in (p, r):
+    t = jobs.add_parser("train")
+    t.add_argument("--data-dir", required=True, help="the output folder of prepare")
+    t.add_argument("-o", "--output", required=True)
+    t.add_argument("--mode", choices=("pit", "direct"), default="pit")
+    t.add_argument("--max-samples", type=int)
+    t.add_argument("--epochs", type=int, default=TrainConfig.epochs)
+    t.add_argument("--batch-size", type=int, default=TrainConfig.batch_size)
+    t.add_argument("--learning-rate", type=float, default=TrainConfig.learning_rate)
+    t.add_argument("--world-size", type=int, default=TrainConfig.world_size)
+    t.add_argument("--hard-negative-update-freq", type=int, default=TrainConfig.hard_negative_update_freq)
+    t.add_argument("--write-shards", action="store_true")
+    for sub in (p, r, t):
         sub.add_argument("--dim", type=int, default=384)
         sub.add_argument("--run-ts", default=dt.datetime.now().isoformat(sep=" "))
     args = parser.parse_args(argv)
@@ -41,6 +54,14 @@ def main(argv=None) -> int:
         search = {"index_lists": args.index_lists} if args.index_lists else {}
         print(build_training_data(spark, args.source_data, args.output_dir, HashingEncoder(args.dim), args.run_ts,
                                   args.hard_negatives_per_query, args.random_negative_ratio, args.seed, **search))
+    elif args.job == "train":
+        store = FeatureStore(spark, args.output, standard_views(args.data_dir, args.dim))
+        config = TrainConfig(args.epochs, args.batch_size, args.learning_rate, args.world_size,
+                             hard_negative_update_freq=args.hard_negative_update_freq, write_shards=args.write_shards)
+        now = dt.datetime.fromisoformat(args.run_ts)
+        done = train_job(spark, load_pairs(store, args.mode, args.max_samples, now), HashingEncoder(args.dim),
+                         args.output, config, now)
+        print({key: done[key] for key in ("run_id", "losses", "hard_negative_updates")})
     else:
         print(reembed_job(spark, args.input, args.output, HashingEncoder(args.dim), args.run_ts))
     return 0

@@ -111,7 +111,6 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
     for epoch in range(config.epochs):
         current = table.read()
         if refresh.is_refresh_epoch(epoch, config.hard_negative_update_freq):
-            before = current.count()
             refreshed = refresh.refresh_hard_negatives(
                 _current(current, weights), run_ts + dt.timedelta(seconds=epoch), config.seed, epoch,
                 query_vec="query_now", doc_vec="doc_now", query_carry=["query_vec"], doc_carry=["doc_vec"])
@@ -123,8 +122,7 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
             if added:
                 updates += 1
                 metrics.append_metrics(metrics.values(spark, run_id, epoch, {
-                    "Hard_Negatives/New_Pairs_Added": added, "Hard_Negatives/Total_Updates": updates,
-                    "Hard_Negatives/Size_Change": current.count() - before}), log)
+                    "Hard_Negatives/New_Pairs_Added": added, "Hard_Negatives/Total_Updates": updates}), log)
         split = splits.train_eval_split(current, f"{config.seed}:{updates}")
         train_rows = split.where(F.col("split") == "train").drop("split")
         if config.write_shards:

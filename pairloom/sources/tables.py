@@ -48,13 +48,13 @@ def chunked_path(path: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than there are task slots is dealt out to all slots.
+    """A scan with so few splits that half the task slots would idle is dealt out to all slots.
 
     For small inputs in one file before work that costs far more than the move. A table with enough splits
     is left as it is, so large tables are never moved.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    return df.repartition(slots) if 2 * df.rdd.getNumPartitions() <= slots else df
 
 
 def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -115,3 +115,10 @@ def test_command_line(spark, built, tmp_path, capsys):
     out = str(tmp_path / "c.parquet")
     assert main(["chunk", "-i", f"{root}/passages.parquet", "-o", out, "-m", "100"]) == 0
     assert spark.read.parquet(out).count() > 0 and out in capsys.readouterr().out
+    run = str(tmp_path / "run")
+    assert main(["train", "--data-dir", root, "-o", run, "--mode", "direct", "--max-samples", "100", "--epochs", "1",
+                 "--dim", "64", "--run-ts", "2024-02-01 00:00:00"]) == 0
+    sizes = {r.tag: r.value for r in spark.read.parquet(f"{run}/metrics").where("tag like 'Dataset/%Size'").collect()}
+    held_out = spark.read.parquet(f"{run}/test_set").count()
+    assert sizes["Dataset/Total_Size"] == 100 - held_out
+    assert sizes["Dataset/Train_Size"] == int(0.8 * (100 - held_out))
