@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _own_folders: dict = {}
+_shipped: set = set()
 
 
 def build_session(master: str | None = None, name: str = "pairloom", shuffle_partitions: int | None = None,
@@ -38,7 +40,23 @@ def build_session(master: str | None = None, name: str = "pairloom", shuffle_par
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers of a session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        source = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="pairloom-"), "pairloom.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+            for folder, _, names in os.walk(source):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(source)))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def staging_dir(spark: SparkSession) -> str:

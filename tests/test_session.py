@@ -29,3 +29,22 @@ def test_staged_rows_are_the_same(spark):
     assert staged.schema.simpleString() == df.schema.simpleString()
     assert sorted(map(str, staged.collect())) == sorted(map(str, df.collect()))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_a_session_made_elsewhere_gets_the_package(tmp_path):
+    """From another folder and with plain settings, the Python workers must still find the package."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "import __spark_entry__ as driver\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('rows', driver.entry(spark).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True,
+                          timeout=120)
+    assert "rows 929" in done.stdout, done.stderr[-2000:]
