@@ -5,15 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import sentencepiece
+from pairloom.llm import decontaminate, secrets, sentencepiece, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
+# The rules of the url query.
+URL_RULES = (
+    urls.HostRule("allow", "com/"), urls.HostRule("block", "example.com/en/"), urls.HostRule("allow", "www.example.com/en/"),
+    urls.HostRule("block", "net/es/"), urls.HostRule("block", "net/fr/"),
+)
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encode_documents(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece,)}
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
+def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op7_secrets, op8_urls, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
