@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import decontaminate, jaccard, secrets, sentencepiece, urls
+from pairloom.llm import decontaminate, jaccard, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -32,9 +32,13 @@ def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+def op9_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.without_repeats(table(spark, folder, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op7_secrets, op8_urls, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
