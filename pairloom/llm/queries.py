@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import decontaminate, jaccard, secrets, sentencepiece, substring, urls
+from pairloom.llm import decontaminate, jaccard, pii, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.groups(table(spark, folder, "documents"))
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
@@ -40,5 +44,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op4_pii, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
