@@ -65,6 +65,17 @@ def differences(size: int, least=LEAST) -> int:
     return size * (100 - least) // least
 
 
+def _poisson_above(rate: float, c: int) -> float:
+    """The chance of more than ``c`` events; beyond a rate of 500 the normal limit."""
+    if rate > 500:
+        return 0.5 * math.erfc((c + 0.5 - rate) / math.sqrt(2 * rate))
+    term = held = math.exp(-rate)
+    for j in range(1, c + 1):
+        term *= rate / j
+        held += term
+    return max(0.0, 1 - held)
+
+
 def allocate(low: int, top: int, count: int, least=LEAST) -> tuple[int, int, int]:
     """(a, b, c) of a band: expected signatures plus the expected cost of the pairs that say nothing."""
     need, best = differences(top, least) + 1, None
@@ -77,7 +88,7 @@ def allocate(low: int, top: int, count: int, least=LEAST) -> tuple[int, int, int
             mean = size / (b + a)
             empty = math.exp(-low / (b + a))
             rate = b * empty
-            surplus = max(0.0, 1 - sum(math.exp(-rate) * rate ** j / math.factorial(j) for j in range(c + 1))) if b and rate < 500 else 0.0
+            surplus = _poisson_above(rate, c) if b else 0.0
             pairs = (count * surplus) ** 2 / (2 * b) if b else 0.0
             if a + b > 1:
                 pairs += a * (count * empty * (1 + mean)) ** 2 / 2
