@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, pii, secrets, sentencepiece, substring, urls
+from pairloom.llm import decontaminate, jaccard, neighbours, pii, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -28,6 +28,10 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
@@ -44,5 +48,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op4_pii, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op4_pii, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
