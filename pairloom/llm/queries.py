@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, neighbours, pii, secrets, sentencepiece, substring, urls
+from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -20,6 +20,11 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encode_documents(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.predict(docs, language.model(docs))
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.groups(table(spark, folder, "documents"))
 
@@ -48,5 +53,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_ngram_jaccard, op4_pii, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
