@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, secrets, sentencepiece, substring, urls
+from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -33,6 +33,10 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -53,5 +57,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
 ORACLE: dict[str, str] = {}
