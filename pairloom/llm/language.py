@@ -22,6 +22,7 @@ UNKNOWN = "und"
 HIDDEN, SEGMENT, PIECE, PER_LANGUAGE = 8, 128, 256, 500
 BATCH, STEPS, RATE, SEED = 96, 420, 0.02, 11
 LANES = 2048
+PASS = 4_000_000
 # Python's own idea of a letter, so that any script counts.
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -221,23 +222,29 @@ def model(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | No
     return train(training_rows(docs, per_language))
 
 
-def predict(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row; one pass, without a shuffle."""
+def predict(docs: DataFrame, net: ByteNetwork | None, keep=()) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row, one pass without a shuffle.
+
+    With ``keep``, these columns of ``docs`` follow unchanged; one named like a result is left out.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(net)
+    names = ["doc_id", "held_out", "lang_pred", "score"]
+    kept = [c for c in keep if c not in names]
 
     def run(batches):
         net = sent.value
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(2).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             found, held, size = [], [], 0
             for i, text in enumerate(texts):
                 held.append(text)
                 size += len(text)
-                if size > 4_000_000 or i + 1 == len(texts):
+                if size > PASS or i + 1 == len(texts):
                     found += label_texts(net, held) if net else [(UNKNOWN, 0.0)] * len(held)
                     held, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                                             ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                                              *batch.columns[3:]], names + kept)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").alias("_text"), *kept)
+    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+    return rows.mapInArrow(run, ", ".join([schema, *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)]))
