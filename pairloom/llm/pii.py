@@ -101,7 +101,7 @@ class _Stretch:
                 continue
             if word[0] in "0123456789" or word in "+(":
                 self._numbers(words, blocked, i)
-            if word.isalnum():
+            if word.isalnum() and word.lower() not in ("at", "dot"):
                 self._addresses(words, blocked, i)
 
     def _numbers(self, words, blocked, i):
