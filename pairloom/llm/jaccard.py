@@ -14,7 +14,9 @@ cost, from the counts of all sizes.
 
 Groups. A signature shared by g sets gives g - 1 pairs with its smallest id, not g * g. Each set is first checked
 against the partner it shares most signatures with; pairs already connected need no check. What is left are
-signatures whose sets still lie in different groups: all their pairs across groups are checked, so no link is lost.
+signatures whose sets still lie in different groups. Up to ``HOT`` sets, all pairs across groups are checked. The sets of
+larger ones are near copies below the threshold, or share a common passage; of their pairs across groups those are
+checked that also share one of their rarest shingles, which every linked pair does. So no link is lost.
 
 Null text counts as empty; ties, repeated rows of the same id and extra columns do not matter (a repeated id counts
 as one document with the copies' sets, each row being returned); an empty table gives an empty result.
@@ -39,6 +41,9 @@ LEAST = 85
 BAND = 1.3
 PAIR_COST = 300.0
 FLUSH = 1_500_000
+# Signatures with more sets than this are settled by the rarest shingles instead of by their pairs.
+HOT = 16
+_FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64), 7) | np.uint64(1)
 
 
 def shingles(text: str) -> np.ndarray:
@@ -46,10 +51,12 @@ def shingles(text: str) -> np.ndarray:
     words = hash_words(text.encode().lower().split())
     if len(words) < WORDS:
         return words[:0] if not len(words) else mix(np.array([xxhash.xxh64_intdigest(words.tobytes())], np.uint64), len(words))
-    code = words[:len(words) - WORDS + 1].copy()
+    code = words[:len(words) - WORDS + 1] * _FACTORS[0]
     for i in range(1, WORDS):
-        code = mix(code, 7) + words[i:len(words) - WORDS + 1 + i]
-    return np.unique(mix(code, 11))
+        code += words[i:len(words) - WORDS + 1 + i] * _FACTORS[i]
+    code = mix(code, 11)
+    code.sort()
+    return code[np.concatenate([[True], code[1:] != code[:-1]])]
 
 
 def band_tops(largest: int, least=LEAST) -> list[int]:
@@ -111,11 +118,11 @@ def schemes(histogram: dict[int, int], least=LEAST) -> tuple[list[int], list[tup
 def _sign(codes: np.ndarray, band: int, a: int, b: int, c: int) -> np.ndarray:
     """Signatures of a set under the scheme of a band; the first ``a`` segments take one deletion."""
     total = a + b
-    key = mix(codes, 1000 + band)
-    segment = ((key >> np.uint64(32)) * np.uint64(total) >> np.uint64(32)).astype(np.int64)
-    value = mix(key, 3)
-    order = np.argsort(segment, kind="stable")
-    segment, value = segment[order], value[order]
+    value = mix(codes, 1000 + band)
+    segment = (value >> np.uint64(32)) * np.uint64(total) >> np.uint64(32)
+    # Small numbers are sorted by digits.
+    order = np.argsort(segment.astype(np.uint16 if total < 1 << 16 else np.uint32), kind="stable")
+    segment, value = segment[order].astype(np.int64), value[order]
     counts = np.bincount(segment, minlength=total)
     ends = np.cumsum(counts)
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
@@ -143,7 +150,7 @@ def signatures(codes: np.ndarray, tops, plan, least=LEAST) -> np.ndarray:
     while band and tops[band - 1] >= smallest:
         band -= 1
         out.append(_sign(codes, band, *plan[band]))
-    return np.unique(np.concatenate(out))
+    return np.concatenate(out)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -170,11 +177,11 @@ def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
             sig = np.concatenate(parts)
             doc = np.repeat(np.array([i for i, _ in ids], np.int64), [n for _, n in ids])
             order = np.argsort(sig, kind="stable")
-            sig, doc = sig[order], doc[order]
-            first = np.concatenate([[True], sig[1:] != sig[:-1]])
-            leader = doc[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-            back = np.lexsort((sig, doc))
-            return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)[back]), pa.array(doc[back]), pa.array(leader[back])], ["sig", "doc_id", "leader"])
+            run = sig[order]
+            first = np.concatenate([[True], run[1:] != run[:-1]])
+            leader = np.empty_like(doc)
+            leader[order] = doc[order][np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
+            return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(doc), pa.array(leader)], ["sig", "doc_id", "leader"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -222,6 +229,26 @@ def _verified(pairs: DataFrame, codes: DataFrame, least) -> DataFrame:
     return two.select("a", "b", "codes_a", "codes_b").mapInArrow(run, "a long, b long")
 
 
+def _rarest(sets: DataFrame, least) -> DataFrame:
+    """``code, id, n, place, alone``: the shingles of which a linked pair of ``sets`` (``id, n, codes``) shares one.
+
+    In any one order of all shingles, linked sets share a shingle among the first n - ceil(n * least / 100) + 1 of each;
+    the order here begins with those in the fewest sets. Shingles of a single set, ``alone`` of them, only count.
+    """
+    def run(batches):
+        for batch in batches:
+            found = [np.frombuffer(c.as_py(), np.int64) for c in batch.column(2)]
+            who = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(who) for i in range(2)), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["id", "n", "code"])
+
+    rows = sets.select("id", "n", "codes").mapInArrow(run, "id long, n long, code long")
+    common = rows.groupBy("code").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    by_set = W.partitionBy("id")
+    placed = rows.join(common, "code").withColumn("place", F.row_number().over(by_set.orderBy("sets", "code"))).withColumn("alone", F.col("n") - F.count(F.lit(1)).over(by_set))
+    placed = placed.withColumn("place", F.col("place") + F.col("alone"))
+    return placed.filter(F.col("place") <= F.col("n") - F.expr(f"(n * {least} + 99) div 100") + 1).select("code", "id", "n", "place", "alone")
+
+
 def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -252,8 +279,8 @@ def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
         return sized.filter(100 * F.least("na", "nb") >= least * F.greatest("na", "nb")).select("a", "b", "weight")
 
     pairs = scratch.stage(candidates(shared.filter("doc_id <> lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y"))), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    codes = scratch.stage(_codes(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "codes")
+    wanted = shared.select("doc_id").union(shared.select("lo")).distinct().join(rep, "doc_id").select(F.col("rep").alias("doc_id")).distinct()
+    codes = scratch.stage(_codes(docs.join(wanted, "doc_id", "left_semi")), "codes")
 
     def grouped(links: DataFrame | None, name: str) -> DataFrame:
         return components(links, scratch, name)
@@ -272,15 +299,34 @@ def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
     links = scratch.stage(links.unionByName(_verified(rest, codes, least)), "links2")
     root = grouped(links, "root2")
 
-    # Then all pairs across groups of the signatures that still have several.
+    # Then what the signatures that still have several groups leave open.
     held = shared.select("sig", "doc_id").unionByName(shared.select("sig", F.col("lo").alias("doc_id"))).join(rep, "doc_id").select("sig", F.col("rep").alias("id")).distinct()
     held = held.join(root, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
-    several = held.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("sig")
-    open_rows = scratch.stage(held.join(several, "sig").join(size, "id"), "open")
-    one, two = (open_rows.withColumnsRenamed({c: c + s for c in ("id", "root", "n")}) for s in "ab")
-    cross = (one.join(two, "sig").filter("ida < idb and roota <> rootb").filter(100 * F.least("na", "nb") >= least * F.greatest("na", "nb"))
-             .select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    links = scratch.stage(links.unionByName(_verified(cross, codes, least)), "links3")
+    several = held.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high").select("sig", "members")
+    open_rows = scratch.stage(held.join(several, "sig").join(size, "id").select("sig", "id", "root", "n", "members"), "open")
+    few = open_rows.filter(F.col("members") <= HOT).select(F.col("sig").alias("key"), "id", "n", F.lit(0).alias("place"))
+    hot = open_rows.filter(F.col("members") > HOT).select("id", "n").distinct()
+    rare = scratch.stage(_rarest(hot.join(codes.dropDuplicates(["id"]), "id"), least).withColumnRenamed("code", "key"), "rare")
+    # A set's first shared shingle stands so early in both that the rest of each can hold the overlap a link needs.
+    overlap = F.expr(f"((na + nb) * {least} + {99 + least}) div {100 + least}")
+    fits = (100 * F.least("na", "nb") >= least * F.greatest("na", "nb")) & (F.col("na") - F.col("placea") + 1 >= overlap) & (F.col("nb") - F.col("placeb") + 1 >= overlap)
+
+    # Each set with the one of fewest shingles of its own in reach, most often the text the copies were made from.
+    lead = rare.groupBy("key").agg(F.min(F.struct("alone", "id", "n", "place")).alias("lead"))
+    star = rare.join(lead, "key").select("id", F.col("n").alias("na"), F.col("place").alias("placea"), F.col("lead.id").alias("to"), F.col("lead.n").alias("nb"), F.col("lead.place").alias("placeb"))
+    star = star.filter(fits & (F.col("id") != F.col("to"))).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    star = scratch.stage(apart(star, root).select("a", "b"), "star")
+    links = scratch.stage(links.unionByName(_verified(star, codes, least)), "links3")
     root = grouped(links, "root3")
+
+    def across(rows: DataFrame) -> DataFrame:
+        rows = rows.join(root, "id", "left").select("key", "id", "n", "place", F.coalesce("root", "id").alias("root"))
+        one, two = (rows.withColumnsRenamed({c: c + s for c in ("id", "n", "place", "root")}) for s in "ab")
+        return (one.join(two, "key").filter(fits & F.expr("ida < idb and roota <> rootb")).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct())
+
+    tried = pairs.select("a", "b").unionByName(star)
+    cross = scratch.stage(across(few).unionByName(across(rare)).distinct().join(tried, ["a", "b"], "left_anti"), "cross")
+    links = scratch.stage(links.unionByName(_verified(cross, codes, least)), "links4")
+    root = grouped(links, "root4")
     return (members.join(root.withColumnsRenamed({"id": "rep"}), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component_id")))
