@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
+from pairloom.llm.oracle import ORACLE  # noqa: F401
 
 PIECES = "piece_bpe_32k.model"
 # The rules of the url query.
@@ -58,4 +59,3 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
-ORACLE: dict[str, str] = {}
