@@ -1,4 +1,4 @@
-"""Command line: ``chunk`` a corpus, ``prepare`` the training tables, ``train`` on them, ``reembed`` a corpus."""
+"""Command line: ``chunk`` a corpus, ``prepare`` the training tables, ``train`` on them, ``reembed`` a corpus, ``materialize``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import sys
 
 from pairloom.functions.text import CHUNK_BUDGET
 from pairloom.operators.encode import HashingEncoder
+from pairloom.operators.train import AdaptedEncoder, load_adapter
 from pairloom.plans.jobs import TrainConfig, build_training_data, chunk_job, load_pairs, reembed_job, train_job
 from pairloom.plans.store import FeatureStore
 from pairloom.session import build_session
@@ -32,6 +33,14 @@ def main(argv=None) -> int:
     r = jobs.add_parser("reembed")
     r.add_argument("-i", "--input", required=True)
     r.add_argument("-o", "--output", required=True)
+    r.add_argument("--adapter", help="the adapter folder of a training run")
+    for name in ("materialize", "materialize-incremental"):
+        m = jobs.add_parser(name)
+        m.add_argument("--data-dir", required=True, help="the folder of the views' sources")
+        m.add_argument("-o", "--output", required=True, help="the folder of the online tables")
+        m.add_argument("--view", required=True)
+        m.add_argument("--end", required=name != "materialize", help="the end of the time window")
+        m.add_argument("--dim", type=int, default=384)
     t = jobs.add_parser("train")
     t.add_argument("--data-dir", required=True, help="the output folder of prepare")
     t.add_argument("-o", "--output", required=True)
@@ -43,6 +52,11 @@ def main(argv=None) -> int:
     t.add_argument("--world-size", type=int, default=TrainConfig.world_size)
     t.add_argument("--hard-negative-update-freq", type=int, default=TrainConfig.hard_negative_update_freq)
     t.add_argument("--write-shards", action="store_true")
+    t.add_argument("--warmup", type=int, default=TrainConfig.warmup, help="epochs of linear warm-up")
+    t.add_argument("--refresh-queries", type=int, default=TrainConfig.refresh_queries)
+    t.add_argument("--refresh-candidates", type=int, default=TrainConfig.refresh_candidates)
+    t.add_argument("--refresh-rows", type=int, default=TrainConfig.refresh_rows)
+    t.add_argument("--final-rows", type=int, help="test rows of the final evaluation; all without it")
     for sub in (p, r, t):
         sub.add_argument("--dim", type=int, default=384)
         sub.add_argument("--run-ts", default=dt.datetime.now().isoformat(sep=" "))
@@ -57,13 +71,25 @@ def main(argv=None) -> int:
     elif args.job == "train":
         store = FeatureStore(spark, args.output, standard_views(args.data_dir, args.dim))
         config = TrainConfig(args.epochs, args.batch_size, args.learning_rate, args.world_size,
-                             hard_negative_update_freq=args.hard_negative_update_freq, write_shards=args.write_shards)
+                             warmup=args.warmup, hard_negative_update_freq=args.hard_negative_update_freq,
+                             write_shards=args.write_shards, refresh_queries=args.refresh_queries,
+                             refresh_candidates=args.refresh_candidates, refresh_rows=args.refresh_rows,
+                             final_rows=args.final_rows)
         now = dt.datetime.fromisoformat(args.run_ts)
         done = train_job(spark, load_pairs(store, args.mode, args.max_samples, now), HashingEncoder(args.dim),
                          args.output, config, now)
         print({key: done[key] for key in ("run_id", "losses", "hard_negative_updates")})
+    elif args.job == "reembed":
+        encoder = HashingEncoder(args.dim)
+        if args.adapter:
+            encoder = AdaptedEncoder(encoder, load_adapter(spark.read.parquet(args.adapter)))
+        print(reembed_job(spark, args.input, args.output, encoder, args.run_ts))
     else:
-        print(reembed_job(spark, args.input, args.output, HashingEncoder(args.dim), args.run_ts))
+        store = FeatureStore(spark, args.output, standard_views(args.data_dir, args.dim))
+        if args.job == "materialize":
+            print(store.materialize(args.view))
+        else:
+            print(store.materialize_incremental(args.view, dt.datetime.fromisoformat(args.end)))
     return 0
 
 

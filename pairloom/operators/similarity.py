@@ -24,8 +24,6 @@ MAX_CELL_TASKS = 20_000
 COPIED_SHARE = 0.8       # below this share of distinct vectors, copies are compared once
 COPIED_PAIRS = 10 ** 9   # with fewer pairs to compare, looking for copies costs more than it saves
 MAX_CENTROIDS = 4096
-SAMPLE_PER_CENTROID = 64
-CENTROID_SCHEMA = "list int, n long, radius double, centroid array<double>, keep_copies int"
 BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle bound
 
 
@@ -324,22 +322,23 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(length == 0, 1, length)
 
 
-def train_centroids(docs: DataFrame, id_col: str, vec_col: str, lists: int, seed: int = 42,
-                    iterations: int = 10) -> np.ndarray:
-    """Unit centroids from k-means (cosine) on a hash-drawn sample of bounded expected size.
+def train_centroids(docs: DataFrame, id_col: str, vec_col: str, lists: int, seed: int = 42, iterations: int = 10,
+                    sample_per_list: int | None = None, max_lists: int = MAX_CENTROIDS) -> np.ndarray:
+    """Unit centroids from distributed k-means (cosine) on all rows.
 
-    The sample only places the centroids; every row is assigned to a list and searched.
+    ``sample_per_list`` fits on a hash-drawn sample of about that many rows per list instead. It only places the
+    centroids; every row is assigned to a list and searched. ``max_lists`` bounds the matrix sent to the tasks.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    if not 1 <= lists <= MAX_CENTROIDS:
-        raise ValueError(f"lists must be between 1 and {MAX_CENTROIDS}")
+    if not 1 <= lists <= max_lists:
+        raise ValueError(f"lists must be between 1 and {max_lists}")
     usable = docs.where(F.col(vec_col).isNotNull() & F.exists(vec_col, lambda x: x != 0))
-    total = usable.count()
-    share = min(1.0, lists * SAMPLE_PER_CENTROID / max(total, 1))
-    sample = usable.where(draw(seed, F.col(id_col)) < int(share * 2 ** 32))
-    vectors = stage(sample.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features")), "kmeans")
+    if sample_per_list is not None:
+        share = min(1.0, lists * sample_per_list / max(usable.count(), 1))
+        usable = usable.where(draw(seed, F.col(id_col)) < int(share * 2 ** 32))
+    vectors = stage(usable.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features")), "kmeans")
     model = KMeans(k=lists, seed=seed, maxIter=iterations, distanceMeasure="cosine").fit(vectors)
     return _unit(np.array(model.clusterCenters()))
 
@@ -378,27 +377,6 @@ def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.nd
                        {s["_list"]: s["r"] for s in stats}, keep_copies)
 
 
-def save_index(index: VectorIndex, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Store an index: docs in one folder per list, large lists in several files, and one row per centroid."""
-    spark = index.docs.sparkSession
-    files = [(c, -(-n // rows_per_file)) for c, n in index.sizes.items()]
-    fans = F.broadcast(spark.createDataFrame(files, "_list int, _files int"))  # at most MAX_CENTROIDS rows
-    placed = index.docs.join(fans, "_list").withColumn("_file", F.pmod(F.xxhash64("doc_id"), "_files"))
-    placed.repartition("_list", "_file").drop("_files", "_file").write.partitionBy("_list").parquet(f"{path}/docs")
-    centroids = [(c, index.sizes.get(c, 0), index.radius.get(c), [float(x) for x in row], index.keep_copies)
-                 for c, row in enumerate(index.centroids)]
-    spark.createDataFrame(centroids, CENTROID_SCHEMA).write.parquet(f"{path}/centroids")
-
-
-def load_index(spark, path: str) -> VectorIndex:
-    """A stored index; a search reads only the folders of the lists it probes."""
-    rows = spark.read.parquet(f"{path}/centroids").orderBy("list").collect()
-    filled = [r for r in rows if r["n"]]
-    return VectorIndex(spark.read.parquet(f"{path}/docs"), np.array([r["centroid"] for r in rows]),
-                       {r["list"]: r["n"] for r in filled}, {r["list"]: r["radius"] for r in filled},
-                       rows[0]["keep_copies"])
-
-
 def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
     """One row per query and list that ``choose(cosines, bounds)`` selects."""
     centroids = index.centroids

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pairloom.operators.encode import VECTOR, as_lists
 from pairloom.operators.evaluate import MARGIN
 from pairloom.operators.pairs import POSITIVE
 
+ADD_GROUPS = 512
 ADAPTER_SCHEMA = "i int, weights array<double>"
 
 
@@ -56,8 +58,8 @@ def gradient(pairs: DataFrame, weights: np.ndarray, margin: float = MARGIN, quer
              doc_vec: str = "doc_vec") -> tuple[np.ndarray, float]:
     """Mean gradient and mean loss over all pairs.
 
-    Each partition sums its own rows; the sums are added row by row of the matrix in a second step, so the
-    driver receives one matrix whatever the number of partitions.
+    Each partition sums its own rows. The sums are added row by row of the matrix, first within ``ADD_GROUPS`` sets
+    of partitions and then over these, so no group grows with all partitions and the driver receives one matrix.
     """
     dim = len(weights)
     narrow = pairs.where(F.col(query_vec).isNotNull() & F.col(doc_vec).isNotNull()).select(
@@ -84,7 +86,8 @@ def gradient(pairs: DataFrame, weights: np.ndarray, margin: float = MARGIN, quer
                          pa.array([sum(rows["loss"].to_pylist())]), pa.array([sum(rows["n"].to_pylist())])],
                         names=["i", "g", "loss", "n"])
 
-    summed = narrow.mapInArrow(partials, partial_type).groupBy("i").applyInArrow(add, partial_type).collect()
+    parts = narrow.mapInArrow(partials, partial_type).withColumn("part", F.spark_partition_id() % ADD_GROUPS)
+    summed = parts.groupBy("i", "part").applyInArrow(add, partial_type).groupBy("i").applyInArrow(add, partial_type).collect()
     if not summed:
         raise ValueError("no pairs with vectors to train on")
     matrix = np.zeros((dim, dim))
@@ -94,6 +97,21 @@ def gradient(pairs: DataFrame, weights: np.ndarray, margin: float = MARGIN, quer
     return matrix / n, summed[0]["loss"] / n
 
 
+@dataclass(frozen=True)
+class AdaptedEncoder:
+    """A base encoder whose vectors pass through a trained adapter; used wherever an encoder is."""
+
+    base: object
+    weights: np.ndarray
+
+    @property
+    def dim(self) -> int:
+        return len(self.weights)
+
+    def __call__(self, text: Column) -> Column:
+        return apply_adapter(self.weights, self.base(text))
+
+
 def learning_rate(step: int, base: float, warmup: int) -> float:
     """Linear warm-up over the first ``warmup`` steps."""
     return base * min(1.0, (step + 1) / warmup) if warmup else base

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import partial
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairloom.functions.vectors import DECIMALS, dot
@@ -15,7 +16,7 @@ from pairloom.operators.materialize import latest_per_key
 from pairloom.operators.pit import point_in_time
 from pairloom.operators.refresh import refresh_hard_negatives
 from pairloom.operators.similarity import build_index, probe_topk, pruned_topk, topk_join
-from pairloom.operators.train import train_adapter
+from pairloom.operators.train import AdaptedEncoder, train_adapter
 from pairloom.plans.store import FeatureStore
 from pairloom.session import scratch_path, stage
 from pairloom.sources import metrics
@@ -34,7 +35,7 @@ WORLD, BATCH = 4, 8
 CUTS = (dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 31))
 WINDOW = dt.timedelta(days=30)
 EPOCHS, RATE = 4, 5.0
-LISTS, NPROBE = 16, 8
+LISTS = 16
 BAND = (0.1, 0.8)
 EVENTS_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
@@ -42,8 +43,6 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType())])
 EVENT_COLUMNS = EVENTS_SCHEMA.names
 
-_stored: dict = {}
-
 
 # ---------------------------------------------------------------- inputs
 
@@ -64,11 +63,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_training_set(spark: SparkSession, folder: str) -> DataFrame:
-    """The training set as written once by the build step, which is what the later steps read."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _stored:
-        _stored[key] = stage(_training_set(spark, folder), "training-set")
-    return _stored[key]
+    """The training set as the build step writes it, which is what the later steps read."""
+    return stage(_training_set(spark, folder), "training-set")
 
 
 def vector_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,6 +119,12 @@ def _unpack(df: DataFrame, strings=(), numbers=()) -> DataFrame:
     return out.drop("metadata")
 
 
+def q_passage_coverage(spark, folder):
+    """Characters of title and text together, blanks and line ends aside."""
+    both = F.concat(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
+    return passages(spark, folder).select("id", F.length(F.translate(both, " \n", "")).cast("bigint").alias("n_chars"))
+
+
 def q_positive_pairs(spark, folder):
     numbered = pairs.number_passages(passages(spark, folder))
     return _unpack(pairs.positive_pairs(numbered, RUN_TS), ["pair_type"], ["source_row"])
@@ -190,8 +192,8 @@ def q_holdout_fallback(spark, folder):
 
 
 def q_train_shards(spark, folder):
-    dealt = [splits.shards(stored_training_set(spark, folder).select("training_sample_id"), WORLD, BATCH, e, SEED)
-             for e in (0, 1)]
+    ids = stored_training_set(spark, folder).select("training_sample_id")
+    dealt = [splits.shards(ids, WORLD, BATCH, e, SEED) for e in (0, 1)]
     return dealt[0].unionByName(dealt[1])
 
 
@@ -257,15 +259,21 @@ def q_online_lookup(spark, folder):
 
 
 def q_stream_materialize(spark, folder):
-    table = VersionedTable(spark, scratch_path(spark, "streamed"))
-    stream = feature_stream(spark, folder, EVENTS_SCHEMA, glob="events.parquet")
-    query = stream_latest(stream, table, "user_id", "ts", ["event_id"], scratch_path(spark, "stream-state"))
-    query.awaitTermination()
+    """The events in three instalments that arrive out of order, with a restart before each and a compaction."""
+    table, incoming = VersionedTable(spark, scratch_path(spark, "streamed")), scratch_path(spark, "incoming")
+    state = scratch_path(spark, "stream-state")
+    for part in (2, 0, 1):
+        events(spark, folder).where(F.col("event_id") % 3 == part).write.mode("append").parquet(incoming)
+        stream = feature_stream(spark, incoming, EVENTS_SCHEMA)
+        stream_latest(stream, table, "user_id", "ts", ["event_id"], state, compact_after=2).awaitTermination()
     return current_table(table, "user_id", "ts", ["event_id"]).select(*EVENT_COLUMNS)
 
 
 def q_view_validation(spark, folder):
-    p = passages(spark, folder).withColumn("event_timestamp", pairs.run_time(RUN_TS))
+    """Every seventh passage without its id, every fifth without its time."""
+    number = F.col("id").cast("bigint")
+    p = passages(spark, folder).withColumn("event_timestamp", F.when(number % 5 != 0, pairs.run_time(RUN_TS)))
+    p = p.withColumn("id", F.when(number % 7 != 0, F.col("id")))
     frames = {
         # Vectors of the titles, so passages without one fail the length check.
         "wiki_passages": with_vector(p, COUNTS, "title", "embeddings"),
@@ -294,6 +302,28 @@ def q_reembed_corpus(spark, folder):
                         F.round(dot("embeddings", "embeddings")).cast("bigint").alias("norm_squared"))
 
 
+def fixed_adapter() -> np.ndarray:
+    """Each component takes on its right neighbour's value, so that whole counts stay whole."""
+    return np.eye(DIM) + np.roll(np.eye(DIM), 1, axis=1)
+
+
+def _lengths(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.where(F.col(vector).isNotNull()).select(
+        key, F.size(vector).cast("bigint").alias("dim"), F.round(dot(vector, vector)).cast("bigint").alias("norm_squared"))
+
+
+def q_reembed_adapted(spark, folder):
+    p = passages(spark, folder).where(F.col("text").isNotNull())
+    return _lengths(pairs.reembed(p, AdaptedEncoder(COUNTS, fixed_adapter())), "id", "embeddings")
+
+
+def q_on_demand_lookup(spark, folder):
+    """Vectors of the adapted encoder, computed from each request's text when it is read."""
+    store = FeatureStore(spark, scratch_path(spark, "store"), standard_views("unused", DIM, AdaptedEncoder(COUNTS, fixed_adapter())))
+    asked = driver_table(spark, folder, "benchmark").select("item_id", F.col("text").alias("query_text"))
+    return _lengths(store.online_features(asked, ["fine_tuned_query_embeddings:query_embedding"]), "item_id", "query_embedding")
+
+
 # ---------------------------------------------------------------- search
 
 _SEARCH = {"query_id": "vec_id", "query_vec": "embedding", "exclude_same_id": False}
@@ -315,7 +345,8 @@ def q_vector_topk_pruned(spark, folder):
 
 def q_vector_topk_ivf(spark, folder):
     v = embeddings(spark, folder)
-    return _found(probe_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, NPROBE, **_SEARCH))
+    """All lists are probed, which is exact; fewer give the approximate form."""
+    return _found(probe_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, LISTS, **_SEARCH))
 
 
 def q_rag_answer(spark, folder):

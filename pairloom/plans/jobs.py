@@ -78,13 +78,17 @@ def load_pairs(store: FeatureStore, mode: str = "pit", max_samples: int | None =
 class TrainConfig:
     epochs: int = 10
     batch_size: int = 8
-    learning_rate: float = 2e-6
+    learning_rate: float = 1.0
     world_size: int = 2
     warmup: int = 0
     hard_negative_update_freq: int = 5
     margin: float = evaluate.MARGIN
     seed: int = 42
     write_shards: bool = False
+    refresh_queries: int = refresh.QUERIES
+    refresh_candidates: int = refresh.CANDIDATES
+    refresh_rows: int = refresh.NEW_ROWS
+    final_rows: int | None = None  # rows of the test set in the final evaluation; None takes all
 
 
 def _current(pairs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -113,6 +117,7 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
         if refresh.is_refresh_epoch(epoch, config.hard_negative_update_freq):
             refreshed = refresh.refresh_hard_negatives(
                 _current(current, weights), run_ts + dt.timedelta(seconds=epoch), config.seed, epoch,
+                new_rows=config.refresh_rows, queries=config.refresh_queries, candidates=config.refresh_candidates,
                 query_vec="query_now", doc_vec="doc_now", query_carry=["query_vec"], doc_carry=["doc_vec"])
             stored = refreshed.drop("query_now", "doc_now")
             table.write(stored, run_id)
@@ -140,7 +145,7 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
                 "Dataset/Train_Size": sizes.get("train", 0), "Dataset/Eval_Size": sizes.get("eval", 0)}))
         metrics.append_metrics(report, log)
     scored = evaluate.with_similarity(_current(test, weights), "query_now", "doc_now")
-    final = evaluate.final_metrics(scored, first=100)
+    final = evaluate.final_metrics(scored, first=config.final_rows)
     metrics.append_metrics(metrics.scalars(final, run_id, config.epochs, "Final_Evaluation").unionByName(
         metrics.values(spark, run_id, config.epochs, {"Training/Total_Hard_Negative_Updates": updates})), log)
     write_table(adapter.adapter_table(spark, weights), f"{target}/adapter")

@@ -12,7 +12,7 @@ STAMP = f"TIMESTAMP '{c.RUN_TS}'"
 PASSAGES = r"""
 passages AS (
   SELECT CAST(doc_id AS VARCHAR) AS id,
-         CASE WHEN p BETWEEN 2 AND 201 THEN trim(substr(text, 1, p - 1)) END AS title,
+         CASE WHEN p >= 2 THEN nullif(trim(substr(text, 1, p - 1)), '') END AS title,
          CASE WHEN p > 0 THEN nullif(trim(substr(text, p + 1)), '') ELSE text END AS text
   FROM (SELECT doc_id, text, instr(text, chr(10)) AS p FROM documents)),
 numbered AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS source_row FROM passages),
@@ -52,6 +52,15 @@ FROM (SELECT id, unnest(regexp_split_to_array(lower({text}), '{NOT_WORD}')) AS w
 WHERE w <> '' GROUP BY 1, 2 HAVING weight <> 0"""
 
 
+def adapted(source: str, hashed: str, name: str) -> str:
+    """Squared length of the hashed counts after each bucket has taken on its neighbour's count."""
+    return f"""
+SELECT t.id AS {name}, {c.DIM}::BIGINT AS dim, CAST(coalesce(sum(w * w), 0) AS BIGINT) AS norm_squared FROM {source} t LEFT JOIN (
+  SELECT id, bucket, sum(weight) AS w FROM (SELECT id, bucket, weight FROM {hashed}
+    UNION ALL SELECT id, (bucket + {c.DIM} - 1) % {c.DIM}, weight FROM {hashed}) GROUP BY id, bucket) s ON s.id = t.id
+WHERE t.text IS NOT NULL GROUP BY t.id"""
+
+
 def sparse_top(queries: str, docs: str, k: int, floor: float | None, other: bool) -> str:
     """``query_id, doc_id, similarity, rank`` from two tables of hashed counts."""
     return f"""
@@ -216,6 +225,8 @@ SELECT 'before' AS stage, count(*) AS n_rows, CAST(max(length(text)) AS BIGINT)
 UNION ALL
 SELECT 'after', count(*), CAST(max(length(piece)) AS BIGINT), count(*) FILTER (length(piece) > 380)
 FROM ({chunks('(SELECT doc_id AS id, text FROM documents)')})""",
+    "passage_coverage": """
+SELECT CAST(doc_id AS VARCHAR) AS id, length(replace(replace(text, ' ', ''), chr(10), '')) AS n_chars FROM documents""",
     "positive_pairs": f"WITH {PASSAGES} {POSITIVES}",
     "random_negatives": f"WITH {PASSAGES}, {DRAWS} {NEGATIVES}",
     "query_table": f"""WITH {PASSAGES},
@@ -277,6 +288,7 @@ FROM customer LEFT JOIN ({latest("ts DESC, event_id DESC")}) ON user_id = c_cust
     "stream_materialize": latest("ts DESC, event_id DESC"),
     "vector_topk": TOP5,
     "vector_topk_pruned": TOP5,
+    "vector_topk_ivf": TOP5,
     "rag_answer": f"""WITH {PASSAGES},
 chunked AS (SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('passages')})),
 chunk_counts AS ({counts("chunked", "text")}),
@@ -288,6 +300,9 @@ chunked AS (SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('passages')})),
 hashed AS ({counts("chunked", "text")})
 SELECT t.id, {c.DIM}::BIGINT AS dim, CAST(coalesce(sum(weight * weight), 0) AS BIGINT) AS norm_squared
 FROM chunked t LEFT JOIN hashed h ON h.id = t.id GROUP BY t.id""",
+    "reembed_adapted": f"""WITH {PASSAGES}, hashed AS ({counts("passages", "text")}) {adapted("passages", "hashed", "id")}""",
+    "on_demand_lookup": f"""WITH asked AS (SELECT item_id AS id, text FROM benchmark), hashed AS ({counts("asked", "text")})
+{adapted("asked", "hashed", "item_id")}""",
     "refresh_negatives": REFRESH,
     "eval_by_label": f"""WITH {VECTOR_PAIRS}
 SELECT label, count(*) AS n, round(avg(similarity), 6) AS mean_similarity FROM pairs GROUP BY label""",
@@ -313,7 +328,9 @@ SELECT 'run', 'Dataset/' || label || '_count', 1, count(*)::DOUBLE FROM pairs GR
 SELECT count(similarity) AS n, round(avg({LOSS}), 6) AS loss FROM pairs""",
     "view_validation": f"""WITH {PASSAGES},
 checks AS (SELECT unnest(['missing_columns', 'wrong_types', 'null_keys', 'null_times', 'wrong_vector_lengths']) AS k)
-SELECT v AS view, k AS check_name, CASE WHEN v = 'wiki_passages' AND k = 'wrong_vector_lengths'
-  THEN (SELECT count(*) FROM passages WHERE title IS NULL) ELSE 0 END::BIGINT AS failed
+SELECT v AS view, k AS check_name, CASE WHEN v <> 'wiki_passages' THEN 0
+  WHEN k = 'wrong_vector_lengths' THEN (SELECT count(*) FROM passages WHERE title IS NULL)
+  WHEN k = 'null_keys' THEN (SELECT count(*) FROM documents WHERE doc_id % 7 = 0)
+  WHEN k = 'null_times' THEN (SELECT count(*) FROM documents WHERE doc_id % 5 = 0) ELSE 0 END::BIGINT AS failed
 FROM checks, (SELECT unnest(['wiki_passages', 'embedding_training_pairs', 'query_embeddings']) AS v)""",
 }

@@ -14,9 +14,6 @@ PASSAGE_SCHEMA = T.StructType([
     T.StructField("event_timestamp", T.TimestampNTZType()),
 ])
 
-# Fixed value: a first line of at most this many characters is a title.
-TITLE_LIMIT = 200
-
 
 def require_columns(df: DataFrame, names) -> None:
     """Raise at plan time when a column is missing."""
@@ -62,10 +59,10 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def passages_from_documents(documents: DataFrame) -> DataFrame:
-    """``id, title, text``: a short first line is the title, what follows it the text."""
+    """``id, title, text``: the first line is the title and what follows it the text; a single line is all text."""
     cut = F.instr("text", "\n")
     split = documents.select("doc_id", "text", cut.alias("_cut"))
-    title = F.when(F.col("_cut").between(2, TITLE_LIMIT + 1), F.trim(F.expr("substring(text, 1, _cut - 1)")))
+    title = F.when(F.col("_cut") >= 2, F.nullif(F.trim(F.expr("substring(text, 1, _cut - 1)")), F.lit("")))
     rest = F.nullif(F.trim(F.expr("substring(text, _cut + 1)")), F.lit(""))
     return split.select(
         F.col("doc_id").cast("string").alias("id"),

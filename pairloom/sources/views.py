@@ -138,8 +138,11 @@ class Registry:
         return wanted
 
 
-def standard_views(root: str, dim: int = 384) -> Registry:
-    """The three stored views of the training pipeline and the two that use a fine-tuned encoder's vectors."""
+def standard_views(root: str, dim: int = 384, fine_tuned=None) -> Registry:
+    """The stored views of the training pipeline, and the two that use a fine-tuned encoder's vectors.
+
+    The vectors of ``fine_tuned_query_embeddings`` are computed on demand, by the encoder given as ``fine_tuned``.
+    """
     text, vector = T.StringType(), VECTOR
     passage = Entity("id", ("id",))
     sample = Entity("training_sample_id", ("training_sample_id",))
@@ -166,4 +169,6 @@ def standard_views(root: str, dim: int = 384) -> Registry:
         "fine_tuned_wiki_passages", passage, passage_fields, dt.timedelta(days=1),
         f"{root}/wiki_fine_tuned_embeddings.parquet", vector=VectorField("embeddings", dim),
         description="Passages embedded again after training"))
+    if fine_tuned is not None:
+        registry.register_on_demand("fine_tuned_query_embeddings", "query_embedding", "query_text", fine_tuned)
     return registry

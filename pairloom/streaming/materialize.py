@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,17 +26,22 @@ def current_table(table: VersionedTable, keys, ts: str, tie_break=()) -> DataFra
     return table.read_latest(keys, ts, tie_break)
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a query keeps in its checkpoint: the same after a restart, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
 def stream_latest(stream: DataFrame, table: VersionedTable, keys, ts: str, tie_break, checkpoint: str,
-                  run_id: str = "stream", compact_after: int = 16, once: bool = True) -> StreamingQuery:
+                  compact_after: int = 16, once: bool = True) -> StreamingQuery:
     """Upsert each micro-batch: its latest rows become a delta, merged when read.
 
-    A late row is compared by event time and loses if older. The batch number is recorded with the
-    data, so a replayed batch changes nothing. A batch costs its own size; after ``compact_after`` deltas
+    A late row is compared by event time and loses if older. The batch number is recorded with the data and
+    the id of the query's checkpoint, so a replayed batch changes nothing and a new checkpoint starts anew. A batch costs its own size; after ``compact_after`` deltas
     the table is rewritten as one base.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        past = table.history()
+        past, run_id = table.history(), f"stream-{_query_id(batch.sparkSession, checkpoint)}"
         table.write(latest_per_key(batch, keys, ts, tie_break), run_id, kind="delta", batch_id=batch_id, past=past)
         if len(table.parts(past=past)) + 1 > compact_after:
             table.write(current_table(table, keys, ts, tie_break), run_id, kind="base")

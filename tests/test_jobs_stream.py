@@ -8,7 +8,8 @@ from pairloom.__main__ import main
 from pairloom.operators.encode import HashingEncoder
 from pairloom.operators.materialize import latest_per_key
 from pairloom.plans import jobs
-from pairloom.plans.catalog import EVENTS_SCHEMA, events, passages
+from pairloom.operators.train import train_adapter
+from pairloom.plans.catalog import EVENTS_SCHEMA, events, passages, vector_pairs
 from pairloom.plans.store import FeatureStore
 from pairloom.sources.versions import VersionedTable
 from pairloom.sources.views import standard_views
@@ -38,12 +39,28 @@ def test_stream_equals_batch_with_late_files_restart_and_replay(spark, data, tmp
     got = current_table(table, "user_id", "ts", ["event_id"]).select(*e.columns)
     assert sorted(map(tuple, got.collect())) == want
     before = len(table.history())
-    last = max(r.batch_id for r in table.history() if r.batch_id is not None)
-    table.write(latest_per_key(e, "user_id", "ts", ["event_id"]), "stream", kind="delta", batch_id=last)
+    last = max((r for r in table.history() if r.batch_id is not None), key=lambda r: r.batch_id)
+    table.write(latest_per_key(e, "user_id", "ts", ["event_id"]), last.run_id, kind="delta", batch_id=last.batch_id)
     assert len(table.history()) == before
     assert "base" in {r.kind for r in table.history()}
 
 
+def test_a_second_checkpoint_keeps_all_batches(spark, data, tmp_path):
+    e = events(spark, data)
+    table = VersionedTable(spark, str(tmp_path / "table"))
+    for part in (0, 1):
+        e.where(F.col("event_id") % 2 == part).write.parquet(str(tmp_path / f"in{part}"))
+        drain(spark, table, str(tmp_path / f"in{part}"), str(tmp_path / f"state{part}"))
+    want = sorted(map(tuple, latest_per_key(e, "user_id", "ts", ["event_id"]).collect()))
+    assert sorted(map(tuple, current_table(table, "user_id", "ts", ["event_id"]).select(*e.columns).collect())) == want
+
+
+def test_the_default_rate_moves_the_loss(spark, data):
+    pairs = vector_pairs(spark, data)
+    _, losses = train_adapter(pairs, 64, 2, jobs.TrainConfig.learning_rate)
+    assert losses[1] < losses[0] - 1e-5
+
+
 @pytest.fixture(scope="module")
 def built(spark, data, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("job"))
@@ -59,7 +76,7 @@ def test_chunk_and_build(spark, built):
     chunked = spark.read.parquet(f"{root}/passages_chunked.parquet")
     assert chunked.count() > spark.read.parquet(f"{root}/passages.parquet").count()
     assert "event_timestamp" in chunked.columns
-    assert sizes["training_data_size"] > 106 and sizes["query_embeddings_size"] == 71
+    assert sizes["training_data_size"] > 174 and sizes["query_embeddings_size"] == 134
 
 
 def test_load_pairs(spark, built):
@@ -115,6 +132,7 @@ def test_command_line(spark, built, tmp_path, capsys):
     out = str(tmp_path / "c.parquet")
     assert main(["chunk", "-i", f"{root}/passages.parquet", "-o", out, "-m", "100"]) == 0
     assert spark.read.parquet(out).count() > 0 and out in capsys.readouterr().out
+    assert main(["materialize", "--data-dir", root, "-o", str(tmp_path / "online"), "--view", "query_embeddings"]) == 0
     run = str(tmp_path / "run")
     assert main(["train", "--data-dir", root, "-o", run, "--mode", "direct", "--max-samples", "100", "--epochs", "1",
                  "--dim", "64", "--run-ts", "2024-02-01 00:00:00"]) == 0
@@ -122,3 +140,6 @@ def test_command_line(spark, built, tmp_path, capsys):
     held_out = spark.read.parquet(f"{run}/test_set").count()
     assert sizes["Dataset/Total_Size"] == 100 - held_out
     assert sizes["Dataset/Train_Size"] == int(0.8 * (100 - held_out))
+    again = str(tmp_path / "again")
+    assert main(["reembed", "-i", f"{root}/passages.parquet", "-o", again, "--dim", "64", "--adapter", f"{run}/adapter"]) == 0
+    assert VersionedTable(spark, again).read().count() == spark.read.parquet(f"{root}/passages.parquet").count()

@@ -150,13 +150,6 @@ def test_recall_grows_with_probes(spark, data):
     assert recall[0] < recall[1] and recall[1] > 0.6
 
 
-def test_saved_index_gives_the_same(table, rows, index, tmp_path):
-    sim.save_index(index, str(tmp_path / "ix"), rows_per_file=20)
-    loaded = sim.load_index(table.sparkSession, str(tmp_path / "ix"))
-    assert loaded.sizes == index.sizes
-    assert result(sim.pruned_topk(table, loaded, 3, **QUERY_KEYS)) == brute(rows, 3)
-
-
 def test_cosine_expression(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0])],
                                "a array<float>, b array<float>")
