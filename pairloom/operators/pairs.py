@@ -86,31 +86,51 @@ def random_draws(spark, n_draws: int, n_rows: int, seed: int) -> DataFrame:
     )
 
 
+def _row_keys(numbered: DataFrame) -> DataFrame:
+    """The passages without their texts, which no join of keys has to move."""
+    return numbered.select("id", "source_row", "has_title", "has_text")
+
+
+def _with_texts(keys: DataFrame, numbered: DataFrame, run_ts) -> DataFrame:
+    """Pairs from ``training_sample_id, _qid, _did, label, similarity_score, metadata``: each side's text is joined once.
+
+    A text in very many pairs is a skewed join key, which AQE splits.
+    """
+    titles = numbered.where("has_title").select(F.col("id").alias("_qid"), F.col("title").alias("query_text"))
+    texts = numbered.where("has_text").select(F.col("id").alias("_did"), F.col("text").alias("document_text"))
+    others = [c for c in keys.columns if c not in (*PAIR_COLUMNS, "_qid", "_did")]
+    return keys.join(titles, "_qid").join(texts, "_did").select(
+        "training_sample_id", "query_text", "document_text", "label", "similarity_score",
+        F.concat_ws("_", F.lit("query"), "_qid").alias("query_id"), F.col("_did").alias("document_id"), "metadata",
+        run_time(run_ts).alias("event_timestamp"), *others)
+
+
+def _positive_keys(numbered: DataFrame) -> DataFrame:
+    return complete_passages(_row_keys(numbered)).select(
+        F.concat_ws("_", F.lit("pos"), "id", F.col("source_row").cast("string")).alias("training_sample_id"),
+        F.col("id").alias("_qid"), F.col("id").alias("_did"), F.lit(POSITIVE).alias("label"), F.lit(1.0).alias("similarity_score"),
+        F.to_json(F.struct(F.lit("title_text").alias("pair_type"), "source_row")).alias("metadata"))
+
+
+def _random_keys(numbered: DataFrame, n_draws: int | None, seed: int) -> DataFrame:
+    rows = _row_keys(numbered)
+    n_rows = rows.count()
+    draws = random_draws(numbered.sparkSession, n_rows // 2 if n_draws is None else n_draws, n_rows, seed)
+    queries = rows.where("has_title").select(F.col("source_row").alias("query_row"), F.col("id").alias("_qid"))
+    docs = rows.where("has_text").select(F.col("source_row").alias("doc_row"), F.col("id").alias("_did"))
+    return draws.join(queries, "query_row").join(docs, "doc_row").select(
+        F.concat_ws("_", F.lit("neg"), "_qid", "_did", F.col("draw_no").cast("string")).alias("training_sample_id"),
+        "_qid", "_did", F.lit(NEGATIVE).alias("label"), F.lit(0.0).alias("similarity_score"),
+        F.to_json(F.struct(F.lit("random_negative").alias("pair_type"), "query_row", "doc_row")).alias("metadata"))
+
+
 def random_negative_pairs(numbered: DataFrame, run_ts, n_draws: int | None = None, seed: int = 42) -> DataFrame:
     """Title of one random passage with the text of another, score 0.0.
 
     A draw whose title or text is null is dropped, not repeated. Default: half as many draws as rows. The
-    draws are joined to the passages by row position, so each side moves only the text column it gives.
+    draws meet the row numbers first; then each side's text is joined.
     """
-    n_rows = numbered.count()
-    draws = random_draws(numbered.sparkSession, n_rows // 2 if n_draws is None else n_draws, n_rows, seed)
-    queries = numbered.where("has_title").select(
-        F.col("source_row").alias("query_row"), F.col("id").alias("_qid"), F.col("title").alias("query_text"))
-    docs = numbered.where("has_text").select(
-        F.col("source_row").alias("doc_row"), F.col("id").alias("_did"), F.col("text").alias("document_text"))
-    joined = draws.join(queries, "query_row").join(docs, "doc_row")
-    metadata = F.struct(F.lit("random_negative").alias("pair_type"), "query_row", "doc_row")
-    return joined.select(
-        F.concat_ws("_", F.lit("neg"), "_qid", "_did", F.col("draw_no").cast("string")).alias("training_sample_id"),
-        "query_text",
-        "document_text",
-        F.lit(NEGATIVE).alias("label"),
-        F.lit(0.0).alias("similarity_score"),
-        F.concat_ws("_", F.lit("query"), "_qid").alias("query_id"),
-        F.col("_did").alias("document_id"),
-        F.to_json(metadata).alias("metadata"),
-        run_time(run_ts).alias("event_timestamp"),
-    )
+    return _with_texts(_random_keys(numbered, n_draws, seed), numbered, run_ts)
 
 
 def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY, floor: float = HARD_FLOOR,
@@ -144,35 +164,25 @@ def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY,
                      floor=floor, query_group=grp, doc_group=grp)
 
 
+def _hard_keys(numbered: DataFrame, encoder, k: int, floor: float, **search) -> DataFrame:
+    matches = stage(hard_negative_matches(numbered, encoder, k, floor, **search), "matches")
+    rows = dense_position(complete_passages(_row_keys(numbered)).select("id"), "id", "_row")
+    joined = matches.join(rows.select(F.col("id").alias("query_id"), F.col("_row").alias("query_row")), "query_id").join(
+        rows.select(F.col("id").alias("doc_id"), F.col("_row").alias("doc_row")), "doc_id")
+    metadata = F.struct(F.lit(HARD_NEGATIVE).alias("pair_type"), F.col("similarity").alias("base_similarity"), "query_row", "doc_row")
+    return joined.select(
+        F.concat_ws("_", F.lit("hard_neg"), "query_id", "doc_id", F.col("rank").cast("string")).alias("training_sample_id"),
+        F.col("query_id").alias("_qid"), F.col("doc_id").alias("_did"), F.lit(HARD_NEGATIVE).alias("label"),
+        F.col("similarity").alias("similarity_score"), F.to_json(metadata).alias("metadata"))
+
+
 def hard_negative_pairs(numbered: DataFrame, encoder, run_ts, k: int = HARD_PER_QUERY, floor: float = HARD_FLOOR,
                         **search) -> DataFrame:
     """Mined hard negatives as pairs. Titles and texts are fetched by id after the top-k.
 
-    Row numbers in the metadata count the complete passages by id. A text mined for very many titles makes
-    a skewed key of the last join, which AQE splits.
+    Row numbers in the metadata count the complete passages by id.
     """
-    matches = stage(hard_negative_matches(numbered, encoder, k, floor, **search), "matches")
-    valid = complete_passages(numbered)
-    rows = dense_position(valid.select("id"), "id", "_row")
-    queries = valid.select("id", "title").join(rows, "id").select(
-        F.col("id").alias("query_id"), F.col("title").alias("query_text"), F.col("_row").alias("query_row"))
-    docs = valid.select("id", "text").join(rows, "id").select(
-        F.col("id").alias("doc_id"), F.col("text").alias("document_text"), F.col("_row").alias("doc_row"))
-    joined = matches.join(queries, "query_id").join(docs, "doc_id")
-    metadata = F.struct(F.lit(HARD_NEGATIVE).alias("pair_type"), F.col("similarity").alias("base_similarity"),
-                        "query_row", "doc_row")
-    return joined.select(
-        F.concat_ws("_", F.lit("hard_neg"), "query_id", "doc_id", F.col("rank").cast("string"))
-        .alias("training_sample_id"),
-        "query_text",
-        "document_text",
-        F.lit(HARD_NEGATIVE).alias("label"),
-        F.col("similarity").alias("similarity_score"),
-        F.concat_ws("_", F.lit("query"), "query_id").alias("query_id"),
-        F.col("doc_id").alias("document_id"),
-        F.to_json(metadata).alias("metadata"),
-        run_time(run_ts).alias("event_timestamp"),
-    )
+    return _with_texts(_hard_keys(numbered, encoder, k, floor, **search), numbered, run_ts)
 
 
 def complete_training_set(passages: DataFrame, encoder, run_ts, hard_per_query: int = HARD_PER_QUERY,
@@ -182,14 +192,14 @@ def complete_training_set(passages: DataFrame, encoder, run_ts, hard_per_query:
     The key each pair had before stays as ``pair_key``; it decides the order.
     """
     numbered = number_passages(passages)
-    positives = positive_pairs(numbered, run_ts)
-    n_positive = complete_passages(numbered).count()
-    negatives = random_negative_pairs(numbered, run_ts, negatives_for(n_positive, random_ratio), seed)
-    hard = hard_negative_pairs(numbered, encoder, run_ts, hard_per_query, **search)
-    every = positives.unionByName(negatives).unionByName(hard).withColumnRenamed("training_sample_id", "pair_key")
-    placed = hash_position(every, shuffle_key(seed, F.col("pair_key")), "_pos", ties=["pair_key"])
+    n_positive = complete_passages(_row_keys(numbered)).count()
+    every = _positive_keys(numbered).unionByName(_random_keys(numbered, negatives_for(n_positive, random_ratio), seed)).unionByName(
+        _hard_keys(numbered, encoder, hard_per_query, HARD_FLOOR, **search))
+    # The keys of all pairs are stored and placed; only then does each side's text join them, once.
+    keys = stage(every.withColumn("pair_key", F.col("training_sample_id")), "pair-keys")
+    placed = hash_position(keys, shuffle_key(seed, F.col("pair_key")), "_pos", ties=["pair_key"])
     sample_id = F.concat_ws("_", F.lit("sample"), F.col("_pos").cast("string"))
-    return placed.withColumn("training_sample_id", sample_id).select(*PAIR_COLUMNS, "pair_key")
+    return _with_texts(placed.withColumn("training_sample_id", sample_id).drop("_pos"), numbered, run_ts).select(*PAIR_COLUMNS, "pair_key")
 
 
 def label_composition(pairs: DataFrame) -> DataFrame:

@@ -14,34 +14,41 @@ from pairloom.session import stage
 QUERIES, CANDIDATES = 10, 10
 BAND = (0.4, 0.8)
 NEW_ROWS = 25
+BROADCAST_KEYS = 1_000_000
 
 
 def is_refresh_epoch(epoch: int, every: int) -> bool:
     return epoch > 0 and epoch % every == 0
 
 
-def _numbered(df: DataFrame, n: int, seed, tag: str, id_col: str, name: str) -> DataFrame:
-    """n rows in hash order with their number; the window runs over n rows only."""
+def _numbered(df: DataFrame, n: int, seed, tag: str, id_col: str, name: str, encode) -> DataFrame:
+    """n rows in hash order with their number; the window runs over n rows only.
+
+    The keys are drawn alone; the other columns join the n keys, and only these rows are encoded.
+    """
     key = shuffle_key(seed, tag, F.col(id_col))
-    top = first_rows(df.withColumn("_key", key), n, "_key", id_col)
-    return top.withColumn(name, F.row_number().over(Window.orderBy("_key", id_col)) - 1).drop("_key")
+    top = first_rows(df.select(id_col, key.alias("_key")), n, "_key", id_col)
+    top = stage(top.select(id_col, (F.row_number().over(Window.orderBy("_key", id_col)) - 1).alias(name)), "drawn")
+    rows = df.join(F.broadcast(top) if n <= BROADCAST_KEYS else top, id_col)
+    return encode(rows) if encode else rows
 
 
 def refresh_candidates(pairs: DataFrame, seed, epoch: int, queries: int = QUERIES, candidates: int = CANDIDATES,
                        band=BAND, exclude_known: bool = True, id_col: str = "training_sample_id",
                        query_vec: str = "query_vec", doc_vec: str = "doc_vec", query_carry=(),
-                       doc_carry=()) -> DataFrame:
+                       doc_carry=(), encode=None) -> DataFrame:
     """Sampled positives, each with sampled documents, that fall strictly inside the similarity band.
 
     ``queries * candidates`` documents are drawn in hash order and dealt out, query i taking the numbers
     from ``i * candidates`` on, modulo how many there are, so each query meets different documents. Both
     samples are bounded by the parameters. ``exclude_known`` leaves out documents that are a known positive
-    of the same query. ``query_carry`` and ``doc_carry`` name columns to keep from either side.
+    of the same query. ``query_carry`` and ``doc_carry`` name columns to keep from either side. ``encode``
+    maps a frame of sampled rows to one with the vector columns, where those are not stored.
     """
     tag = f"refresh{epoch}"
-    asked = stage(_numbered(pairs.where(F.col("label") == POSITIVE), queries, seed, f"{tag}q", id_col, "_i").select(
+    asked = stage(_numbered(pairs.where(F.col("label") == POSITIVE), queries, seed, f"{tag}q", id_col, "_i", encode).select(
         "_i", F.col("query_id"), F.col("query_text"), F.col(query_vec).alias("_qv"), *query_carry), "asked")
-    pool = stage(_numbered(pairs, queries * candidates, seed, f"{tag}d", id_col, "_slot").select(
+    pool = stage(_numbered(pairs, queries * candidates, seed, f"{tag}d", id_col, "_slot", encode).select(
         "_slot", F.col("document_id").alias("_doc"), F.col("document_text"), F.col(doc_vec).alias("_dv"), *doc_carry), "pool")
     size = pool.count()  # at most queries * candidates
     dealt = asked.withColumn("_j", F.explode(F.array(*[F.lit(j) for j in range(min(candidates, size))]))).withColumn(

@@ -116,11 +116,10 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
         current = table.read()
         if refresh.is_refresh_epoch(epoch, config.hard_negative_update_freq):
             refreshed = refresh.refresh_hard_negatives(
-                _current(current, weights), run_ts + dt.timedelta(seconds=epoch), config.seed, epoch,
-                new_rows=config.refresh_rows, queries=config.refresh_queries, candidates=config.refresh_candidates,
+                current, run_ts + dt.timedelta(seconds=epoch), config.seed, epoch,
+                encode=lambda rows: _current(rows, weights), new_rows=config.refresh_rows, queries=config.refresh_queries, candidates=config.refresh_candidates,
                 query_vec="query_now", doc_vec="doc_now", query_carry=["query_vec"], doc_carry=["doc_vec"])
-            stored = refreshed.drop("query_now", "doc_now")
-            table.write(stored, run_id)
+            table.write(refreshed, run_id)
             current = table.read()
             added = current.where(F.col("training_sample_id").endswith(
                 F.date_format(pair_ops.run_time(run_ts + dt.timedelta(seconds=epoch)), "_yyyyMMddHHmmss"))).count()

@@ -45,13 +45,11 @@ def chunked_path(path: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with so few splits that half the task slots would idle is dealt out to all slots.
+    """A scan of a single split is dealt out to all slots; any other table is left where it is.
 
-    For small inputs in one file before work that costs far more than the move. A table with enough splits
-    is left as it is, so large tables are never moved.
+    For a small input in one file before work that costs far more than the move.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if 2 * df.rdd.getNumPartitions() <= slots else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
 
 def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
