@@ -50,16 +50,21 @@ class ByteNetwork:
         self.weights["out"] = draw.normal(0, 0.3, (2 * hidden, len(labels))).astype(np.float32)
         self.weights["bias"] = np.zeros(len(labels), np.float32)
 
-    def _direction(self, side: str, codes: np.ndarray, keep: bool):
-        """Hidden states (T, B, H) of one direction over codes (T, B); with ``keep`` also what the gradient needs."""
+    def _direction(self, side: str, codes: np.ndarray, keep: bool, active: np.ndarray | None = None):
+        """Hidden states (T, B, H) of one direction over codes (T, B); with ``keep`` also what the gradient needs.
+
+        With ``active`` only the first ``active[t]`` lanes have a byte at position t, so that no direction reads padding.
+        """
         table, back, bias = (self.weights[k + side] for k in "xhc")
         steps, lanes = codes.shape
         n = self.hidden
-        states = np.empty((steps, lanes, n), np.float32)
-        state = np.zeros((lanes, n), np.float32)
+        states = np.zeros((steps, lanes, n), np.float32)
+        whole = np.zeros((lanes, n), np.float32)
         kept = []
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
-            x = table[codes[t]]
+            many = lanes if active is None else active[t]
+            state = whole[:many]
+            x = table[codes[t, :many]]
             r = state @ back
             gates = x[:, :2 * n] + r[:, :2 * n]
             gates *= 0.5
@@ -74,13 +79,17 @@ class ByteNetwork:
             if keep:
                 kept.append((t, state, gates, inner, new))
             state = new + gates[:, :n] * (state - new)
-            states[t] = state
+            states[t, :many] = state
+            if many == lanes:
+                whole = state
+            else:
+                whole[:many] = state
         return states, kept
 
-    def positions(self, codes: np.ndarray) -> np.ndarray:
+    def positions(self, codes: np.ndarray, active: np.ndarray | None = None) -> np.ndarray:
         """Probabilities (T, B, languages) of every position."""
-        forward, _ = self._direction("f", codes, False)
-        backward, _ = self._direction("b", codes, False)
+        forward, _ = self._direction("f", codes, False, active)
+        backward, _ = self._direction("b", codes, False, active)
         n = self.hidden
         logits = forward @ self.weights["out"][:n]
         logits += backward @ self.weights["out"][n:]
@@ -181,7 +190,7 @@ def label_texts(net: ByteNetwork, texts: list[str]) -> list[tuple[str, float]]:
         inside = np.arange(width)[:, None] < left[lanes][None, :]
         codes = np.where(inside, flat[np.minimum(place, len(flat) - 1)], np.uint8(32))
         weight = _COUNTS[codes] * inside
-        odds = net.positions(codes)
+        odds = net.positions(codes, inside.sum(axis=1))
         np.add.at(sums, owner[lanes], np.einsum("tbl,tb->bl", odds, weight))
         np.add.at(weights, owner[lanes], weight.sum(axis=0))
     out = []
@@ -190,7 +199,7 @@ def label_texts(net: ByteNetwork, texts: list[str]) -> list[tuple[str, float]]:
             out.append((UNKNOWN, 0.0))
         else:
             best = int(np.argmax(total))
-            out.append((net.labels[best], float(min(1.0, total[best] / weight))))
+            out.append((net.labels[best], round(float(min(1.0, total[best] / weight)), 6)))
     return out
 
 
@@ -211,9 +220,10 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[bytes, str]]:
     """About ``per_language`` pieces of each language, drawn below a hash bound that follows from its count."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
-    counts = rows.groupBy("lang").count()
+    # One row per language: the network's output has a column for each, so the driver holds them in any case.
+    counts = docs.sparkSession.createDataFrame([tuple(r) for r in rows.groupBy("lang").count().collect()], "lang string, count long")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    chosen = rows.join(counts, "lang").filter(draw < F.lit(float(1 << 30)) * per_language / F.col("count"))
+    chosen = rows.join(F.broadcast(counts), "lang").filter(draw < F.lit(float(1 << 30)) * per_language / F.col("count"))
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - PIECE + 1, F.lit(1))).cast("int")
     return sorted((r["text"].encode(), r["lang"]) for r in chosen.select("lang", F.substring("text", place + 1, F.lit(PIECE)).alias("text")).collect())
 
