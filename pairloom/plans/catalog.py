@@ -17,6 +17,7 @@ from pairloom.operators.pit import point_in_time
 from pairloom.operators.refresh import refresh_hard_negatives
 from pairloom.operators.similarity import build_index, probe_topk, pruned_topk, topk_join
 from pairloom.operators.train import AdaptedEncoder, train_adapter
+from pairloom.plans import jobs
 from pairloom.plans.store import FeatureStore
 from pairloom.session import scratch_path, stage
 from pairloom.sources import metrics
@@ -36,6 +37,7 @@ CUTS = (dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 31))
 WINDOW = dt.timedelta(days=30)
 EPOCHS, RATE = 4, 5.0
 LISTS = 16
+FIRST = 200
 BAND = (0.1, 0.8)
 EVENTS_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
@@ -174,6 +176,60 @@ def q_label_composition(spark, folder):
     return pairs.label_composition(stored_training_set(spark, folder))
 
 
+# ---------------------------------------------------------------- jobs that write and read back
+
+def _built(spark, folder) -> str:
+    """The folder in which the prepare job has left its tables."""
+    root = scratch_path(spark, "built")
+    passages(spark, folder).write.parquet(f"{root}/passages.parquet")
+    jobs.build_training_data(spark, f"{root}/passages.parquet", root, COUNTS, RUN_TS, seed=SEED)
+    return root
+
+
+def q_pairs_round_trip(spark, folder):
+    return spark.read.parquet(f"{_built(spark, folder)}/embedding_training_data.parquet").drop("metadata")
+
+
+def q_queries_round_trip(spark, folder):
+    table = spark.read.parquet(f"{_built(spark, folder)}/query_embeddings.parquet")
+    return table.select("query_id", "query_text", "query_type", "event_timestamp", F.size("query_embedding").cast("bigint").alias("dim"))
+
+
+def q_load_pairs_pit(spark, folder):
+    root = _built(spark, folder)
+    return jobs.load_pairs(FeatureStore(spark, root, standard_views(root, DIM)), "pit").drop("metadata")
+
+
+def q_load_pairs_first(spark, folder):
+    root = _built(spark, folder)
+    first = jobs.load_pairs(FeatureStore(spark, root, standard_views(root, DIM)), "direct", max_samples=FIRST)
+    return first.drop("metadata", "pair_key")
+
+
+def q_spine_completed(spark, folder):
+    """Question and answer turns that lack a sample id and a time."""
+    turns = driver_table(spark, folder, "conversations")
+    told = turns.where("role = 'assistant'").select("conv_id", F.col("turn").alias("next"), F.col("text").alias("document_text"))
+    asked = turns.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("next"), F.col("text").alias("query_text"))
+    return jobs.complete_spine(asked.join(told, ["conv_id", "next"]).select("query_text", "document_text"), RUN_TS)
+
+
+def q_chunks_written(spark, folder):
+    root = scratch_path(spark, "chunked")
+    passages(spark, folder).write.parquet(f"{root}/passages.parquet")
+    return spark.read.parquet(jobs.chunk_job(spark, f"{root}/passages.parquet")).select("id", "text")
+
+
+def q_version_history(spark, folder):
+    """Versions of the online table after each incremental run, and the rows each one reads."""
+    store, e = _event_store(spark), events(spark, folder)
+    for end in CUTS:
+        store.materialize_incremental("user_events", end, e)
+    table = store.online_table("user_events")
+    rows = [(r["version"], r["kind"], r["upto"], store.online("user_events", r["version"]).count()) for r in table.history()]
+    return spark.createDataFrame(rows, "version int, kind string, upto string, n_rows long")
+
+
 # ---------------------------------------------------------------- splits
 
 def q_holdout_split(spark, folder):

@@ -241,6 +241,24 @@ SELECT query_id, doc_id AS document_id, label AS doc_label, similarity, rank
 FROM ({vector_top(2, 0.3, True)}) JOIN embeddings ON vec_id = doc_id""",
     "hard_negatives_text": f"WITH {PASSAGES}, {MINED} {HARD}",
     "training_set": f"WITH {TRAINING} SELECT * FROM training",
+    "pairs_round_trip": f"WITH {TRAINING} SELECT * FROM training",
+    "queries_round_trip": f"""WITH {PASSAGES}
+SELECT 'query_' || min(id) AS query_id, title AS query_text, 'title' AS query_type, {STAMP} AS event_timestamp, {c.DIM}::BIGINT AS dim
+FROM passages WHERE title IS NOT NULL GROUP BY title""",
+    "load_pairs_pit": f"WITH {TRAINING} SELECT training_sample_id, {SHARED} FROM training",
+    "load_pairs_first": f"""WITH {TRAINING} SELECT training_sample_id, {SHARED} FROM training
+ORDER BY training_sample_id LIMIT {c.FIRST}""",
+    "spine_completed": f"""WITH p AS (
+  SELECT a.text AS query_text, b.text AS document_text FROM conversations a JOIN conversations b
+  ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant')
+SELECT 'sample_' || (row_number() OVER (ORDER BY md5('spine:' || query_text || ':' || document_text), query_text, document_text) - 1)
+  AS training_sample_id, query_text, document_text, {STAMP} AS event_timestamp FROM p""",
+    "chunks_written": f"WITH {PASSAGES} SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('passages')})",
+    "version_history": f"""WITH u AS (SELECT user_id, min(ts) AS first FROM events
+  WHERE ts > TIMESTAMP '{c.CUTS[0] - c.WINDOW}' AND ts <= TIMESTAMP '{c.CUTS[1]}' GROUP BY user_id),
+n AS (SELECT count(*) FILTER (first <= TIMESTAMP '{c.CUTS[0]}') AS one, count(*) AS two FROM u)
+SELECT 1::INTEGER AS version, 'delta' AS kind, '{c.CUTS[0].isoformat(sep=" ", timespec="microseconds")}' AS upto, one AS n_rows FROM n
+UNION ALL SELECT 2, 'delta', '{c.CUTS[1].isoformat(sep=" ", timespec="microseconds")}', two FROM n""",
     "label_composition": f"""WITH {TRAINING}
 SELECT coalesce(label, 'total') AS label, count(*) AS n FROM training GROUP BY ROLLUP (label)""",
     "holdout_split": f"""WITH {TRAINING}, {SPLIT}
