@@ -19,6 +19,7 @@ def main(argv=None) -> int:
     parser = argparse.ArgumentParser(prog="pairloom")
     parser.add_argument("--master", help="for example local[8]; leave out under spark-submit")
     jobs = parser.add_subparsers(dest="job", required=True)
+    # Option names and defaults of the chunk, prepare and train jobs.
     c = jobs.add_parser("chunk")
     c.add_argument("-i", "--input", required=True)
     c.add_argument("-o", "--output")

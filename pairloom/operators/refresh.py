@@ -8,13 +8,12 @@ from pairloom.functions.hashing import shuffle_key
 from pairloom.functions.vectors import DECIMALS, cosine
 from pairloom.operators.pairs import HARD_NEGATIVE, POSITIVE, run_time
 from pairloom.operators.splits import first_rows
-from pairloom.session import stage
+from pairloom.session import counted_broadcast, stage
 
 # Fixed values of a refresh: queries, candidates per query, open similarity band, most new rows.
 QUERIES, CANDIDATES = 10, 10
 BAND = (0.4, 0.8)
 NEW_ROWS = 25
-BROADCAST_KEYS = 1_000_000
 
 
 def is_refresh_epoch(epoch: int, every: int) -> bool:
@@ -29,7 +28,7 @@ def _numbered(df: DataFrame, n: int, seed, tag: str, id_col: str, name: str, enc
     key = shuffle_key(seed, tag, F.col(id_col))
     top = first_rows(df.select(id_col, key.alias("_key")), n, "_key", id_col)
     top = stage(top.select(id_col, (F.row_number().over(Window.orderBy("_key", id_col)) - 1).alias(name)), "drawn")
-    rows = df.join(F.broadcast(top) if n <= BROADCAST_KEYS else top, id_col)
+    rows = df.join(counted_broadcast(top), id_col)
     return encode(rows) if encode else rows
 
 
@@ -53,10 +52,10 @@ def refresh_candidates(pairs: DataFrame, seed, epoch: int, queries: int = QUERIE
     size = pool.count()  # at most queries * candidates
     dealt = asked.withColumn("_j", F.explode(F.array(*[F.lit(j) for j in range(min(candidates, size))]))).withColumn(
         "_slot", F.pmod(F.col("_i") * candidates + F.col("_j"), F.lit(size)))
-    met = dealt.join(F.broadcast(pool), "_slot")
+    met = dealt.join(counted_broadcast(pool), "_slot")
     if exclude_known:
         known = pairs.where(F.col("label") == POSITIVE).join(
-            F.broadcast(asked.select("query_id")), "query_id", "left_semi").select(
+            counted_broadcast(asked.select("query_id")), "query_id", "left_semi").select(
             "query_id", F.col("document_id").alias("_doc"))
         met = met.join(known, ["query_id", "_doc"], "left_anti")
     scored = met.withColumn("similarity_score", F.round(cosine("_qv", "_dv"), DECIMALS))
@@ -96,6 +95,7 @@ def refresh_hard_negatives(pairs: DataFrame, run_ts, seed, epoch: int, new_rows:
     )
     new = stage(new, "refreshed")
     n_new = new.count()  # at most `new_rows`
-    oldest = first_rows(pairs.where(F.col("label") == HARD_NEGATIVE), n_new, "event_timestamp", id_col)
-    kept = pairs.join(F.broadcast(oldest.select(id_col)), id_col, "left_anti")
+    oldest = pairs.where(F.col("label") == HARD_NEGATIVE).select(id_col, "event_timestamp")
+    oldest = stage(first_rows(oldest, n_new, "event_timestamp", id_col).select(id_col), "replaced")
+    kept = pairs.join(counted_broadcast(oldest), id_col, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pairloom.functions.hashing import draw, shuffle_key
 from pairloom.operators.pairs import LABELS
 from pairloom.operators.positions import hash_position
-from pairloom.session import stage
+from pairloom.session import counted_broadcast, stage
 
 # Fixed values of the holdout and split.
 PER_LABEL = 20
@@ -67,7 +67,7 @@ def holdout_split(df: DataFrame, per_label: int = PER_LABEL, seed=42, id_col: st
                   share: float = TRAIN_SHARE) -> DataFrame:
     """All rows with ``split = test | train | eval``. The test rows, few by construction, are stored first."""
     test = stage(holdout(df, per_label, seed, id_col), "holdout")
-    rest = without(df, F.broadcast(test.select(id_col)), id_col)
+    rest = without(df, counted_broadcast(test.select(id_col)), id_col)
     return train_eval_split(rest, seed, id_col, share).unionByName(test.withColumn("split", F.lit("test")))
 
 

@@ -15,7 +15,7 @@ from pairloom.operators import evaluate, pairs as pair_ops, refresh, splits, tra
 from pairloom.operators.chunk import chunk
 from pairloom.operators.positions import hash_position
 from pairloom.plans.store import FeatureStore
-from pairloom.session import stage
+from pairloom.session import counted_broadcast, stage
 from pairloom.sources import metrics
 from pairloom.sources.tables import chunked_path, read_table, write_table
 from pairloom.sources.versions import VersionedTable
@@ -109,7 +109,7 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
     test = stage(splits.holdout(encoded, seed=config.seed), "test")
     write_table(test, f"{target}/test_set")
     table = VersionedTable(spark, f"{target}/pairs")
-    table.write(splits.without(encoded, F.broadcast(test.select("training_sample_id"))), run_id)
+    table.write(splits.without(encoded, counted_broadcast(test.select("training_sample_id"))), run_id)
     weights, updates, log = adapter.identity_adapter(encoder.dim), 0, f"{target}/metrics"
     losses = []
     for epoch in range(config.epochs):

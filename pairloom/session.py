@@ -7,9 +7,10 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BROADCAST_ROWS = 200_000
 _own_folders: dict = {}
 _shipped: set = set()
 
@@ -81,6 +82,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{staging_dir(spark)}/pairloom/{label}-{uuid.uuid4().hex}"
 
 
+def counted_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a stored table when its rows, which are counted, stay within ``limit``; else the join shuffles."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

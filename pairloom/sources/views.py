@@ -144,6 +144,7 @@ def standard_views(root: str, dim: int = 384, fine_tuned=None) -> Registry:
     The vectors of ``fine_tuned_query_embeddings`` are computed on demand, by the encoder given as ``fine_tuned``.
     """
     text, vector = T.StringType(), VECTOR
+    # Names, fields and lifetimes of the views.
     passage = Entity("id", ("id",))
     sample = Entity("training_sample_id", ("training_sample_id",))
     query = Entity("query_id", ("query_id",))
