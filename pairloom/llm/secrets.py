@@ -149,6 +149,7 @@ def report(docs: DataFrame, ledger_folder: str | None = None, rules=RULES, base=
     of_base = F.filter("s", lambda s: s["rank"] < len(base))
     rows = spans.select("blob", *[of_kind(r.kind).alias(f"n_{r.kind}") for r in base],
                         F.sha2(joined(of_base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"))
-    out = seen.select("doc_id", "blob").join(rows, "blob", "left")
+    # Staged, so that a blob of many versions is split over tasks in this join.
+    out = seen.select("doc_id", "blob").join(scratch.stage(rows, "spans"), "blob", "left")
     return out.select("doc_id", *[F.coalesce(f"n_{r.kind}", F.lit(0).cast("long")).alias(f"n_{r.kind}") for r in base],
                       F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
