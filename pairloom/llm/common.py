@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairloom.session import scratch_path
@@ -25,6 +29,24 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{BLANKS}]+"), lambda w: w != "")
 
 
+def tidy(run):
+    """A function over Arrow batches that gives memory back at the end of its task.
+
+    A worker serves task after task; without this its allocators keep the most that any task has used.
+    """
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 class Scratch:
     """Staged tables of one run in the shared folder, each deleted once what was made of it is written.
 

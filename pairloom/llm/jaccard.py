@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from pairloom.llm.common import Scratch, id_and_text
+from pairloom.llm.common import Scratch, id_and_text, tidy
 from pairloom.llm.components import components
 from pairloom.llm.words import hash_words, mix
 
@@ -40,7 +40,7 @@ WORDS = 4
 LEAST = 85
 BAND = 1.3
 PAIR_COST = 300.0
-FLUSH = 1_500_000
+FLUSH = 300_000
 # Signatures with more sets than this are settled by the rarest shingles instead of by their pairs.
 HOT = 16
 _FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64), 7) | np.uint64(1)
@@ -155,12 +155,15 @@ def signatures(codes: np.ndarray, tops, plan, least=LEAST) -> np.ndarray:
 
 def _sets(docs: DataFrame) -> DataFrame:
     """``doc_id, n, digest``."""
+    @tidy
     def run(batches):
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(f) for f in found], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(f.tobytes()) for f in found], pa.binary())], ["doc_id", "n", "digest"])
+            sizes, digests = [], []
+            for text in batch.column(1):
+                codes = shingles(text.as_py())
+                sizes.append(len(codes))
+                digests.append(xxhash.xxh3_128_digest(codes.tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n", "digest"])
 
     return docs.mapInArrow(run, "doc_id long, n long, digest binary")
 
@@ -170,6 +173,7 @@ def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
 
     Copies of a set within a task are signed once: they share a digest, by which they are grouped elsewhere.
     """
+    @tidy
     def run(batches):
         seen, parts, ids, rows = set(), [], [], 0
 
@@ -204,8 +208,9 @@ def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
 
 
 def _codes(docs: DataFrame) -> DataFrame:
+    @tidy
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["id", "codes"])
 
     return docs.mapInArrow(run, "id long, codes binary")
@@ -213,6 +218,7 @@ def _codes(docs: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, codes: DataFrame, least) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough."""
+    @tidy
     def run(batches):
         for batch in batches:
             keep = []
@@ -235,6 +241,7 @@ def _rarest(sets: DataFrame, least) -> DataFrame:
     In any one order of all shingles, linked sets share a shingle among the first n - ceil(n * least / 100) + 1 of each;
     the order here begins with those in the fewest sets. Shingles of a single set, ``alone`` of them, only count.
     """
+    @tidy
     def run(batches):
         for batch in batches:
             found = [np.frombuffer(c.as_py(), np.int64) for c in batch.column(2)]
@@ -255,7 +262,9 @@ def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
     scratch = Scratch(spark, "jaccard")
     docs = id_and_text(docs)
     sets = scratch.stage(_sets(docs), "sets")
-    classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # Staged, so that the join below reads both sides from exchanges of its own and a digest of many copies can be split.
+    classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = scratch.stage(classes.filter("copies > 1").select("digest", "rep"), "classes")
     members = scratch.stage(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     histogram = {r["n"]: r["count"] for r in sets.filter("n > 0").groupBy("n").count().collect()}
     tops, plan = schemes(histogram, least)

@@ -18,11 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairloom.llm.common import tidy
+
 UNKNOWN = "und"
 HIDDEN, SEGMENT, PIECE, PER_LANGUAGE = 8, 128, 256, 500
 BATCH, STEPS, RATE, SEED = 96, 420, 0.02, 11
 LANES = 2048
-PASS = 4_000_000
+PASS = 1_000_000
 # Python's own idea of a letter, so that any script counts.
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -241,15 +243,15 @@ def predict(docs: DataFrame, net: ByteNetwork | None, keep=()) -> DataFrame:
     names = ["doc_id", "held_out", "lang_pred", "score"]
     kept = [c for c in keep if c not in names]
 
+    @tidy
     def run(batches):
         net = sent.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
             found, held, size = [], [], 0
-            for i, text in enumerate(texts):
-                held.append(text)
-                size += len(text)
-                if size > PASS or i + 1 == len(texts):
+            for i, text in enumerate(batch.column(2)):
+                held.append(text.as_py() or "")
+                size += len(held[-1])
+                if size > PASS or i + 1 == batch.num_rows:
                     found += label_texts(net, held) if net else [(UNKNOWN, 0.0)] * len(held)
                     held, size = [], 0
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),

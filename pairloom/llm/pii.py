@@ -25,7 +25,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.llm.common import id_and_text
+from pairloom.llm.common import id_and_text, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the base spans.
@@ -331,6 +331,7 @@ def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     docs = id_and_text(docs)
     weights = train(training_windows(docs, sample))
 
+    @tidy
     def run(batches):
         for batch in batches:
             counts, digests, all_spans = {k: [] for k in KINDS}, [], []

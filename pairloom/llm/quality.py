@@ -26,7 +26,7 @@ from pairloom.llm.common import id_and_text
 
 BUCKETS, GRAM, SAMPLE, LEAST = 1 << 18, 4, 6_000, 12
 EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.5, 4e-4, 64, 3
-KEPT_TOKENS = 500_000
+KEPT_TOKENS = 250_000
 KEEP = 0.5
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]{2,}")
 

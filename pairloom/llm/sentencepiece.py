@@ -3,7 +3,7 @@
 A text is cut where no merge can reach across: before a run of space marks, when no piece has a mark behind
 another character, between a letter and a stop that follows a letter in no piece, and at characters no piece holds. Each cut is encoded by backtracking (Aho-Corasick longest
 matches, neighbours checked by merging their text again, a bit field of positions that failed), which gives
-the merge result in linear time. Cuts repeat often, so a worker keeps a bounded table of them.
+the merge result in linear time. Cuts repeat often, so a task keeps a bounded table of them.
 
 Null text counts as empty and has no ids. Nothing depends on other columns, order or repeats.
 """
@@ -18,7 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pairloom.llm.common import id_and_text
+from pairloom.llm.common import id_and_text, tidy
 
 SPACE = "▁"
 # The piece types of the model file.
@@ -26,9 +26,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 LETTER = r"[^\W\d_²³¹]"
 STOPS = ",.;:!?*|&%$#"
-KEPT_CUTS = 700_000
+KEPT_CUTS = 120_000
 KEPT_LENGTH = 48
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 250_000
 
 
 def _fields(data: bytes):
@@ -218,7 +218,7 @@ def _utf8(data: bytearray) -> str:
 
 
 class _Cuts(dict):
-    """Encoded cuts of this worker: decimal ids joined by commas, and their text."""
+    """Encoded cuts of one task: decimal ids joined by commas, and their text."""
 
     def __init__(self, model: PieceModel):
         self.model = model
@@ -233,14 +233,15 @@ class _Cuts(dict):
         return value
 
 
-_workers: dict = {}
+_loaded: dict = {}
 
 
-def _worker_cuts(data: bytes) -> _Cuts:
+def _model(data: bytes) -> PieceModel:
+    """The model, read once for all tasks of a worker."""
     key = hashlib.md5(data).digest()
-    if key not in _workers:
-        _workers[key] = _Cuts(PieceModel(data))
-    return _workers[key]
+    if key not in _loaded:
+        _loaded[key] = PieceModel(data)
+    return _loaded[key]
 
 
 def model_bytes(path: str) -> bytes:
@@ -256,8 +257,9 @@ def encode_documents(docs: DataFrame, model_path: str, with_text: bool = False)
     """
     sent = docs.sparkSession.sparkContext.broadcast(model_bytes(model_path))
 
+    @tidy
     def run(batches):
-        cuts = _worker_cuts(sent.value)
+        cuts = _Cuts(_model(sent.value))
         split = cuts.model.split
         for batch in batches:
             counts, id_hashes, text_hashes, ids_out, texts_out = [], [], [], [], []
