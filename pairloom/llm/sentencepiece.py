@@ -26,7 +26,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 LETTER = r"[^\W\d_²³¹]"
 STOPS = ",.;:!?*|&%$#"
-KEPT_CUTS = 120_000
+KEPT_CUTS = 200_000
 KEPT_LENGTH = 48
 KEPT_PAIRS = 250_000
 
