@@ -12,7 +12,8 @@ Copies of a passage meet in partial aggregates, so a passage in a third of all d
 rows that go back to its occurrences are left to the skew handling of joins. Nothing is capped or sampled.
 
 Null text has no words. Repeated ids count as one document: windows are only compared between different ids, and
-each row is returned. Empty tables give an empty result; other columns are not read.
+each row is returned. Different texts of one id are told apart by their hash, so that each is read at coordinates of
+its own. Empty tables give an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -86,10 +87,10 @@ def _path_blocks(codes: np.ndarray, sizes: np.ndarray, window: int):
 
 
 def _blocks(docs: DataFrame, window: int) -> DataFrame:
-    """``doc_id, start, n, anchor, block`` for every block of every document."""
+    """``doc_id, text_id, start, n, anchor, block`` for every block of every row."""
     def run(batches):
         for batch in batches:
-            held, ids, offsets, total = [], [], [], 0
+            held, ids, texts, offsets, total = [], [], [], [], 0
 
             def flush():
                 out = _path_blocks(np.concatenate(held), np.array([len(h) for h in held]), window)
@@ -97,29 +98,30 @@ def _blocks(docs: DataFrame, window: int) -> DataFrame:
                     return
                 owner, start, count, anchor, block = out
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(ids, np.int64)[owner]), pa.array(start + np.array(offsets, np.int64)[owner]), pa.array(count.astype(np.int32)),
-                     pa.array(anchor.view(np.int64)), pa.array(block.view(np.int64))], ["doc_id", "start", "n", "anchor", "block"])
+                    [pa.array(np.array(ids, np.int64)[owner]), pa.array(np.array(texts, np.int64)[owner]), pa.array(start + np.array(offsets, np.int64)[owner]), pa.array(count.astype(np.int32)),
+                     pa.array(anchor.view(np.int64)), pa.array(block.view(np.int64))], ["doc_id", "text_id", "start", "n", "anchor", "block"])
 
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 codes = hash_words(text.as_py().encode().split())
                 for offset in range(0, len(codes) - window + 1, PIECE):
                     piece = codes[offset:offset + PIECE + window - 1]
                     held.append(piece)
                     ids.append(doc_id)
+                    texts.append(text_id)
                     offsets.append(offset)
                     total += len(piece)
                     if total >= PIECE:
                         yield from flush()
-                        held, ids, offsets, total = [], [], [], 0
+                        held, ids, texts, offsets, total = [], [], [], [], 0
             if held:
                 yield from flush()
 
-    return docs.mapInArrow(run, "doc_id long, start long, n int, anchor long, block long")
+    return docs.select("doc_id", "text_id", "text").mapInArrow(run, "doc_id long, text_id long, start long, n int, anchor long, block long")
 
 
 def _windows(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
     """``anchor, block, at, code, low`` for each window of the blocks in ``sources``, read at their coordinates."""
-    wanted = sources.groupBy(F.col("low").alias("doc_id")).agg(F.collect_list(F.struct("anchor", "block", "start", "n")).alias("blocks"))
+    wanted = sources.groupBy(F.col("low").alias("doc_id"), F.col("low_text").alias("text_id")).agg(F.collect_list(F.struct("anchor", "block", "start", "n")).alias("blocks"))
 
     def run(batches):
         for batch in batches:
@@ -136,34 +138,42 @@ def _windows(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["anchor", "block", "at", "code", "low"])
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "blocks").mapInArrow(run, "anchor long, block long, at int, code long, low long")
+    return docs.join(wanted, ["doc_id", "text_id"]).select("doc_id", "text", "blocks").mapInArrow(run, "anchor long, block long, at int, code long, low long")
+
+
+def _told_apart(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``doc_id, text_id, text``: 0 for an id with one text, else the hash of the text."""
+    hashed = docs.withColumn("hash", F.xxhash64("text"))
+    several = scratch.stage(hashed.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).filter("low < high").select("doc_id", F.lit(True).alias("several")), "several")
+    return hashed.join(several, "doc_id", "left").select("doc_id", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0)).cast("long").alias("text_id"), "text")
 
 
 def repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFrame:
-    """``doc_id, start, n, low, lows``: blocks with windows that a smaller document has too.
+    """``doc_id, text_id, start, n, low, lows``: blocks with windows that a smaller document has too.
 
     Window ``i`` of a block starts at word ``start + i``; its smallest document is ``lows[i]``, or ``low`` where
     ``lows`` is null.
     """
     blocks = scratch.stage(_blocks(docs, window), "blocks")
-    distinct = blocks.groupBy("anchor", "block").agg(F.min(F.struct("doc_id", "start", "n")).alias("source"), F.max("doc_id").alias("high"))
-    distinct = distinct.select("anchor", "block", F.col("source.doc_id").alias("low"), "source.start", "source.n", "high")
+    distinct = blocks.groupBy("anchor", "block").agg(F.min(F.struct("doc_id", "text_id", "start", "n")).alias("source"), F.max("doc_id").alias("high"))
+    distinct = distinct.select("anchor", "block", F.col("source.doc_id").alias("low"), F.col("source.text_id").alias("low_text"), "source.start", "source.n", "high")
     nodes = distinct.groupBy("anchor").agg(F.min("low").alias("node_low"), F.max("high").alias("node_high"), F.count(F.lit(1)).alias("paths"))
-    shared = scratch.stage(distinct.join(nodes.filter("node_low < node_high"), "anchor").select("anchor", "block", "low", "start", "n", "paths"), "shared")
+    shared = scratch.stage(distinct.join(nodes.filter("node_low < node_high"), "anchor").select("anchor", "block", "low", "low_text", "start", "n", "paths"), "shared")
     windows = scratch.stage(_windows(docs, shared.filter("paths > 1"), window), "windows")
     least = windows.groupBy("anchor", "code").agg(F.min("low").alias("least"))
+    # A set, as repeated rows of the source document give each window again.
     settled = windows.join(least, ["anchor", "code"]).groupBy("anchor", "block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "least"))), lambda x: x["least"]).alias("lows"))
+        F.transform(F.array_sort(F.collect_set(F.struct("at", "least"))), lambda x: x["least"]).alias("lows"))
     known = (shared.filter("paths = 1").select("anchor", "block", "low", F.lit(None).cast("array<long>").alias("lows"))
              .unionByName(settled.select("anchor", "block", F.array_min("lows").alias("low"), "lows")))
-    return blocks.join(known, ["anchor", "block"]).filter("low < doc_id").select("doc_id", "start", "n", "low", "lows")
+    return blocks.join(known, ["anchor", "block"]).filter("low < doc_id").select("doc_id", "text_id", "start", "n", "low", "lows")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` (with ``with_text`` also ``kept``) for every row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "substring")
-    docs = id_and_text(docs)
-    found = repeats(docs, scratch, window).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "lows")).alias("found"))
+    docs = _told_apart(id_and_text(docs), scratch)
+    found = repeats(docs, scratch, window).groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("start", "n", "lows")).alias("found"))
 
     def run(batches):
         for batch in batches:
@@ -196,5 +206,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
                 columns, names = columns + [pa.array(kept_texts, pa.string())], names + ["kept"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    joined = docs.join(found, "doc_id", "left").select("doc_id", "text", "found")
+    joined = docs.join(found, ["doc_id", "text_id"], "left").select("doc_id", "text", "found")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else ""))

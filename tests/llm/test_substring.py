@@ -74,3 +74,33 @@ def test_kept_text_on_request(spark):
     rows = [(1, " ".join(text)), (2, " ".join(["x", *text, "y"]))]
     got = {r.doc_id: r.kept for r in substring.without_repeats(documents(spark, rows), with_text=True).collect()}
     assert got[2] == "x y"
+
+
+def plain_rows(rows, window=50):
+    first, out = {}, []
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        words = (text or "").encode().split()
+        for s in range(len(words) - window + 1):
+            first.setdefault(tuple(words[s:s + window]), doc_id)
+    for doc_id, text in rows:
+        words, gone = (text or "").encode().split(), set()
+        for s in range(len(words) - window + 1):
+            if first[tuple(words[s:s + window])] < doc_id:
+                gone.update(range(s, s + window))
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(words), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def test_repeated_rows_equal_brute_force(spark):
+    rows = passages()
+    for doubled in (rows + rows, rows + rows[6:20] * 2):
+        got = substring.without_repeats(documents(spark, doubled).repartition(4))
+        assert sorted(map(tuple, got.collect())) == plain_rows(doubled)
+
+
+def test_two_texts_of_one_id(spark):
+    rows = passages()
+    other = rows + [(a, b) for (a, _), (_, b) in zip(rows[6:], rows[16:])]
+    got = substring.without_repeats(documents(spark, other).repartition(4))
+    assert sorted(map(tuple, got.collect())) == plain_rows(other)
