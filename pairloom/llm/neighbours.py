@@ -10,7 +10,7 @@ sides (sum of squared margins), and leaves are taken until they hold ``share`` o
 exactly in double precision. The fitting sample gives each query a score that its result has to reach, so that
 cells return few rows. A cell is a slice of at most ``CELL`` rows of a leaf and a slice of the queries.
 
-Of equal vectors only the ``k + 1`` smallest ids can be in a result, and only they are indexed. Vectors that are null or
+Of equal vectors only the ``k + 1`` smallest distinct ids can be in a result, and only they are indexed. Vectors that are null or
 zero, hold null or non-finite components, or have another length than most take no part. A repeated id
 counts once. An empty table gives an empty result; other columns are not read.
 """
@@ -139,7 +139,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
 
     # Each task passes on at most k + 1 rows of one vector, so copies of a vector never meet in one place.
     copies = W.partitionBy("vec").orderBy("vec_id")
-    index = table.withColumn("place", F.row_number().over(copies)).filter(F.col("place") <= k + 1).select("vec_id", "vec")
+    # Repeated rows go first, or they would take the places of other ids.
+    index = table.dropDuplicates(["vec_id", "vec"]).withColumn("place", F.row_number().over(copies)).filter(F.col("place") <= k + 1).select("vec_id", "vec")
     index = scratch.stage(index, "index")
     kept = index.count()
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))

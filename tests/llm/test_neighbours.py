@@ -72,3 +72,12 @@ def test_queue_takes_the_nearest_leaf_first():
         taken = forest.search(points[i], {}, 1)
         assert set(enumerate(leaves[i].tolist())) <= set(taken[:3]) | set(taken)
         assert len(taken) == len(set(taken))
+
+
+def test_repeated_rows_leave_every_tied_id(spark):
+    draw = np.random.default_rng(5)
+    one = draw.normal(size=8).tolist()
+    rows = [(i, one, 0) for i in range(100)] + [(i, draw.normal(size=8).tolist(), 0) for i in range(100, 130)]
+    for repeated in (rows + rows, rows + rows[:1] * 21):
+        got = found(neighbours.nearest(table(spark, repeated), asked()))
+        assert [v for v, _ in got[0]] == list(range(1, 21)) and [v for v, _ in got[80]] == list(range(20))
