@@ -2,7 +2,7 @@
 
 1. ``language``: documents whose language cannot be told go (no letters, or no language reaches ``LEAST_SCORE``).
 2. ``near_duplicates``: of each group of near duplicates the document with the smallest id stays.
-3. ``decontaminate``: documents that hold a passage of the benchmark go.
+3. ``decontaminate``: documents that hold a passage of the benchmark go; short items of 5 to 14 words may differ in a fifth of them too.
 4. ``pii``: personal data in texts is masked; ``n_chars`` follows the text.
 5. ``tokens``: what is left is encoded, and a digest shows that it decodes again.
 
@@ -34,7 +34,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), short_share=decontaminate.SHARE).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -65,3 +65,38 @@ def test_no_rows(spark):
     some = items(spark, [(1, " ".join(prose(1, 30)))])
     assert decontaminate.contaminated(documents(spark, []), some).count() == 0
     assert decontaminate.contaminated(documents(spark, [(1, "a b c d e f")]), items(spark, [])).count() == 0
+
+
+def test_pieces_outlast_every_allowed_substitution():
+    for size in range(5, 15):
+        for share in (0.8, 1.0):
+            masks = decontaminate.pieces(size, share)
+            assert sorted(o for m in masks for o in m) == list(range(size))
+            for gone in itertools.combinations(range(size), int(size * (1 - share) + 1e-9)):
+                assert any(not set(m) & set(gone) for m in masks), (size, gone)
+
+
+def test_short_items_may_differ_on_request(spark):
+    draw = random.Random(9)
+    tests = [(n, " ".join(f"w{n}x{j}" for j in range(n))) for n in range(3, 15)]
+    docs, want = [], set()
+    for n, item in tests:
+        for changed in range(5):
+            words = item.split()
+            for j in draw.sample(range(n), min(changed, n)):
+                words[j] = "other"
+            docs.append((10 * n + changed, " ".join(["front", *words, "back"])))
+            if n >= 5 and n - changed >= 0.8 * n - 1e-9:
+                want.add((10 * n + changed, n))
+    got = decontaminate.contaminated(documents(spark, docs), items(spark, tests), short_share=0.8).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.start == 1 and r.matched >= 0.8 * r.item_id for r in got)
+
+
+def test_two_texts_of_one_item_id(spark):
+    for n in (8, 20):
+        one, two = (" ".join(prose(70 + i, n, 5000)) for i in range(2))
+        docs = documents(spark, [(1, f"a {one} b"), (2, f"a {two} b"), (3, "a b")])
+        for tests in ([(7, one), (7, two)], [(7, two), (7, one), (7, one)]):
+            got = decontaminate.contaminated(docs, items(spark, tests)).collect()
+            assert sorted((r.doc_id, r.item_id, r.start, r.matched) for r in got) == [(1, 7, 1, min(n, 15)), (2, 7, 1, min(n, 15))]

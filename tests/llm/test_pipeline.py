@@ -42,3 +42,10 @@ def test_stages_bear_odd_rows(spark, data):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, table, data)
             assert out.count() <= table.count(), name
+
+
+def test_short_benchmark_items_bear_a_changed_word(spark, tmp_path):
+    spark.createDataFrame([(1, "which of the nine rivers flows through the old grey town")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, [(1, "say which of the ten rivers flows through the old grey town today"), (2, "a text of its own")])
+    stage = dict(corpus_pipeline.STAGES)["decontaminate"]
+    assert [r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()] == [2]
