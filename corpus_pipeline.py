@@ -1,7 +1,8 @@
 """A cleaning pipeline over raw documents: five stages, each written as Parquet and read again by the next.
 
 1. ``language``: documents whose language cannot be told go (no letters, or no language reaches ``LEAST_SCORE``).
-2. ``near_duplicates``: of each group of near duplicates the document with the smallest id stays.
+2. ``near_duplicates``: of each group of near duplicates the document with the smallest id stays: near are
+   shingles of five words with a similarity of 0.8 or more.
 3. ``decontaminate``: documents that hold a passage of the benchmark go; short items of 5 to 14 words may differ in a fifth of them too.
 4. ``pii``: personal data in texts is masked; ``n_chars`` follows the text.
 5. ``tokens``: what is left is encoded, and a digest shows that it decodes again.
@@ -21,6 +22,8 @@ from pairloom.llm.queries import PIECES
 from pairloom.session import scratch_path, ship_package
 
 LEAST_SCORE = 0.4
+# Near duplicates of this stage: shingles of so many words, alike in so many of 100.
+NEAR_WIDTH, NEAR_LEAST = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +32,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = jaccard.groups(docs).filter("doc_id <> component_id").select("doc_id")
+    copies = jaccard.groups(docs, NEAR_LEAST, NEAR_WIDTH).filter("doc_id <> component_id").select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

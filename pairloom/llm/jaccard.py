@@ -1,8 +1,8 @@
 """Exact similarity join on word shingles by a partition of the shingle universe, and the groups its links form.
 
-Words are lower-cased (A-Z) runs between white space; a document's set holds its distinct shingles of ``WORDS``
-words, or the whole sequence when it has fewer. Two documents link when their sets have a Jaccard similarity of at
-least 85 in 100. Documents without words have the empty set and link with nothing.
+Words are lower-cased (A-Z) runs between white space; a document's set holds its distinct shingles of ``width``
+words (``WORDS`` by default), or the whole sequence when it has fewer. Two documents link when their sets have a Jaccard similarity of at
+least ``least`` in 100 (85 by default). Documents without words have the empty set and link with nothing.
 
 Candidates. Sizes fall into bands. Two linked sets whose smaller one lies in band k differ in at most
 ``H`` shingles, ``H`` following from the band's largest size. The scheme of band k hashes the universe into ``b``
@@ -43,17 +43,17 @@ PAIR_COST = 300.0
 FLUSH = 300_000
 # Signatures with more sets than this are settled by the rarest shingles instead of by their pairs.
 HOT = 16
-_FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64), 7) | np.uint64(1)
+_FACTORS = mix(np.arange(1, 65, dtype=np.uint64), 7) | np.uint64(1)
 
 
-def shingles(text: str) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
+def shingles(text: str, width: int = WORDS) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles of ``width`` words."""
     words = hash_words(text.encode().lower().split())
-    if len(words) < WORDS:
+    if len(words) < width:
         return words[:0] if not len(words) else mix(np.array([xxhash.xxh64_intdigest(words.tobytes())], np.uint64), len(words))
-    code = words[:len(words) - WORDS + 1] * _FACTORS[0]
-    for i in range(1, WORDS):
-        code += words[i:len(words) - WORDS + 1 + i] * _FACTORS[i]
+    code = words[:len(words) - width + 1] * _FACTORS[0]
+    for i in range(1, width):
+        code += words[i:len(words) - width + 1 + i] * _FACTORS[i]
     code = mix(code, 11)
     code.sort()
     return code[np.concatenate([[True], code[1:] != code[:-1]])]
@@ -153,14 +153,14 @@ def signatures(codes: np.ndarray, tops, plan, least=LEAST) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n, digest``."""
     @tidy
     def run(batches):
         for batch in batches:
             sizes, digests = [], []
             for text in batch.column(1):
-                codes = shingles(text.as_py())
+                codes = shingles(text.as_py(), width)
                 sizes.append(len(codes))
                 digests.append(xxhash.xxh3_128_digest(codes.tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n", "digest"])
@@ -168,7 +168,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary")
 
 
-def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
+def _signed(docs: DataFrame, tops, plan, least, width: int) -> DataFrame:
     """``sig, doc_id, leader``: a signature met again within a task points to the first document that had it.
 
     Copies of a set within a task are signed once: they share a digest, by which they are grouped elsewhere.
@@ -189,7 +189,7 @@ def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                codes = shingles(text.as_py())
+                codes = shingles(text.as_py(), width)
                 digest = xxhash.xxh3_128_digest(codes.tobytes())
                 if not len(codes) or digest in seen:
                     continue
@@ -207,11 +207,11 @@ def _signed(docs: DataFrame, tops, plan, least) -> DataFrame:
     return docs.mapInArrow(run, "sig long, doc_id long, leader long")
 
 
-def _codes(docs: DataFrame) -> DataFrame:
+def _codes(docs: DataFrame, width: int) -> DataFrame:
     @tidy
     def run(batches):
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["id", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py(), width).tobytes() for t in batch.column(1)], pa.binary())], ["id", "codes"])
 
     return docs.mapInArrow(run, "id long, codes binary")
 
@@ -256,19 +256,19 @@ def _rarest(sets: DataFrame, least) -> DataFrame:
     return placed.filter(F.col("place") <= F.col("n") - F.expr(f"(n * {least} + 99) div 100") + 1).select("code", "id", "n", "place", "alone")
 
 
-def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def groups(docs: DataFrame, least: int = LEAST, width: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     docs = id_and_text(docs)
-    sets = scratch.stage(_sets(docs), "sets")
+    sets = scratch.stage(_sets(docs, width), "sets")
     # Staged, so that the join below reads both sides from exchanges of its own and a digest of many copies can be split.
     classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = scratch.stage(classes.filter("copies > 1").select("digest", "rep"), "classes")
     members = scratch.stage(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     histogram = {r["n"]: r["count"] for r in sets.filter("n > 0").groupBy("n").count().collect()}
     tops, plan = schemes(histogram, least)
-    signed = scratch.stage(_signed(docs, tops, plan, least), "signed")
+    signed = scratch.stage(_signed(docs, tops, plan, least, width), "signed")
 
     by_sig = W.partitionBy("sig")
     lead = signed.filter("doc_id = leader").select("sig", "doc_id").withColumn("lo", F.min("doc_id").over(by_sig)).withColumn("hi", F.max("doc_id").over(by_sig))
@@ -289,7 +289,7 @@ def groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     pairs = scratch.stage(candidates(shared.filter("doc_id <> lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y"))), "pairs")
     wanted = shared.select("doc_id").union(shared.select("lo")).distinct().join(rep, "doc_id").select(F.col("rep").alias("doc_id")).distinct()
-    codes = scratch.stage(_codes(docs.join(wanted, "doc_id", "left_semi")), "codes")
+    codes = scratch.stage(_codes(docs.join(wanted, "doc_id", "left_semi"), width), "codes")
 
     def grouped(links: DataFrame | None, name: str) -> DataFrame:
         return components(links, scratch, name)

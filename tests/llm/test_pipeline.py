@@ -44,6 +44,16 @@ def test_stages_bear_odd_rows(spark, data):
             assert out.count() <= table.count(), name
 
 
+def test_near_duplicates_by_five_words(spark, data):
+    words = [f"w{i}" for i in range(100)]
+    # Two words far apart: 86 of 106 shingles of five words; three: 81 of 111, below 0.8.
+    two = [{30: "x", 60: "y"}.get(i, w) for i, w in enumerate(words)]
+    three = [f"v{i}" if i not in (20, 50, 80) else f"z{i}" for i in range(100)]
+    docs = documents(spark, [(1, " ".join(words)), (2, " ".join(two)), (3, " ".join(f"v{i}" for i in range(100))), (4, " ".join(three))])
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(r.doc_id for r in stage(spark, docs, data).collect()) == [1, 3, 4]
+
+
 def test_short_benchmark_items_bear_a_changed_word(spark, tmp_path):
     spark.createDataFrame([(1, "which of the nine rivers flows through the old grey town")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = documents(spark, [(1, "say which of the ten rivers flows through the old grey town today"), (2, "a text of its own")])
