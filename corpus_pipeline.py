@@ -1,6 +1,8 @@
 """A cleaning pipeline over raw documents: five stages, each written as Parquet and read again by the next.
 
-1. ``language``: documents whose language cannot be told go (no letters, or no language reaches ``LEAST_SCORE``).
+1. ``language``: documents whose language cannot be told go (no letters, or the best language is
+   near chance: below ``NEAR_CHANCE`` / number of languages). Documents in several languages stay; with one or two
+   learned languages a score tells nothing of the kind, and only texts without letters go.
 2. ``near_duplicates``: of each group of near duplicates the document with the smallest id stays: near are
    shingles of five words with a similarity of 0.8 or more.
 3. ``decontaminate``: documents that hold a passage of the benchmark go; short items of 5 to 14 words may differ in a fifth of them too.
@@ -21,14 +23,19 @@ from pairloom.llm.common import table
 from pairloom.llm.queries import PIECES
 from pairloom.session import scratch_path, ship_package
 
-LEAST_SCORE = 0.4
+NEAR_CHANCE = 1.1
 # Near duplicates of this stage: shingles of so many words, alike in so many of 100.
 NEAR_WIDTH, NEAR_LEAST = 5, 80
 
 
+def least_score(languages: int) -> float:
+    return NEAR_CHANCE / languages if languages > 2 else 0.0
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = language.predict(docs, language.model(docs), keep=docs.columns)
-    return kept.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    net = language.model(docs)
+    kept = language.predict(docs, net, keep=docs.columns)
+    return kept.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least_score(len(net.labels) if net else 0))).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,16 @@ def test_short_benchmark_items_bear_a_changed_word(spark, tmp_path):
     docs = documents(spark, [(1, "say which of the ten rivers flows through the old grey town today"), (2, "a text of its own")])
     stage = dict(corpus_pipeline.STAGES)["decontaminate"]
     assert [r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+def test_documents_in_several_languages_stay(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    by_language = {}
+    for r in docs.filter("text is not null and length(text) > 300").orderBy("doc_id").collect():
+        by_language.setdefault(r.lang, []).append(r.text[:300])
+    assert len(by_language) > 3
+    texts = [by_language[k] for k in sorted(by_language)]
+    mixed = [(10_000_000 + i, " ".join(t[i % len(t)] for t in (texts[i % len(texts):] + texts)[:3])) for i in range(30)]
+    kept = dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(documents(spark, mixed)), data)
+    assert kept.filter("doc_id >= 10000000").count() == 30
+    assert [corpus_pipeline.least_score(n) for n in (0, 1, 2)] == [0, 0, 0] and 1 / 5 < corpus_pipeline.least_score(5) < 1 / 4
