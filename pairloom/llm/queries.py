@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, secrets, sentencepiece, substring, urls
+from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, runs, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 from pairloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -58,4 +61,30 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate)}
+def planted(doc_id: int, n: int) -> np.ndarray | None:
+    """Fixed rule of the run query: a tenth of the documents repeat a stretch of theirs to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % p
+    return order
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, folder, "documents"), rewrite=planted)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "runs", "collapsed", longest.alias("longest")
+    ).select(
+        "doc_id", "n_runs", (-F.col("longest.col2")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.col3")).alias("period"),
+        F.expr("1000 * longest.length div -longest.col3").alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") == 0, "").otherwise(F.concat(listed, F.lit("\n"))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate, op11_runs)}
