@@ -8,11 +8,12 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, runs, secrets, sentencepiece, substring, urls
+from pairloom.llm import alignment, decontaminate, jaccard, language, neighbours, pii, quality, runs, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 from pairloom.llm.oracle import ORACLE  # noqa: F401
 
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 # The rules of the url query.
 URL_RULES = (
     urls.HostRule("allow", "com/"), urls.HostRule("block", "example.com/en/"), urls.HostRule("allow", "www.example.com/en/"),
@@ -87,4 +88,8 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate, op11_runs)}
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate, op11_runs, op13_alignment)}
