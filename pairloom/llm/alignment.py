@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm import perfect_hash
-from pairloom.llm.common import Scratch, id_and_text, tidy
+from pairloom.llm.common import Scratch, added_up, id_and_text, tidy
 from pairloom.llm.words import mix
 from pairloom.llm.tokens import SPACE, ByteTokens, PieceTokens, byte_tokens, piece_tokens
 
@@ -191,23 +191,6 @@ def _slice(keys: DataFrame, part: int, parts: int) -> DataFrame:
     return keys.mapInArrow(own, "key long") if parts > 1 else keys
 
 
-def _added_up(rows: DataFrame) -> DataFrame:
-    """Sum of the vectors of each key, held as one vector a key and task."""
-    *keys, _ = names = rows.columns
-
-    def run(batches):
-        sums: dict = {}
-        for batch in batches:
-            for *key, vector in zip(*(c.to_pylist() for c in batch.columns)):
-                values = np.frombuffer(vector, "<i8")
-                sums[tuple(key)] = sums[tuple(key)] + values if tuple(key) in sums else values
-        if sums:
-            columns = [pa.array(list(c), pa.int32()) for c in zip(*sums)] + [pa.array([v.astype("<i8").tobytes() for v in sums.values()])]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return rows.repartition(*keys).mapInArrow(run, rows.schema)
-
-
 def _counted(stored: DataFrame, a_path: str, b_path: str, sent, size: int, part: int, parts: int) -> DataFrame:
     """``block, counts``: how many links hold each pair of a slice, from a dense vector of each task, added up in two levels."""
 
@@ -223,7 +206,7 @@ def _counted(stored: DataFrame, a_path: str, b_path: str, sent, size: int, part:
 
     leaves = _again(stored, a_path, b_path, count, "block int, counts binary")
     lanes = leaves.select("block", (F.spark_partition_id() % LANES).cast("int").alias("lane"), "counts")
-    return _added_up(_added_up(lanes).select("block", "counts"))
+    return added_up(added_up(lanes).select("block", "counts"))
 
 
 def _vector(blocks: DataFrame, size: int) -> np.ndarray:

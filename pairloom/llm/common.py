@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -71,3 +72,23 @@ class Scratch:
 def counted_broadcast(df: DataFrame, rows: int, limit: int = COUNTED_BROADCAST) -> DataFrame:
     """Broadcast ``df`` when its counted rows stay within ``limit``; beyond it the join shuffles."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def added_up(rows: DataFrame) -> DataFrame:
+    """Sum of the vectors of each key: integer keys first, then a column of packed 64-bit integers of equal length a key.
+
+    Rows stream through a task, which keeps one sum a key; a second call over fewer keys makes a tree of sums.
+    """
+    *keys, _ = names = rows.columns
+
+    def run(batches):
+        sums: dict = {}
+        for batch in batches:
+            for *key, vector in zip(*(c.to_pylist() for c in batch.columns)):
+                values = np.frombuffer(vector, "<i8")
+                sums[tuple(key)] = sums[tuple(key)] + values if tuple(key) in sums else values
+        if sums:
+            columns = [pa.array(list(c), pa.int32()) for c in zip(*sums)] + [pa.array([v.astype("<i8").tobytes() for v in sums.values()])]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.repartition(*keys).mapInArrow(run, rows.schema)

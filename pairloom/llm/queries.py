@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import alignment, decontaminate, jaccard, language, neighbours, pii, quality, runs, secrets, sentencepiece, substring, urls
+from pairloom.llm import alignment, decontaminate, jaccard, language, neighbours, packing, pii, quality, runs, secrets, sentencepiece, substring, urls
 from pairloom.llm.common import table
 from pairloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -88,8 +88,12 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTES))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"), public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate, op11_runs, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language, op3_ngram_jaccard, op4_pii, op5_quality, op6_neighbours, op7_secrets, op8_urls, op9_substring, op10_decontaminate, op11_runs, op12_packing, op13_alignment)}

@@ -65,5 +65,11 @@ class PieceTokens:
 
 
 # One copy for all tasks of a worker. The files stand at the same path on every machine, as their package does.
-byte_tokens = functools.lru_cache(maxsize=2)(ByteTokens)
-piece_tokens = functools.lru_cache(maxsize=2)(PieceTokens)
+@functools.lru_cache(maxsize=2)
+def byte_tokens(path: str) -> ByteTokens:
+    return ByteTokens(path)
+
+
+@functools.lru_cache(maxsize=2)
+def piece_tokens(path: str) -> PieceTokens:
+    return PieceTokens(path)
