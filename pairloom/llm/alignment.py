@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm import perfect_hash
@@ -34,7 +35,8 @@ SLICE_PAIRS = 4_000_000
 BLOCK = 65_536           # counts in one row of the tree of sums
 LANES = 16               # partial sums of a block in the first level of the tree
 KEPT_PAIRS = 1_000_000   # distinct pairs a task remembers to spare the shuffle
-PART_BYTES = 4_000_000   # texts encoded at a time; a longer one stands alone
+PART_BYTES = 1_000_000   # texts encoded at a time; a longer one stands alone
+PART_IDS = 1_000_000     # stored ids aligned at a time; a longer document stands alone
 _STORED = "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, a binary, b binary"
 
 
@@ -86,15 +88,20 @@ def _tools(a_path: str, b_path: str) -> tuple[ByteTokens, PieceTokens, Aligner]:
     return a, b, _aligners[a_path, b_path]
 
 
-def _encoded(texts: list[str], a: ByteTokens, b: PieceTokens) -> tuple[list, list]:
-    """Ids of both sides for each text; empty ones where the bytes differ."""
+def _encoded(texts: list[str], a: ByteTokens, b: PieceTokens, aligner: Aligner) -> tuple[list, list]:
+    """Ids of both sides for each text; empty ones where the bytes differ.
+
+    Both vocabularies spell every text but what they have no token for, and B writes the space for its mark, so the bytes are
+    equal when the text holds no mark, B knows all of it, and both sides have the bytes of the space and the text in number.
+    """
     a_ids, b_ids = [], []
     for text, pieces in zip(texts, b.encode_all(texts)):
-        ids, data = a.encode(" " + text, plain=True) if text else np.zeros(0, np.uint32), (" " + text).encode()
-        if SPACE in text or b"".join(map(a.bytes.__getitem__, ids.tolist())) != data or b"".join(map(b.bytes.__getitem__, pieces)) != data:
-            ids, pieces = np.zeros(0, np.uint32), []
+        ids, pieces = a.encode(" " + text, plain=True) if text else np.zeros(0, np.uint32), np.array(pieces, np.uint32)
+        size = len(text.encode()) + 1
+        if SPACE in text or aligner.a_sizes[ids].sum() != size or aligner.b_sizes[pieces].sum() != size or b.unknown in pieces:
+            ids = pieces = np.zeros(0, np.uint32)
         a_ids.append(ids)
-        b_ids.append(np.array(pieces, np.uint32))
+        b_ids.append(pieces)
     return a_ids, b_ids
 
 
@@ -119,7 +126,7 @@ def _store(docs: DataFrame, a_path: str, b_path: str, with_groups: bool) -> Data
                 while stop < len(texts) and (stop == at or held + len(texts[stop]) <= PART_BYTES):
                     held += len(texts[stop])
                     stop += 1
-                a_ids, b_ids = _encoded(texts[at:stop], a, b)
+                a_ids, b_ids = _encoded(texts[at:stop], a, b, aligner)
                 a_all, b_all = _joined(a_ids), _joined(b_ids)
                 a_last, b_last = aligner.links(a_all, b_all)
                 codes, _, _ = aligner.groups(a_all, b_all, a_last, b_last)
@@ -149,11 +156,16 @@ def _again(stored: DataFrame, a_path: str, b_path: str, use, schema: str, keep:
 
         def aligned():
             for batch in batches:
-                a_ids = [np.frombuffer(x.as_buffer(), a_type) for x in batch.column(1)]
-                b_ids = [np.frombuffer(x.as_buffer(), b_type) for x in batch.column(2)]
-                a_all, b_all = _joined(a_ids), _joined(b_ids)
-                a_last, b_last = aligner.links(a_all, b_all)
-                yield aligner.keys(a_all, b_all, a_last, b_last), np.searchsorted(a_last, _bounds(a_ids)), batch
+                sizes = [pc.binary_length(batch.column(c)).to_numpy() // np.dtype(t).itemsize for c, t in ((1, a_type), (2, b_type))]
+                ends, at = np.cumsum(sizes[0] + sizes[1]), 0
+                while at < len(ends):
+                    stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART_IDS, "right")))
+                    part = batch.slice(at, stop - at)
+                    a_all, b_all = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in ((1, a_type), (2, b_type)))
+                    a_last, b_last = aligner.links(a_all, b_all)
+                    bounds = np.concatenate([[0], np.cumsum(sizes[0][at:stop])])
+                    yield aligner.keys(a_all, b_all, a_last, b_last), np.searchsorted(a_last, bounds), part
+                    at = stop
 
         yield from use(aligned(), aligner.b_count)
 

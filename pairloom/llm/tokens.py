@@ -7,6 +7,7 @@ import json
 
 import numpy as np
 import public_tokenizers
+import regex
 import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
@@ -22,6 +23,16 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _long_word(text: str) -> bool:
+    """Whether a word is longer than ``LONG_WORD``; such a one fills a block of half that length that has no space or nothing else."""
+    half = LONG_WORD // 2
+    for at in range(0, len(text) - half + 1, half):
+        block = text[at:at + half]
+        if " " not in block or block.isspace():
+            return max(map(len, regex.findall(public_tokenizers.PATTERN, text))) > LONG_WORD
+    return False
+
+
 class ByteTokens:
     """A byte-level merge vocabulary from its JSON file: ids as its own library gives them, without ids put around a text."""
 
@@ -38,13 +49,20 @@ class ByteTokens:
             self.bytes[i] = bytes(of[c] for c in text)
         for text, i in self.special.items():
             self.bytes[i] = text.encode()
-        self._quick = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, special_tokens=self.special,
-                                        mergeable_ranks={self.bytes[i]: i for i in known.values()})
-        self._whole = Tokenizer.from_file(path)
+        self._known, self._path = known, path
+
+    @functools.cached_property
+    def _quick(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, special_tokens=self.special,
+                                 mergeable_ranks={self.bytes[i]: i for i in self._known.values()})
+
+    @functools.cached_property
+    def _whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self._path)
 
     def encode(self, text: str, plain: bool = False) -> np.ndarray:
         """Ids of a text; with ``plain`` the strings of special tokens in it are ordinary text."""
-        if len(text) > LONG_WORD and (" " * LONG_WORD in text or max(map(len, text.split(" "))) > LONG_WORD):
+        if _long_word(text):
             self._whole.encode_special_tokens = plain
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
         return self._quick.encode_to_numpy(text, allowed_special=set() if plain else "all", disallowed_special=())
@@ -55,7 +73,7 @@ class PieceTokens:
 
     def __init__(self, path: str):
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = []
+        self.unknown, self.bytes = self._model.unk_id(), []
         for i in range(self._model.get_piece_size()):
             piece = self._model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self._model.is_byte(i) else piece.replace(SPACE, " ").encode())
