@@ -31,6 +31,7 @@ def main(argv=None) -> int:
     p.add_argument("--random-negative-ratio", type=float, default=0.5)
     p.add_argument("--index-lists", type=int, help="mine with a centroid index of this many lists (approximate)")
     p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--row-order", choices=("id", "file"), default="id", help="what row numbers count")
     r = jobs.add_parser("reembed")
     r.add_argument("-i", "--input", required=True)
     r.add_argument("-o", "--output", required=True)
@@ -53,7 +54,8 @@ def main(argv=None) -> int:
     t.add_argument("--world-size", type=int, default=TrainConfig.world_size)
     t.add_argument("--hard-negative-update-freq", type=int, default=TrainConfig.hard_negative_update_freq)
     t.add_argument("--write-shards", action="store_true")
-    t.add_argument("--warmup", type=int, default=TrainConfig.warmup, help="epochs of linear warm-up")
+    t.add_argument("--warmup", type=int, default=TrainConfig.warmup, help="steps of linear warm-up")
+    t.add_argument("--full-batch", action="store_true", help="one step an epoch over all pairs")
     t.add_argument("--refresh-queries", type=int, default=TrainConfig.refresh_queries)
     t.add_argument("--refresh-candidates", type=int, default=TrainConfig.refresh_candidates)
     t.add_argument("--refresh-rows", type=int, default=TrainConfig.refresh_rows)
@@ -68,12 +70,12 @@ def main(argv=None) -> int:
     elif args.job == "prepare":
         search = {"index_lists": args.index_lists} if args.index_lists else {}
         print(build_training_data(spark, args.source_data, args.output_dir, HashingEncoder(args.dim), args.run_ts,
-                                  args.hard_negatives_per_query, args.random_negative_ratio, args.seed, **search))
+                                  args.hard_negatives_per_query, args.random_negative_ratio, args.seed, args.row_order, **search))
     elif args.job == "train":
         store = FeatureStore(spark, args.output, standard_views(args.data_dir, args.dim))
         config = TrainConfig(args.epochs, args.batch_size, args.learning_rate, args.world_size,
                              warmup=args.warmup, hard_negative_update_freq=args.hard_negative_update_freq,
-                             write_shards=args.write_shards, refresh_queries=args.refresh_queries,
+                             full_batch=args.full_batch, write_shards=args.write_shards, refresh_queries=args.refresh_queries,
                              refresh_candidates=args.refresh_candidates, refresh_rows=args.refresh_rows,
                              final_rows=args.final_rows)
         now = dt.datetime.fromisoformat(args.run_ts)

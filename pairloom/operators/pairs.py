@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.hashing import draw, shuffle_key
 from pairloom.operators.positions import dense_position, hash_position
+from pairloom.operators.reduction import only_known
 from pairloom.operators.similarity import build_index, probe_topk, pruned_topk, topk_join
 from pairloom.session import stage
 
@@ -33,19 +34,38 @@ def complete_passages(numbered: DataFrame) -> DataFrame:
     return numbered.where(F.col("has_title") & F.col("has_text"))
 
 
-def number_passages(passages: DataFrame) -> DataFrame:
-    """Passages with their row position by id, stored once; everything below reads this table.
+def _flags(passages: DataFrame) -> DataFrame:
+    """Ids, given positions, and whether title and text are there, without reading either again later."""
+    given = ["source_row"] if "source_row" in passages.columns else []
+    return passages.select("id", *given, F.col("title").isNotNull().alias("has_title"), F.col("text").isNotNull().alias("has_text"))
 
-    Only the ids are sorted. ``has_title`` and ``has_text`` spare later null checks from reading the texts.
-    Ids must be unique, since every key of a pair is made from them.
-    """
-    rows = dense_position(passages.select("id"), "id", "source_row")
+
+def _require_unique(rows: DataFrame) -> None:
     twice = rows.groupBy("id").count().where("count > 1").select("id").take(3)
     if twice:
         raise ValueError(f"passage ids are not unique, for example {[r['id'] for r in twice]}")
-    flagged = passages.select("id", "title", "text", F.col("title").isNotNull().alias("has_title"),
-                              F.col("text").isNotNull().alias("has_text"))
-    return stage(flagged.join(rows, "id"), "passages")
+
+
+def passage_rows(passages: DataFrame) -> DataFrame:
+    """``id, source_row, has_title, has_text``, stored: the passages as far as keys of pairs are made from them.
+
+    Positions that the passages bring along (``tables.with_file_position``) are kept; otherwise the ids are sorted. Texts are not moved. Ids must
+    be unique, since every key of a pair is made from them.
+    """
+    flags = _flags(passages)
+    rows = stage(flags, "rows") if "source_row" in flags.columns else dense_position(flags, "id", "source_row")
+    _require_unique(rows)
+    return rows
+
+
+def number_passages(passages: DataFrame) -> DataFrame:
+    """Passages with their row position: the one they bring along, which makes this a projection, or else by id.
+
+    By id, only the ids are sorted and the result is stored once. ``has_title`` and ``has_text`` spare later null checks from reading the texts.
+    """
+    if "source_row" in passages.columns:
+        return passages.select("id", "title", "text", "source_row", F.col("title").isNotNull().alias("has_title"), F.col("text").isNotNull().alias("has_text"))
+    return stage(passages.select("id", "title", "text").join(passage_rows(passages), "id"), "passages")
 
 
 def label_value(label: str = "label") -> Column:
@@ -91,13 +111,16 @@ def _row_keys(numbered: DataFrame) -> DataFrame:
     return numbered.select("id", "source_row", "has_title", "has_text")
 
 
-def _with_texts(keys: DataFrame, numbered: DataFrame, run_ts) -> DataFrame:
+def _with_texts(keys: DataFrame, passages: DataFrame, run_ts, few: bool = False) -> DataFrame:
     """Pairs from ``training_sample_id, _qid, _did, label, similarity_score, metadata``: each side's text is joined once.
 
-    A text in very many pairs is a skewed join key, which AQE splits.
+    With ``few``, stored keys that leave many passages out, titles and texts are cut down to the keys' ids at the scan, so that no
+    other text is exchanged. A text in very many pairs is a skewed join key, which AQE splits.
     """
-    titles = numbered.where("has_title").select(F.col("id").alias("_qid"), F.col("title").alias("query_text"))
-    texts = numbered.where("has_text").select(F.col("id").alias("_did"), F.col("text").alias("document_text"))
+    titles = passages.where(F.col("title").isNotNull()).select(F.col("id").alias("_qid"), F.col("title").alias("query_text"))
+    texts = passages.where(F.col("text").isNotNull()).select(F.col("id").alias("_did"), F.col("text").alias("document_text"))
+    if few:
+        titles, texts = only_known(titles, "_qid", keys), only_known(texts, "_did", keys)
     others = [c for c in keys.columns if c not in (*PAIR_COLUMNS, "_qid", "_did")]
     return keys.join(titles, "_qid").join(texts, "_did").select(
         "training_sample_id", "query_text", "document_text", "label", "similarity_score",
@@ -105,17 +128,16 @@ def _with_texts(keys: DataFrame, numbered: DataFrame, run_ts) -> DataFrame:
         run_time(run_ts).alias("event_timestamp"), *others)
 
 
-def _positive_keys(numbered: DataFrame) -> DataFrame:
-    return complete_passages(_row_keys(numbered)).select(
+def _positive_keys(rows: DataFrame) -> DataFrame:
+    return complete_passages(rows).select(
         F.concat_ws("_", F.lit("pos"), "id", F.col("source_row").cast("string")).alias("training_sample_id"),
         F.col("id").alias("_qid"), F.col("id").alias("_did"), F.lit(POSITIVE).alias("label"), F.lit(1.0).alias("similarity_score"),
         F.to_json(F.struct(F.lit("title_text").alias("pair_type"), "source_row")).alias("metadata"))
 
 
-def _random_keys(numbered: DataFrame, n_draws: int | None, seed: int) -> DataFrame:
-    rows = _row_keys(numbered)
+def _random_keys(rows: DataFrame, n_draws: int | None, seed: int) -> DataFrame:
     n_rows = rows.count()
-    draws = random_draws(numbered.sparkSession, n_rows // 2 if n_draws is None else n_draws, n_rows, seed)
+    draws = random_draws(rows.sparkSession, n_rows // 2 if n_draws is None else n_draws, n_rows, seed)
     queries = rows.where("has_title").select(F.col("source_row").alias("query_row"), F.col("id").alias("_qid"))
     docs = rows.where("has_text").select(F.col("source_row").alias("doc_row"), F.col("id").alias("_did"))
     return draws.join(queries, "query_row").join(docs, "doc_row").select(
@@ -130,10 +152,10 @@ def random_negative_pairs(numbered: DataFrame, run_ts, n_draws: int | None = Non
     A draw whose title or text is null is dropped, not repeated. Default: half as many draws as rows. The
     draws meet the row numbers first; then each side's text is joined.
     """
-    return _with_texts(_random_keys(numbered, n_draws, seed), numbered, run_ts)
+    return _with_texts(stage(_random_keys(_row_keys(numbered), n_draws, seed), "random-keys"), numbered, run_ts, few=True)
 
 
-def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY, floor: float = HARD_FLOOR,
+def hard_negative_matches(passages: DataFrame, encoder, k: int = HARD_PER_QUERY, floor: float = HARD_FLOOR,
                           exclude: str = "id", index_lists: int | None = None, nprobe: int | None = 8,
                           seed: int = 42) -> DataFrame:
     """``query_id, doc_id, similarity, rank``: for each title the k most similar texts at or above the floor.
@@ -149,7 +171,7 @@ def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY,
     if exclude not in groups:
         raise ValueError(f"exclude must be one of {sorted(groups)}")
     group = groups[exclude]
-    valid = complete_passages(numbered)
+    valid = passages.where(F.col("title").isNotNull() & F.col("text").isNotNull())
     vectors = stage(valid.select(
         "id", encoder(F.col("title")).alias("query_vec"), encoder(F.col("text")).alias("doc_vec"),
         *([group.alias("grp")] if group is not None else [])), "vectors")
@@ -164,9 +186,9 @@ def hard_negative_matches(numbered: DataFrame, encoder, k: int = HARD_PER_QUERY,
                      floor=floor, query_group=grp, doc_group=grp)
 
 
-def _hard_keys(numbered: DataFrame, encoder, k: int, floor: float, **search) -> DataFrame:
-    matches = stage(hard_negative_matches(numbered, encoder, k, floor, **search), "matches")
-    rows = dense_position(complete_passages(_row_keys(numbered)).select("id"), "id", "_row")
+def _hard_keys(rows: DataFrame, passages: DataFrame, encoder, k: int, floor: float, **search) -> DataFrame:
+    matches = stage(hard_negative_matches(passages, encoder, k, floor, **search), "matches")
+    rows = dense_position(complete_passages(rows).select("id", "source_row"), "source_row", "_row")
     joined = matches.join(rows.select(F.col("id").alias("query_id"), F.col("_row").alias("query_row")), "query_id").join(
         rows.select(F.col("id").alias("doc_id"), F.col("_row").alias("doc_row")), "doc_id")
     metadata = F.struct(F.lit(HARD_NEGATIVE).alias("pair_type"), F.col("similarity").alias("base_similarity"), "query_row", "doc_row")
@@ -180,9 +202,10 @@ def hard_negative_pairs(numbered: DataFrame, encoder, run_ts, k: int = HARD_PER_
                         **search) -> DataFrame:
     """Mined hard negatives as pairs. Titles and texts are fetched by id after the top-k.
 
-    Row numbers in the metadata count the complete passages by id.
+    Row numbers in the metadata count the complete passages in the order of their positions.
     """
-    return _with_texts(_hard_keys(numbered, encoder, k, floor, **search), numbered, run_ts)
+    keys = stage(_hard_keys(_row_keys(numbered), numbered, encoder, k, floor, **search), "hard-keys")
+    return _with_texts(keys, numbered, run_ts, few=True)
 
 
 def complete_training_set(passages: DataFrame, encoder, run_ts, hard_per_query: int = HARD_PER_QUERY,
@@ -191,15 +214,15 @@ def complete_training_set(passages: DataFrame, encoder, run_ts, hard_per_query:
 
     The key each pair had before stays as ``pair_key``; it decides the order.
     """
-    numbered = number_passages(passages)
-    n_positive = complete_passages(_row_keys(numbered)).count()
-    every = _positive_keys(numbered).unionByName(_random_keys(numbered, negatives_for(n_positive, random_ratio), seed)).unionByName(
-        _hard_keys(numbered, encoder, hard_per_query, HARD_FLOOR, **search))
+    rows = passage_rows(passages)
+    n_positive = complete_passages(rows).count()
+    every = _positive_keys(rows).unionByName(_random_keys(rows, negatives_for(n_positive, random_ratio), seed)).unionByName(
+        _hard_keys(rows, passages, encoder, hard_per_query, HARD_FLOOR, **search))
     # The keys of all pairs are stored and placed; only then does each side's text join them, once.
     keys = stage(every.withColumn("pair_key", F.col("training_sample_id")), "pair-keys")
     placed = hash_position(keys, shuffle_key(seed, F.col("pair_key")), "_pos", ties=["pair_key"])
     sample_id = F.concat_ws("_", F.lit("sample"), F.col("_pos").cast("string"))
-    return _with_texts(placed.withColumn("training_sample_id", sample_id).drop("_pos"), numbered, run_ts).select(*PAIR_COLUMNS, "pair_key")
+    return _with_texts(placed.withColumn("training_sample_id", sample_id).drop("_pos"), passages, run_ts).select(*PAIR_COLUMNS, "pair_key")
 
 
 def label_composition(pairs: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.hashing import draw
-from pairloom.functions.vectors import DECIMALS, as_matrix, row_lengths
+from pairloom.functions.vectors import as_matrix, row_lengths
+from pairloom.operators.blocks import QUERY_BYTES, BlockReport, plain_rectangles, pruned_rectangles
+from pairloom.operators.kernels import _banned_pairs, _cosines, _first_k, _keep_first_k, _round  # noqa: F401
 from pairloom.session import stage
 
 MAX_BLOCK = 4096         # rows of one side in a grid cell
-MIN_BLOCK = 256
 QUERY_SLICE = 512        # query rows multiplied at a time inside a cell
 SCAN_QUERIES = 256       # up to this many queries are sent to the docs instead of shuffling the docs
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
@@ -29,33 +30,6 @@ BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle
 
 # ---------------------------------------------------------------- kernels (run inside tasks)
 
-def _round(values: np.ndarray) -> np.ndarray:
-    scale = 10.0 ** DECIMALS
-    return np.sign(values) * np.floor(np.abs(values) * scale + 0.5) / scale
-
-
-def _cosines(q: np.ndarray, qn: np.ndarray, d: np.ndarray, dn: np.ndarray) -> np.ndarray:
-    """Rounded cosines; minus infinity where a vector is zero."""
-    scale = qn[:, None] * dn[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(scale > 0, _round((q @ d.T) / scale), -np.inf)
-
-
-def _first_k(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k largest per row; on ties, the smaller column numbers."""
-    rows, cols = sims.shape
-    if cols > k:
-        kth = np.partition(sims, cols - k, axis=1)[:, cols - k][:, None]
-        above = sims > kth
-        level = sims == kth
-        room = k - above.sum(axis=1, keepdims=True)
-        keep = above | (level & (np.cumsum(level, axis=1) <= room))
-    else:
-        keep = np.ones_like(sims, dtype=bool)
-    keep &= np.isfinite(sims)
-    return np.nonzero(keep)
-
-
 def _cell_kernel(k: int, floor: float, exclude_same_id: bool, grouped: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", left.schema.field("query_id").type),
@@ -87,26 +61,6 @@ def _cell_kernel(k: int, floor: float, exclude_same_id: bool, grouped: bool):
     return run
 
 
-def _banned_pairs(left: pa.Table, right: pa.Table, exclude_same_id: bool, grouped: bool):
-    """Masks of the pairs a query may not have: its own row, or rows of its own group."""
-    pairs = []
-    if exclude_same_id:
-        pairs.append(("query_id", "doc_id"))
-    if grouped:
-        pairs.append(("query_group", "doc_group"))
-    codes = []
-    for a, b in pairs:
-        both = pa.chunked_array(left[a].chunks + right[b].chunks).combine_chunks().dictionary_encode()
-        code = both.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        codes.append((code[:left.num_rows], code[left.num_rows:]))
-
-    def masks(part: slice) -> Iterator[np.ndarray]:
-        for a, b in codes:
-            yield (a[part][:, None] == b[None, :]) & (a[part][:, None] >= 0)
-
-    return masks
-
-
 # ---------------------------------------------------------------- sides
 
 def _side(df: DataFrame, role: str, id_col: str, vec_col: str, group_col: str | None) -> DataFrame:
@@ -172,16 +126,6 @@ def _search(queries: DataFrame, n_docs: int, k: int, exclude_same_id: bool, grou
     return _rank(each, k)
 
 
-def _parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def _block_rows(n_queries: int, n_docs: int, slots: int) -> int:
-    """Rows per block: small enough that every slot gets cells, large enough to amortise the copies."""
-    wanted = math.sqrt(max(n_queries, 1) * max(n_docs, 1) / (2 * slots))
-    return int(min(MAX_BLOCK, max(MIN_BLOCK, wanted)))
-
-
 def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool,
                grouped: bool, cells: int) -> DataFrame:
     """Both sides carry ``_cell``, a number below ``cells``: one matrix product that keeps k rows per query.
@@ -204,8 +148,7 @@ def _run_cells(queries: DataFrame, docs: DataFrame, k: int, floor: float | None,
 
 
 def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, exclude_same_id: bool, grouped: bool,
-          n_queries: int, n_docs: int, block: int | None) -> DataFrame:
-    block = block or _block_rows(n_queries, n_docs, _parallelism(docs))
+          n_queries: int, n_docs: int, block: int) -> DataFrame:
     q_blocks, d_blocks = max(1, -(-n_queries // block)), max(1, -(-n_docs // block))
     q = (
         queries.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
@@ -221,15 +164,6 @@ def _grid(queries: DataFrame, docs: DataFrame, k: int, floor: float | None, excl
                       q_blocks * d_blocks)
 
 
-def _keep_first_k(found: pa.Table, k: int) -> pa.Table:
-    """The k best rows of every query number in ``q``."""
-    found = found.sort_by([("q", "ascending"), ("similarity", "descending"), ("doc_id", "ascending")])
-    q = found["q"].to_numpy()
-    starts = np.concatenate([[0], np.nonzero(np.diff(q))[0] + 1]) if len(q) else np.zeros(0, int)
-    rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
-    return found.filter(pa.array(rank < k))
-
-
 def _scan(queries: pa.Table, id_type: T.DataType, docs: DataFrame, k: int, floor: float | None,
           exclude_same_id: bool, grouped: bool) -> DataFrame:
     """A bounded query table goes to every doc partition; each keeps k rows per query, docs stay in place."""
@@ -262,16 +196,21 @@ def _scan(queries: pa.Table, id_type: T.DataType, docs: DataFrame, k: int, floor
     return docs.mapInArrow(scan, schema)
 
 
+def _dimensions(queries: DataFrame) -> int:
+    row = queries.select(F.size("query_vec").alias("n")).first()
+    return row["n"] if row else 1
+
+
 def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, query_vec: str, doc_id: str,
               doc_vec: str, floor: float | None = None, exclude_same_id: bool = True,
               query_group: str | None = None, doc_group: str | None = None, block: int | None = None,
-              scan_queries: int = SCAN_QUERIES, collapse: bool | None = None) -> DataFrame:
+              scan_queries: int = SCAN_QUERIES, collapse: bool | None = None, memory: int = QUERY_BYTES) -> DataFrame:
     """The k most similar docs of every query: ``query_id, doc_id, similarity, rank`` with rank from 0.
 
     Exact. At most ``scan_queries`` queries are sent to the docs, which then need no shuffle. Beyond that,
-    both sides are cut by id hash into blocks; a cell of the grid is a pair of blocks, so no task
-    sees more than two blocks, whatever the data looks like. A cell keeps k rows per query, never the
-    pairs. Similarities are rounded to six decimals before ranking; ties go to the smaller doc id. Rows
+    a task holds a block of queries of ``memory`` bytes and docs stream past it (``blocks``); with ``block`` both sides are
+    cut by id hash into square blocks of so many rows instead. Either way no task grows with the data, whatever it looks like,
+    and a task keeps k rows per query, never the pairs. Similarities are rounded to six decimals before ranking; ties go to the smaller doc id. Rows
     below ``floor``, zero vectors, the query's own id and, with groups, its own group are left out.
     ``collapse`` compares copies of a vector once, which changes no result; by default where there are many
     copies and many pairs to compare.
@@ -290,7 +229,10 @@ def topk_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str, que
         n_docs = d.count()
 
     def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
-        return _grid(asked, d, wanted, floor, exclude, grouped, n_queries if asked is q else asked.count(), n_docs, block)
+        n_asked = n_queries if asked is q else asked.count()
+        if block:
+            return _grid(asked, d, wanted, floor, exclude, grouped, n_asked, n_docs, block)
+        return plain_rectangles(asked, d, wanted, floor, exclude, grouped, n_asked, n_docs, _dimensions(asked), memory)
 
     return _search(q, n_docs, k, exclude_same_id, grouped, collapse, run)
 
@@ -492,3 +434,24 @@ def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str
 
     q = _side(queries, "query", query_id, query_vec, query_group)
     return _search(q, sum(index.sizes.values()), k, exclude_same_id, grouped, collapse, run)
+
+
+def block_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str, query_vec: str, floor: float | None = None,
+               exclude_same_id: bool = True, query_group: str | None = None, memory: int = QUERY_BYTES, use_lead: bool = True,
+               collapse: bool | None = None) -> tuple[DataFrame, BlockReport]:
+    """Exact top-k in rectangles formed by nearness, and a report of the cells that were skipped.
+
+    As ``pruned_topk`` every query is bounded by its own list first, but queries move as blocks, not once per list they reach.
+    """
+    index.check(k, exclude_same_id)
+    report: list[BlockReport] = []
+
+    def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
+        routed = stage(_route(asked, index, _nearest_lists(1)), "nearest")
+        found, done = pruned_rectangles(routed, index, wanted, floor, exclude, query_group is not None, routed.count(), index.centroids.shape[1], memory, use_lead)
+        report.append(done)
+        return found
+
+    q = _side(queries, "query", query_id, query_vec, query_group)
+    out = _search(q, sum(index.sizes.values()), k, exclude_same_id, query_group is not None, collapse, run)
+    return out, report[0]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pairloom.functions.hashing import draw, shuffle_key
 from pairloom.operators.pairs import LABELS
 from pairloom.operators.positions import hash_position
+from pairloom.operators.selection import first_rows, nth_hash, up_to
 from pairloom.session import counted_broadcast, stage
 
 # Fixed values of the holdout and split.
@@ -15,11 +16,6 @@ FALLBACK_ROWS, FALLBACK_SHARE = 60, 0.1
 TRAIN_SHARE = 0.8
 
 
-def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
-    """The first n rows of a total order."""
-    return df.orderBy(*order).limit(n)
-
-
 def per_label_sample(df: DataFrame, n: int = PER_LABEL, seed=42, id_col: str = "training_sample_id",
                      labels=LABELS) -> DataFrame:
     """Up to n rows per label in hash order; each task keeps n per label before the shuffle."""
@@ -52,15 +48,27 @@ def train_eval_split(df: DataFrame, seed=42, id_col: str = "training_sample_id",
                      exact: bool = True) -> DataFrame:
     """A column ``split = train | eval``.
 
-    Exact: the first ``int(share * n)`` rows in hash order are for training. Otherwise each row decides by
+    Exact: the first ``int(share * n)`` rows in hash order are for training; the key of the last of them is found from
+    counts of hash digits, and the split is a comparison with it. Otherwise each row decides by
     its own hash, with no shuffle, and the sizes are right on average.
     """
     if not exact:
         part = F.when(draw(seed, "split", F.col(id_col)) < int(share * 2 ** 32), "train").otherwise("eval")
         return df.withColumn("split", part)
-    n_train = int(share * df.count())
-    placed = hash_position(df, shuffle_key(seed, "split", F.col(id_col)), "_pos", ties=[id_col])
-    return placed.withColumn("split", F.when(F.col("_pos") < n_train, "train").otherwise("eval")).drop("_pos")
+    key = shuffle_key(seed, "split", F.col(id_col))
+    n_train = 0
+
+    def wanted(total: int) -> int:
+        nonlocal n_train
+        n_train = int(share * total)
+        return n_train
+
+    last, reached = nth_hash(df, wanted, key, id_col)
+    if reached > n_train:
+        # Several rows of one id lie across the cut, so their number alone decides.
+        placed = hash_position(df, key, "_pos", ties=[id_col])
+        return placed.withColumn("split", F.when(F.col("_pos") < n_train, "train").otherwise("eval")).drop("_pos")
+    return df.withColumn("split", F.when(up_to([key, id_col], last), "train").otherwise("eval") if last else F.lit("eval"))
 
 
 def holdout_split(df: DataFrame, per_label: int = PER_LABEL, seed=42, id_col: str = "training_sample_id",
@@ -89,6 +97,13 @@ def shards(df: DataFrame, world_size: int, batch_size: int, epoch: int = 0, seed
     )
 
 
+def shard_positions(df: DataFrame, world_size: int, batch_size: int, epoch: int = 0, seed=42, id_col: str = "training_sample_id") -> DataFrame:
+    """``id, _pos, shard, batch`` as ``shards`` deals them; only ids are moved."""
+    placed = hash_position(df.select(id_col), shuffle_key(seed, epoch, F.col(id_col)), "_pos", ties=[id_col])
+    return placed.select(id_col, "_pos", F.pmod("_pos", F.lit(world_size)).cast("bigint").alias("shard"),
+                         F.floor(F.floor(F.col("_pos") / world_size) / batch_size).cast("bigint").alias("batch"))
+
+
 def write_shards(sharded: DataFrame, path: str, mode: str = "append") -> None:
     """One folder per epoch and shard, so that a trainer reads only its own rows."""
     sharded.repartition("epoch", "shard", F.pmod("batch", F.lit(64))).sortWithinPartitions("batch").write.mode(

@@ -15,13 +15,13 @@ from pairloom.operators.encode import HashingEncoder, hashed_counts, with_vector
 from pairloom.operators.materialize import latest_per_key
 from pairloom.operators.pit import point_in_time
 from pairloom.operators.refresh import refresh_hard_negatives
-from pairloom.operators.similarity import build_index, probe_topk, pruned_topk, topk_join
-from pairloom.operators.train import AdaptedEncoder, train_adapter
+from pairloom.operators.similarity import block_topk, build_index, probe_topk, pruned_topk, topk_join
+from pairloom.operators.train import AdaptedEncoder, train_adapter, train_sharded
 from pairloom.plans import jobs
 from pairloom.plans.store import FeatureStore
 from pairloom.session import scratch_path, stage
 from pairloom.sources import metrics
-from pairloom.sources.tables import driver_table, passages_from_documents, spread
+from pairloom.sources.tables import driver_table, passages_from_documents, spread, with_file_position
 from pairloom.sources.versions import VersionedTable
 from pairloom.sources.views import Entity, FeatureView, Registry, standard_views
 from pairloom.streaming.materialize import current_table, feature_stream, stream_latest
@@ -36,6 +36,7 @@ WORLD, BATCH = 4, 8
 CUTS = (dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 31))
 WINDOW = dt.timedelta(days=30)
 EPOCHS, RATE = 4, 5.0
+LOCAL_RATE, WARMUP = 1.0, 10
 LISTS = 16
 FIRST = 200
 BAND = (0.1, 0.8)
@@ -52,6 +53,11 @@ def passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages_from_documents(spread(driver_table(spark, folder, "documents")))
 
 
+def passages_by_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The passages with their position in file order."""
+    return passages_from_documents(spread(with_file_position(driver_table(spark, folder, "documents"))))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(driver_table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text"))
 
@@ -132,6 +138,12 @@ def q_positive_pairs(spark, folder):
     return _unpack(pairs.positive_pairs(numbered, RUN_TS), ["pair_type"], ["source_row"])
 
 
+def q_positive_pairs_by_file(spark, folder):
+    """Rows numbered as they stand in the file: one narrow job."""
+    numbered = pairs.number_passages(passages_by_file(spark, folder))
+    return _unpack(pairs.positive_pairs(numbered, RUN_TS), ["pair_type"], ["source_row"])
+
+
 def q_random_negatives(spark, folder):
     numbered = pairs.number_passages(passages(spark, folder))
     n = pairs.negatives_for(pairs.complete_passages(numbered).count())
@@ -172,6 +184,10 @@ def q_training_set(spark, folder):
     return _training_set(spark, folder).drop("metadata")
 
 
+def q_training_set_by_file(spark, folder):
+    return pairs.complete_training_set(passages_by_file(spark, folder), COUNTS, RUN_TS, seed=SEED).drop("metadata")
+
+
 def q_label_composition(spark, folder):
     return pairs.label_composition(stored_training_set(spark, folder))
 
@@ -399,9 +415,14 @@ def q_vector_topk_pruned(spark, folder):
     return _found(pruned_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, **_SEARCH))
 
 
-def q_vector_topk_ivf(spark, folder):
+def q_vector_topk_blocks(spark, folder):
     v = embeddings(spark, folder)
+    return _found(block_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, **_SEARCH)[0])
+
+
+def q_vector_topk_ivf(spark, folder):
     """All lists are probed, which is exact; fewer give the approximate form."""
+    v = embeddings(spark, folder)
     return _found(probe_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, LISTS, **_SEARCH))
 
 
@@ -451,7 +472,15 @@ def q_contrastive_loss(spark, folder):
 
 def q_adapter_training(spark, folder):
     _, losses = train_adapter(stage(vector_pairs(spark, folder), "pairs"), VECTOR_DIM, EPOCHS, RATE)
-    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(losses)], "epoch long, loss double")
+    return spark.createDataFrame([(i, round(float(x), DECIMALS)) for i, x in enumerate(losses)], "epoch long, loss double")
+
+
+def q_adapter_training_sharded(spark, folder):
+    """Steps by batch in four shards, weights averaged after each epoch, a rate that warms up by steps."""
+    weights, reports = train_sharded(stage(vector_pairs(spark, folder), "pairs"), VECTOR_DIM, EPOCHS, LOCAL_RATE, WORLD, BATCH, WARMUP, seed=SEED)
+    trace = round(float(np.trace(weights)), DECIMALS)
+    rows = [(i, round(float(r.loss), DECIMALS), r.rows, r.steps, trace) for i, r in enumerate(reports)]
+    return spark.createDataFrame(rows, "epoch long, loss double, n_rows long, n_steps long, final_trace double")
 
 
 QUERIES = {name[2:]: f for name, f in list(globals().items()) if name.startswith("q_")}

@@ -17,7 +17,7 @@ from pairloom.operators.positions import hash_position
 from pairloom.plans.store import FeatureStore
 from pairloom.session import counted_broadcast, stage
 from pairloom.sources import metrics
-from pairloom.sources.tables import chunked_path, read_table, write_table
+from pairloom.sources.tables import chunked_path, read_table, with_file_position, write_table
 from pairloom.sources.versions import VersionedTable
 
 
@@ -28,9 +28,16 @@ def chunk_job(spark: SparkSession, source: str, target: str | None = None, max_c
 
 
 def build_training_data(spark: SparkSession, source: str, target: str, encoder, run_ts, hard_per_query: int = 2,
-                        random_ratio: float = 0.5, seed: int = 42, **search) -> dict:
-    """Write the training pairs and the query vectors; returns their paths and sizes."""
+                        random_ratio: float = 0.5, seed: int = 42, row_order: str = "id", **search) -> dict:
+    """Write the training pairs and the query vectors; returns their paths and sizes.
+
+    ``row_order`` says what row numbers count: passages by ``id``, or rows as they stand in the ``file``, which needs no sort.
+    """
     passages = read_table(spark, source, required=["id", "title", "text"])
+    if row_order == "file":
+        passages = with_file_position(passages)
+    elif row_order != "id":
+        raise ValueError("row_order must be id or file")
     pairs_path, queries_path = f"{target}/embedding_training_data.parquet", f"{target}/query_embeddings.parquet"
     write_table(pair_ops.complete_training_set(passages, encoder, run_ts, hard_per_query, random_ratio, seed,
                                                **search), pairs_path)
@@ -80,7 +87,8 @@ class TrainConfig:
     batch_size: int = 8
     learning_rate: float = 1.0
     world_size: int = 2
-    warmup: int = 0
+    warmup: int = 0                # steps over which the rate rises; with full_batch an epoch is one step
+    full_batch: bool = False       # one step an epoch over all pairs instead of a step per batch in each shard
     hard_negative_update_freq: int = 5
     margin: float = evaluate.MARGIN
     seed: int = 42
@@ -111,7 +119,7 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
     table = VersionedTable(spark, f"{target}/pairs")
     table.write(splits.without(encoded, counted_broadcast(test.select("training_sample_id"))), run_id)
     weights, updates, log = adapter.identity_adapter(encoder.dim), 0, f"{target}/metrics"
-    losses = []
+    losses, steps = [], 0
     for epoch in range(config.epochs):
         current = table.read()
         if refresh.is_refresh_epoch(epoch, config.hard_negative_update_freq):
@@ -132,15 +140,21 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
         if config.write_shards:
             splits.write_shards(splits.shards(train_rows, config.world_size, config.batch_size, epoch, config.seed),
                                 f"{target}/shards")
-        grad, loss = adapter.gradient(train_rows, weights, config.margin)
+        if config.full_batch:
+            grad, loss = adapter.gradient(train_rows, weights, config.margin)
+            weights = weights - adapter.learning_rate(epoch, config.learning_rate, config.warmup) * grad
+            steps += 1
+        else:
+            weights, done = adapter.sharded_epoch(train_rows, weights, epoch, config.learning_rate, config.world_size, config.batch_size, steps,
+                                                  config.warmup, config.margin, config.seed)
+            loss, steps = done.loss, steps + done.steps
         losses.append(loss)
-        weights = weights - adapter.learning_rate(epoch, config.learning_rate, config.warmup) * grad
         scored = evaluate.with_similarity(_current(test, weights), "query_now", "doc_now")
         sizes = {r["split"]: r["n"] for r in splits.split_sizes(split).collect()}
         report = metrics.scalars(evaluate.similarity_gaps(scored), run_id, epoch + 1, "Evaluation").unionByName(
             metrics.label_counts(current, run_id, epoch + 1)).unionByName(
             metrics.values(spark, run_id, epoch + 1, {
-                "Training/Loss": loss, "Dataset/Total_Size": sum(sizes.values()),
+                "Training/Loss": loss, "Training/Steps": steps, "Dataset/Total_Size": sum(sizes.values()),
                 "Dataset/Train_Size": sizes.get("train", 0), "Dataset/Eval_Size": sizes.get("eval", 0)}))
         metrics.append_metrics(report, log)
     scored = evaluate.with_similarity(_current(test, weights), "query_now", "doc_now")
@@ -152,5 +166,5 @@ def train_job(spark: SparkSession, pairs: DataFrame, encoder, target: str, confi
         "run_id": run_id, "base_model": type(encoder).__name__, "loss_function": "ContrastiveLoss",
         "epochs": config.epochs, "batch_size": config.batch_size, "learning_rate": config.learning_rate,
         "world_size": config.world_size, "hard_negative_update_freq": config.hard_negative_update_freq,
-        "epochs_completed": config.epochs, "hard_negative_updates": updates, "output_path": target}, run_ts)
+        "warmup_steps": config.warmup, "steps": steps, "epochs_completed": config.epochs, "hard_negative_updates": updates, "output_path": target}, run_ts)
     return {"run_id": run_id, "losses": losses, "hard_negative_updates": updates, "weights": weights}

@@ -20,6 +20,19 @@ valid AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS valid_row FROM passag
           WHERE title IS NOT NULL AND text IS NOT NULL)"""
 
 
+# The same passages numbered as they stand in the file.
+FILED = r"""
+filed AS (SELECT doc_id, text, row_number() OVER () - 1 AS source_row FROM documents),
+passages AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id,
+         CASE WHEN p >= 2 THEN nullif(trim(substr(text, 1, p - 1)), '') END AS title,
+         CASE WHEN p > 0 THEN nullif(trim(substr(text, p + 1)), '') ELSE text END AS text, source_row
+  FROM (SELECT doc_id, text, source_row, instr(text, chr(10)) AS p FROM filed)),
+numbered AS (SELECT * FROM passages),
+valid AS (SELECT *, row_number() OVER (ORDER BY source_row) - 1 AS valid_row FROM passages
+          WHERE title IS NOT NULL AND text IS NOT NULL)"""
+
+
 def draw(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
 
@@ -108,7 +121,10 @@ SELECT 'hard_neg_' || query_id || '_' || doc_id || '_' || rank AS training_sampl
 FROM mined JOIN valid q ON q.id = query_id JOIN valid d ON d.id = doc_id"""
 
 SHARED = "query_text, document_text, label, similarity_score, query_id, document_id, event_timestamp"
-TRAINING = f"""{PASSAGES}, {DRAWS}, {MINED},
+
+
+def training(passages: str) -> str:
+    return f"""{passages}, {DRAWS}, {MINED},
 positives AS ({POSITIVES}), negatives AS ({NEGATIVES}), hard AS ({HARD}),
 training AS (
   SELECT 'sample_' || (row_number() OVER (ORDER BY md5('{c.SEED}:' || pair_key), pair_key) - 1) AS training_sample_id,
@@ -117,6 +133,9 @@ training AS (
         UNION ALL SELECT training_sample_id, {SHARED} FROM negatives
         UNION ALL SELECT training_sample_id, {SHARED} FROM hard))"""
 
+
+TRAINING = training(PASSAGES)
+
 SPLIT = f"""
 tested AS (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('{c.SEED}:' || training_sample_id)) <= 20 AS test
@@ -217,6 +236,61 @@ SELECT 'dynamic_hard_' || n || '_20240201000000', 'hard_negative', s, 'dynamic_'
 LOSS = """0.5 * (CASE WHEN label = 'positive' THEN (1 - similarity) * (1 - similarity)
                  ELSE power(greatest(0.0, 0.5 - (1 - similarity)), 2) END)"""
 
+IDENTITY = f"SELECT list_transform(range(1, {c.VECTOR_DIM + 1}), lambda i: list_transform(range(1, {c.VECTOR_DIM + 1}), lambda j: CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS m"
+
+
+def mapped(matrix: str, rows: str, keep: str) -> str:
+    """Pairs with what the loss and its gradient need, after ``matrix`` has mapped both vectors; ``rows`` has ``qv, dv, y``."""
+    return f"""
+SELECT {keep}, qv, dv, loss, list_transform(range(1, len(u) + 1), lambda i: pull * (v[i] / (un * vn) - cosine * u[i] / (un * un))) AS du,
+       list_transform(range(1, len(u) + 1), lambda i: pull * (u[i] / (un * vn) - cosine * v[i] / (vn * vn))) AS dv2
+FROM (SELECT *, 0.5 * (y * (1 - cosine) * (1 - cosine) + (1 - y) * slack * slack) AS loss, (1 - y) * slack - y * (1 - cosine) AS pull
+      FROM (SELECT *, greatest(0.0, 0.5 - (1 - cosine)) AS slack
+            FROM (SELECT *, list_dot_product(u, v) / (un * vn) AS cosine
+                  FROM (SELECT *, sqrt(list_dot_product(u, u)) AS un, sqrt(list_dot_product(v, v)) AS vn
+                        FROM (SELECT *, list_transform({matrix}, lambda r: list_dot_product(r, qv)) AS u, list_transform({matrix}, lambda r: list_dot_product(r, dv)) AS v FROM {rows})
+                        WHERE list_dot_product(u, u) > 0 AND list_dot_product(v, v) > 0))))"""
+
+
+def full_batch() -> str:
+    """One gradient step an epoch: the matrix after each epoch, and the mean loss before it."""
+    parts = [f"m0 AS ({IDENTITY})", "given AS (SELECT *, CASE WHEN label = 'positive' THEN 1.0 ELSE 0.0 END AS y FROM pairs)"]
+    for e in range(c.EPOCHS):
+        parts.append(f"g{e} AS (SELECT du, dv2, qv, dv, loss FROM ({mapped('m', f'(SELECT given.*, m FROM given, m{e})', 'training_sample_id')}))")
+        parts.append(f"""cell{e} AS (
+  SELECT i, j, avg(du[i] * qv[j] + dv2[i] * dv[j]) AS g FROM (SELECT *, unnest(range(1, {c.VECTOR_DIM + 1})) AS j FROM (SELECT *, unnest(range(1, {c.VECTOR_DIM + 1})) AS i FROM g{e})) GROUP BY i, j)""")
+        parts.append(f"""m{e + 1} AS (
+  SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(m[i][j] - {c.RATE} * g ORDER BY j) AS r FROM cell{e}, m{e} GROUP BY i))""")
+    losses = " UNION ALL ".join(f"SELECT {e}::BIGINT AS epoch, round(avg(loss), 6) AS loss FROM g{e}" for e in range(c.EPOCHS))
+    return f"WITH {VECTOR_PAIRS}, {', '.join(parts)} {losses}"
+
+
+def local_steps() -> str:
+    """Steps by batch in each shard, one recursion an epoch, and the mean of the shards' matrices behind it."""
+    size, rows = c.VECTOR_DIM + 1, "(SELECT *, CASE WHEN label = 'positive' THEN 1.0 ELSE 0.0 END AS y FROM pairs)"
+    parts, losses = [f"m0 AS ({IDENTITY})"], []
+    for e in range(c.EPOCHS):
+        parts.append(f"""dealt{e} AS (
+  SELECT p % {c.WORLD} AS shard, (p // {c.WORLD}) // {c.BATCH} AS batch, y, qv, dv FROM (
+    SELECT *, row_number() OVER (ORDER BY md5('{c.SEED}:{e}:' || training_sample_id)) - 1 AS p FROM {rows}))""")
+        first = " + ".join(["0", *(f"(SELECT max(batch) + 1 FROM dealt{k})" for k in range(e))])
+        parts.append(f"""run{e}(shard, step, m, loss, n) AS (
+  SELECT shard, 0::BIGINT, m, 0.0::DOUBLE, 0::BIGINT FROM (SELECT DISTINCT shard FROM dealt{e}), m{e}
+  UNION ALL
+  SELECT shard, step + 1, list_transform(range(1, {size}), lambda i: list_transform(range(1, {size}), lambda j:
+           m[i][j] - rate * list_sum(list_transform(g, lambda x: x.du[i] * x.qv[j] + x.dv2[i] * x.dv[j])))),
+         list_sum(list_transform(g, lambda x: x.loss)), len(g)
+  FROM (SELECT shard, step, any_value(m) AS m, {c.LOCAL_RATE} * least(1.0, (step + 1 + {first}) / {c.WARMUP}.0) / count(*) AS rate, list({{'du': du, 'dv2': dv2, 'qv': qv, 'dv': dv, 'loss': loss}}) AS g
+        FROM ({mapped('m', f'(SELECT r.shard, r.step, r.m, d.y, d.qv, d.dv FROM run{e} r JOIN dealt{e} d ON d.shard = r.shard AND d.batch = r.step)', 'shard, step, m')})
+        GROUP BY shard, step))""")
+        parts.append(f"""m{e + 1} AS (
+  SELECT list_transform(range(1, {size}), lambda i: list_transform(range(1, {size}), lambda j: list_avg(list_transform(ms, lambda m: m[i][j])))) AS m
+  FROM (SELECT list(m) AS ms FROM (SELECT arg_max(m, step) AS m FROM run{e} GROUP BY shard)))""")
+        losses.append(f"SELECT {e}::BIGINT AS epoch, round(sum(loss) / sum(n), 6) AS loss, sum(n)::BIGINT AS n_rows, max(step) AS n_steps FROM run{e}")
+    trace = f"(SELECT round(list_sum(list_transform(range(1, {size}), lambda i: m[i][i])), 6) FROM m{c.EPOCHS})"
+    return f"WITH RECURSIVE {VECTOR_PAIRS}, {', '.join(parts)} SELECT *, {trace} AS final_trace FROM ({' UNION ALL '.join(losses)})"
+
+
 ORACLE = {
     "chunk_passages": f"SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('(SELECT doc_id AS id, text FROM documents)')})",
     "chunk_profile": f"""
@@ -228,6 +302,8 @@ FROM ({chunks('(SELECT doc_id AS id, text FROM documents)')})""",
     "passage_coverage": """
 SELECT CAST(doc_id AS VARCHAR) AS id, length(replace(replace(text, ' ', ''), chr(10), '')) AS n_chars FROM documents""",
     "positive_pairs": f"WITH {PASSAGES} {POSITIVES}",
+    "positive_pairs_by_file": f"WITH {FILED} {POSITIVES}",
+    "training_set_by_file": f"WITH {training(FILED)} SELECT * FROM training",
     "random_negatives": f"WITH {PASSAGES}, {DRAWS} {NEGATIVES}",
     "query_table": f"""WITH {PASSAGES},
 titles AS (SELECT min(id) AS id, title FROM passages WHERE title IS NOT NULL GROUP BY title),
@@ -306,6 +382,7 @@ FROM customer LEFT JOIN ({latest("ts DESC, event_id DESC")}) ON user_id = c_cust
     "stream_materialize": latest("ts DESC, event_id DESC"),
     "vector_topk": TOP5,
     "vector_topk_pruned": TOP5,
+    "vector_topk_blocks": TOP5,
     "vector_topk_ivf": TOP5,
     "rag_answer": f"""WITH {PASSAGES},
 chunked AS (SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('passages')})),
@@ -344,6 +421,8 @@ UNION ALL
 SELECT 'run', 'Dataset/' || label || '_count', 1, count(*)::DOUBLE FROM pairs GROUP BY label""",
     "contrastive_loss": f"""WITH {VECTOR_PAIRS}
 SELECT count(similarity) AS n, round(avg({LOSS}), 6) AS loss FROM pairs""",
+    "adapter_training": full_batch(),
+    "adapter_training_sharded": local_steps(),
     "view_validation": f"""WITH {PASSAGES},
 checks AS (SELECT unnest(['missing_columns', 'wrong_types', 'null_keys', 'null_times', 'wrong_vector_lengths']) AS k)
 SELECT v AS view, k AS check_name, CASE WHEN v <> 'wiki_passages' THEN 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 METRICS_SCHEMA = "run_id string, tag string, step int, value double"
 RUNS_SCHEMA = ("run_id string, base_model string, loss_function string, epochs int, batch_size int, "
                "learning_rate double, world_size int, hard_negative_update_freq int, epochs_completed int, "
-               "hard_negative_updates int, output_path string, timestamp timestamp_ntz")
+               "hard_negative_updates int, output_path string, timestamp timestamp_ntz, warmup_steps int, steps long")
 
 
 def scalars(row: DataFrame, run_id: str, step: int, prefix: str) -> DataFrame:
