@@ -32,7 +32,7 @@ from pairloom.llm.words import mix
 
 WINDOW = 2048
 END = 1
-SHARD_ROWS = 1024
+SHARD_ROWS = 512
 K1, B = 1.2, 0.75        # the usual constants of BM25
 LANES = 16               # partial sums in the first level of the tree
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -68,13 +68,17 @@ def _kind(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 65_536 else "<u4"
 
 
-def _terms(rests: list[np.ndarray], vocabulary: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _terms(rests: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rest, term and frequency of each distinct term of each rest, by rest and term, and the lengths; the end id is no term."""
-    bodies = [r[:-1] if len(r) and r[-1] == end else r for r in rests]
+    bodies = [np.sort(r[:-1] if len(r) and r[-1] == end else r, kind="stable") for r in rests]
     sizes = np.array([len(b) for b in bodies], np.int64)
-    keys = np.repeat(np.arange(len(bodies)), sizes) * vocabulary + (np.concatenate(bodies).astype(np.int64) if bodies else np.zeros(0, np.int64))
-    keys, times = np.unique(keys, return_counts=True)
-    return keys // vocabulary, keys % vocabulary, times, sizes
+    ids = np.concatenate(bodies) if bodies else np.zeros(0, np.uint16)
+    first = np.ones(len(ids) + 1, bool)
+    first[1:-1] = ids[1:] != ids[:-1]
+    first[np.cumsum(sizes)] = True
+    at = np.flatnonzero(first)
+    rest = np.repeat(np.arange(len(bodies)), sizes)[at[:-1]]
+    return rest, ids[at[:-1]].astype(np.int64), np.diff(at), sizes
 
 
 class Statistics:
@@ -110,11 +114,12 @@ def _read(column: pa.Array, kind: str) -> list[np.ndarray]:
 
 def _heaviest(rests: list[np.ndarray], statistics: Statistics, vocabulary: int, end: int) -> np.ndarray:
     """The heaviest term of each rest (the smallest of equal ones); ``vocabulary`` for rests without terms."""
-    rest, term, times, sizes = _terms(rests, vocabulary, end)
-    order = np.lexsort((term, -statistics.weights(rest, term, times, sizes), rest))
-    first = np.flatnonzero(np.diff(rest[order], prepend=-1))
+    rest, term, times, sizes = _terms(rests, end)
     out = np.full(len(rests), vocabulary)
-    out[rest[order[first]]] = term[order[first]]
+    if len(rest):
+        weights, begins = statistics.weights(rest, term, times, sizes), np.flatnonzero(np.diff(rest, prepend=-1))
+        most = np.flatnonzero(weights == np.repeat(np.maximum.reduceat(weights, begins), np.diff(np.append(begins, len(rest)))))[::-1]
+        out[rest[most]] = term[most]
     return out
 
 
@@ -206,7 +211,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, shard
     stored = Scratch(spark, "packing").stage(_stored(docs, path, window, end), "rests")
 
     def documents(total, _, rests):
-        rest, term, _, sizes = _terms(_read(rests, kind), vocabulary, end)
+        rest, term, _, sizes = _terms(_read(rests, kind), end)
         total[:vocabulary] += np.bincount(term, minlength=vocabulary)
         total[vocabulary:] += len(sizes), sizes.sum()
 
@@ -232,7 +237,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, shard
     def packed(group: pa.Table) -> pa.Table:
         group = group.sort_by("row")
         rests = _read(group.column("rest").combine_chunks(), kind)
-        rest, term, times, lengths = _terms(rests, vocabulary, end)
+        rest, term, times, lengths = _terms(rests, end)
         sizes = np.array([len(r) for r in rests], np.int64)
         index = ShardIndex(rest, term, sent.value.weights(rest, term, times, lengths), len(rests))
         windows = fill_windows(sizes, index, window)

@@ -96,7 +96,7 @@ def naive_scores(rests, seed, statistics_over):
 def small_shard(seed, size):
     draw = np.random.default_rng(seed)
     rests = [draw.integers(2, 40, draw.integers(1, 30)).tolist() + [1] for _ in range(size)]
-    rest, term, times, sizes = packing._terms([np.array(r) for r in rests], 50, 1)
+    rest, term, times, sizes = packing._terms([np.array(r) for r in rests], 1)
     df = np.bincount(term, minlength=50)
     statistics = packing.Statistics(df, size, int(sizes.sum()))
     return [r[:-1] for r in rests], packing.ShardIndex(rest, term, statistics.weights(rest, term, times, sizes), size), np.array([len(r) for r in rests])
