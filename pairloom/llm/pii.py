@@ -17,6 +17,7 @@ rows, an empty table gives an empty result, other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -87,15 +88,37 @@ _NUMERIC = frozenset("+().-[]")
 _ADDRESS = frozenset("._%+-@[]()")
 
 
+def merged(spans) -> list[tuple[int, int]]:
+    """The places that spans cover, as intervals that do not overlap, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _overlaps(tokens, taken) -> list[bool]:
+    """Which tokens overlap one of the ``merged`` intervals: one walk over both."""
+    out, at = [], 0
+    for s, e in tokens:
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        out.append(at < len(taken) and taken[at][0] < e)
+    return out
+
+
 class _Stretch:
-    """Tokens of a piece of text, the segments that may be entities, and their features."""
+    """Tokens of a piece of text, and the segments that may be entities: with their features, or given ``weights`` with their
+    scores, of which only those above ``margin`` are held. ``taken`` are ``merged`` intervals no entity may touch."""
 
-    def __init__(self, text: str, start: int, stop: int, taken=()):
-        self.text = text
+    def __init__(self, text: str, start: int, stop: int, taken=(), weights: dict | None = None, margin: float = 0.0):
+        self.text, self.weights, self.margin = text, weights, margin
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, stop)]
-        blocked = [any(s < b and a < e for a, b in taken) for s, e in self.tokens]
+        blocked = _overlaps(self.tokens, taken)
         words = [text[s:e] for s, e in self.tokens]
-        self.segments: list[tuple[int, int, str, tuple]] = []
+        self.segments: list[tuple] = []
         for i, word in enumerate(words):
             if blocked[i]:
                 continue
@@ -116,7 +139,7 @@ class _Stretch:
                     return
                 if digits >= 4:
                     for kind in ("ip", "card", "phone"):
-                        self.segments.append((i, j + 1, kind, self._features(kind, words, i, j + 1)))
+                        self._add(words, i, j + 1, kind)
 
     def _addresses(self, words, blocked, i):
         signs = dots = 0
@@ -132,7 +155,15 @@ class _Stretch:
             if signs > 1:
                 return
             if signs and dots and word.isalnum() and spoken not in ("at", "dot"):
-                self.segments.append((i, j + 1, "email", self._features("email", words, i, j + 1)))
+                self._add(words, i, j + 1, "email")
+
+    def _add(self, words, i: int, j: int, kind: str) -> None:
+        held = self._features(kind, words, i, j)
+        if self.weights is not None:
+            held = _score(self.weights, held) - self.margin
+            if held <= 0:
+                return
+        self.segments.append((i, j, kind, held))
 
     def _features(self, kind: str, words, i: int, j: int) -> tuple:
         span = "".join(words[i:j])
@@ -164,12 +195,12 @@ def _score(weights: dict, features: tuple) -> float:
     return sum(map(weights.get, features, [0.0] * len(features)))
 
 
-def best_segments(stretch: _Stretch, weights: dict, margin: float = 0.0) -> list[tuple[str, int, int]]:
-    """The best cut into entities and single tokens; an entity has to beat its tokens by ``margin``."""
+def best_segments(stretch: _Stretch, weights: dict | None = None, margin: float = 0.0) -> list[tuple[str, int, int]]:
+    """The best cut into entities and single tokens; an entity has to beat its tokens by ``margin``, or by that of a scored stretch."""
     n = len(stretch.tokens)
     ending: dict[int, list] = {}
-    for i, j, kind, features in stretch.segments:
-        value = _score(weights, features) - margin
+    for i, j, kind, held in stretch.segments:
+        value = held if stretch.weights is not None else _score(weights or {}, held) - margin
         if value > 0:
             ending.setdefault(j, []).append((value, i, kind))
     best, back = [0.0] * (n + 1), [None] * (n + 1)
@@ -302,7 +333,8 @@ def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict, marg
     """Entities of the field outside the pattern spans."""
     if not weights:
         return []
-    taken = sorted((a, b) for _, a, b in base)
+    taken = merged((a, b) for _, a, b in base)
+    ends = [b for _, b in taken]
     stretches: list[list[int]] = []
     at = 0
     for m in _SIGN.finditer(text):
@@ -317,8 +349,8 @@ def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict, marg
             stretches.append([start, stop])
     out = []
     for start, stop in stretches:
-        near = [(a, b) for a, b in taken if a < stop and start < b]
-        out += best_segments(_Stretch(text, start, stop, near), weights, margin)
+        near = taken[bisect.bisect_right(ends, start):bisect.bisect_left(taken, (stop, 0))]
+        out += best_segments(_Stretch(text, start, stop, near, weights, margin))
     return out
 
 

@@ -97,3 +97,14 @@ def test_repeated_rows_come_back(spark):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (3, "z")]
     got = sorted(tuple(r) for r in jaccard.groups(documents(spark, rows)).collect())
     assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 3)]
+
+
+def test_parities_never_exceed_the_differences():
+    import numpy as np
+    draw = np.random.default_rng(3)
+    for n, m, common in ((5, 5, 3), (200, 40, 30), (3000, 2800, 2600), (64, 64, 64), (1, 900, 1)):
+        both = draw.integers(0, 1 << 62, n + m - common).astype(np.uint64)
+        x, y = np.unique(both[:n]), np.unique(both[n - common:])
+        least = jaccard.fewest_differences(jaccard.parities(x), jaccard.parities(y))
+        differ = len(np.setxor1d(x, y))
+        assert least <= differ and (least > differ / 4 or differ < 8 or min(n, m) * 3 < max(n, m))

@@ -120,3 +120,32 @@ def test_masking(spark):
     docs = documents(spark, [(1, "to a.b@c.example.org, +1 (959) 555-1500."), (2, None), (3, "nothing")])
     got = {r.doc_id: r.text for r in docs.withColumn("text", pii.mask_column(docs, F.col("text"))).collect()}
     assert got == {1: "to [email], [phone].", 2: None, 3: "nothing"}
+
+
+def test_long_texts_take_time_in_proportion():
+    """Addresses and other numbers in turn: every token near a span, in one stretch."""
+    import time
+    weights = pii.train(["call 555 0100 now", "mail me a.b@example.com please", "at 10.0.0.1 or 4111 1111 1111 1111 there"] * 3, epochs=2)
+    took = []
+    for n in (1500, 6000):
+        text = "".join(f"a{i}@example.com and {i} 1234 55 or " for i in range(n))
+        begun = time.process_time()
+        found = pii.added_spans(text, pii.base_spans(text), weights)
+        took.append(time.process_time() - begun)
+        assert all(not (a < y and x < b) for _, a, b in found for _, x, y in pii.base_spans(text)[:20])
+    assert took[1] < 8 * took[0] + 0.5
+
+
+def test_five_megabytes_of_spans_and_numbers():
+    text = "".join(f"a{i}@example.com {i} 12 and words in between that hold no number at all, so " for i in range(62_000))
+    assert len(text) > 5_000_000
+    base = pii.base_spans(text)
+    pii.added_spans(text, base, {"ip:bias": -1.0, "card:bias": -1.0, "phone:bias": -1.0, "email:bias": -1.0})
+    assert sum(k == "email" for k, *_ in base) == 62_000
+
+
+def test_merged_places_and_overlaps():
+    spans = [(0, 10), (2, 4), (10, 12), (20, 25)]
+    assert pii.merged(spans) == [(0, 12), (20, 25)]
+    tokens = [(i, i + 2) for i in range(0, 30, 2)]
+    assert pii._overlaps(tokens, pii.merged(spans)) == [any(s < b and a < e for a, b in spans) for s, e in tokens]

@@ -1,5 +1,5 @@
 import pytest
-from helpers import documents
+from helpers import by_id, clashing, documents
 from oracle_check import connect, differences
 
 import __spark_entry__ as driver
@@ -72,3 +72,19 @@ def test_documents_in_several_languages_stay(spark, data):
     kept = dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(documents(spark, mixed)), data)
     assert kept.filter("doc_id >= 10000000").count() == 30
     assert [corpus_pipeline.least_score(n) for n in (0, 1, 2)] == [0, 0, 0] and 1 / 5 < corpus_pipeline.least_score(5) < 1 / 4
+
+
+def test_stages_keep_columns_named_like_results(spark, data):
+    """Extra columns of any name come out of every stage as they went in."""
+    from pyspark.sql import functions as F
+    docs = clashing(spark.read.parquet(f"{data}/documents.parquet"))
+    for name in ("held_out", "lang_pred", "component_id", "n_tokens", "_own0"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("score", F.col("doc_id") + 0.5)
+    given = by_id(docs.select("doc_id", *[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, data)
+        assert out.columns == docs.columns
+        kept = by_id(out.select("doc_id", *[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]))
+        assert kept and all(given[k] == v for k, v in kept.items()), name
+    assert dict(corpus_pipeline.STAGES)["tokens"](spark, docs, data).count() == docs.count()
