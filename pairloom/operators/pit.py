@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -123,3 +124,77 @@ def _carried(values: DataFrame, cuts: DataFrame, keys: list) -> DataFrame:
     carried = slices.join(newest, [*keys, "_slice"], "left").withColumn(
         "_value", F.last("_newest", ignorenulls=True).over(earlier))
     return carried.where(F.col("_value").isNotNull()).select(*keys, "_slice", F.lit(-1).alias("_kind"), "_value")
+
+
+# ---------------------------------------------------------------- several sources in one pass
+
+@dataclass(frozen=True)
+class AsOfSource:
+    """Time-stamped feature rows of one kind, as one of several that a spine is joined with."""
+
+    features: DataFrame
+    ts: str
+    columns: tuple
+    ttl: dt.timedelta | None = None
+    tie_break: tuple = ()
+
+
+def point_in_time_many(spine: DataFrame, sources: list[AsOfSource], keys, spine_ts: str, bucket: dt.timedelta | None = None) -> DataFrame:
+    """The spine with the feature columns of all ``sources``, which share its ``keys``: what ``point_in_time`` adds one after the other.
+
+    Spine and sources are laid together once and exchanged once. With ``bucket``, a key's rows are cut at fixed
+    times, so that a key with very many rows is many groups, and no pass over the data has to find it first: the newest value of each key,
+    bucket and source is a partial aggregate, and a bucket begins with what the buckets before it carry over. Column names of the sources
+    have to differ from each other and from the spine's.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    names = [c for s in sources for c in s.columns]
+    clash = sorted({c for c in names if c in spine.columns or names.count(c) > 1})
+    if clash:
+        raise ValueError(f"feature column(s) {clash} are already in the spine or in another source")
+    # One time type for all sides; only zoneless times stay zoneless.
+    kinds = {spine.schema[spine_ts].dataType.typeName(), *(s.features.schema[s.ts].dataType.typeName() for s in sources)}
+    kind = "timestamp_ntz" if kinds == {"timestamp_ntz"} else "timestamp"
+    parts, ties, values = [], [f"_tie{i}" for i in range(len(sources))], [f"_value{i}" for i in range(len(sources))]
+    for i, s in enumerate(sources):
+        usable = s.features.where(F.col(s.ts).isNotNull())
+        for key in keys:
+            usable = usable.where(F.col(key).isNotNull())
+        tie = F.struct(*s.tie_break) if s.tie_break else F.struct(F.lit(0).alias("none"))
+        parts.append(usable.select(*keys, F.col(s.ts).cast(kind).alias("_ts"), F.lit(0).alias("_kind"), tie.alias(ties[i]), F.struct(F.col(s.ts).alias("_at"), *s.columns).alias(values[i])))
+    asks = spine.select(*keys, F.col(spine_ts).cast(kind).alias("_ts"), F.lit(1).alias("_kind"), F.struct(*spine.columns).alias("_row"))
+    facts = parts[0]
+    for part in parts[1:]:
+        facts = facts.unionByName(part, allowMissingColumns=True)
+    rows, groups = facts.unionByName(asks, allowMissingColumns=True), keys
+    if bucket is not None:
+        number = F.floor(_seconds("_ts", kind) / F.lit(max(1, int(bucket.total_seconds()))))
+        carried = _carried_over(facts.withColumn("_bucket", number), asks.select(*keys, number.alias("_bucket")), keys, ties, values)
+        rows = rows.withColumn("_bucket", number).unionByName(carried, allowMissingColumns=True)
+        groups = [*keys, "_bucket"]
+    window = Window.partitionBy(*groups).orderBy("_kind_first", "_ts", "_kind", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    ordered = rows.withColumn("_kind_first", F.when(F.col("_kind") < 0, 0).otherwise(1))
+    seen = ordered.select("_row", "_ts", "_kind", *[F.last(v, ignorenulls=True).over(window).alias(v) for v in values]).where(F.col("_kind") == 1)
+    out = [F.col("_row")[c].alias(c) for c in spine.columns]
+    for s, v in zip(sources, values):
+        fresh = F.col(f"{v}._at").isNotNull() if s.ttl is None else F.col(f"{v}._at") >= F.col("_ts") - interval(s.ttl)
+        out += [F.when(fresh, F.col(v)[c]).alias(c) for c in s.columns]
+    return seen.select(*out)
+
+
+def _seconds(ts: str, kind: str) -> Column:
+    """Whole seconds since 1970 in the order of the times: by the clock for zoneless times, whatever the session's zone."""
+    if kind == "timestamp":
+        return F.unix_seconds(ts)
+    return F.unix_date(F.to_date(ts)).cast("long") * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def _carried_over(facts: DataFrame, asked: DataFrame, keys: list, ties: list, values: list) -> DataFrame:
+    """For each key and bucket with spine rows, the newest value of every source in the buckets before it, as rows of kind -1."""
+    newest = facts.groupBy(*keys, "_bucket").agg(*[F.max_by(v, F.struct(F.when(F.col(v).isNotNull(), F.col("_ts")), t)).alias(v) for v, t in zip(values, ties)])
+    wanted = asked.where(F.col("_bucket").isNotNull()).groupBy(*keys, "_bucket").agg(F.lit(True).alias("_wanted"))
+    both = newest.unionByName(wanted, allowMissingColumns=True).groupBy(*keys, "_bucket").agg(
+        *[F.max(v).alias(v) for v in values], F.max("_wanted").alias("_wanted"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.select(*keys, "_bucket", "_wanted", *[F.last(v, ignorenulls=True).over(earlier).alias(v) for v in values])
+    return carried.where(F.col("_wanted")).drop("_wanted").withColumn("_kind", F.lit(-1))

@@ -38,6 +38,8 @@ WINDOW = dt.timedelta(days=30)
 EPOCHS, RATE = 4, 5.0
 LOCAL_RATE, WARMUP = 1.0, 10
 LISTS = 16
+KEY_BUCKETS = 16
+LIFETIMES = {"click": 7, "view": 14, "signup": 30}
 FIRST = 200
 BAND = (0.1, 0.8)
 EVENTS_SCHEMA = T.StructType([
@@ -298,6 +300,18 @@ def q_historical_features(spark, folder):
     return store.historical(spine, ["user_events:event_id", "user_events:event_type", "user_events:value"])
 
 
+def q_historical_many(spark, folder):
+    """For each purchase the user's last click, view and signup before it, from three views in one pass."""
+    root, registry = scratch_path(spark, "views"), Registry()
+    for kind, days in LIFETIMES.items():
+        rows = events(spark, folder).where(F.col("event_type") == kind)
+        rows.select("user_id", "ts", F.col("event_id").alias(f"{kind}_id"), F.col("value").alias(f"{kind}_value")).write.parquet(f"{root}/{kind}")
+        fields = T.StructType([T.StructField(f"{kind}_id", T.LongType()), T.StructField(f"{kind}_value", T.DoubleType())])
+        registry.register(FeatureView(f"{kind}s", Entity("user_id", ("user_id",), T.LongType()), fields, dt.timedelta(days=days), f"{root}/{kind}", ts_col="ts", tie_break=(f"{kind}_id",)))
+    spine = events(spark, folder).where("event_type = 'purchase'").select("event_id", "user_id", F.col("ts").alias("event_timestamp"))
+    return FeatureStore(spark, root, registry).historical(spine, [f"{kind}s:{kind}_{c}" for kind in LIFETIMES for c in ("id", "value")])
+
+
 def q_latest_per_key(spark, folder):
     return latest_per_key(events(spark, folder), "user_id", "ts", ["event_id"])
 
@@ -330,6 +344,27 @@ def q_online_lookup(spark, folder):
     return store.online_features(requests, ["user_events:event_id", "user_events:event_type", "user_events:value"])
 
 
+def _keyed_store(spark) -> FeatureStore:
+    store = _event_store(spark)
+    return FeatureStore(spark, store.root, store.registry, key_buckets=KEY_BUCKETS)
+
+
+def q_keyed_materialize(spark, folder):
+    """The incremental materialisation into buckets of keys: each run merges into the buckets it touches."""
+    store, e = _keyed_store(spark), events(spark, folder)
+    for end in CUTS:
+        store.materialize_incremental("user_events", end, e)
+    return store.online("user_events")
+
+
+def q_keyed_lookup(spark, folder):
+    """Point reads that open only the buckets of the keys asked for."""
+    store = _keyed_store(spark)
+    store.materialize("user_events", events(spark, folder))
+    requests = driver_table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    return store.online_features(requests, ["user_events:event_id", "user_events:event_type", "user_events:value"])
+
+
 def q_stream_materialize(spark, folder):
     """The events in three instalments that arrive out of order, with a restart before each and a compaction."""
     table, incoming = VersionedTable(spark, scratch_path(spark, "streamed")), scratch_path(spark, "incoming")

@@ -187,6 +187,13 @@ FROM (SELECT * FROM events WHERE event_type = 'purchase') s
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') f ON s.user_id = f.user_id AND s.ts >= f.ts"""
 
 
+def as_of(kind: str, days: int) -> str:
+    return f"""(SELECT s.event_id, CASE WHEN f.ts >= s.ts - INTERVAL {days} DAY THEN f.event_id END AS {kind}_id,
+       CASE WHEN f.ts >= s.ts - INTERVAL {days} DAY THEN f.value END AS {kind}_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') s
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = '{kind}') f ON s.user_id = f.user_id AND s.ts >= f.ts)"""
+
+
 def latest(order: str, where: str = "") -> str:
     return f"""SELECT user_id, event_id, ts, event_type, value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {order}) AS r FROM events {where}) WHERE r = 1"""
@@ -366,6 +373,8 @@ SELECT s.event_id AS purchase_id, s.user_id, s.at AS event_timestamp,
        CASE WHEN f.ts >= s.at - INTERVAL 30 DAY THEN f.value END AS value
 FROM (SELECT *, ts - INTERVAL 1 SECOND AS at FROM events WHERE event_type = 'purchase') s
 ASOF LEFT JOIN events f ON s.user_id = f.user_id AND s.at >= f.ts""",
+    "historical_many": "SELECT event_id, user_id, ts AS event_timestamp, " + ", ".join(f"{k}_id, {k}_value" for k in c.LIFETIMES)
+    + " FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') " + " ".join(f"JOIN {as_of(k, d)} USING (event_id)" for k, d in c.LIFETIMES.items()),
     "source_readiness": """
 SELECT 'user_events' AS view, true AS path_found, true AS schema_ok, count(*) AS n_rows, count(*) > 0 AS ready FROM events
 UNION ALL SELECT 'wiki_passages', false, false, 0, false""",
@@ -376,6 +385,11 @@ SELECT unnest(['views_registered', 'encoder_inference', 'training_data', 'vector
     "latest_without_time": latest("event_id DESC"),
     "incremental_materialize": latest(
         "ts DESC, event_id DESC", f"WHERE ts > TIMESTAMP '{c.CUTS[0] - c.WINDOW}' AND ts <= TIMESTAMP '{c.CUTS[1]}'"),
+    "keyed_materialize": latest(
+        "ts DESC, event_id DESC", f"WHERE ts > TIMESTAMP '{c.CUTS[0] - c.WINDOW}' AND ts <= TIMESTAMP '{c.CUTS[1]}'"),
+    "keyed_lookup": f"""
+SELECT c_custkey AS user_id, event_id, event_type, value
+FROM customer LEFT JOIN ({latest("ts DESC, event_id DESC")}) ON user_id = c_custkey""",
     "online_lookup": f"""
 SELECT c_custkey AS user_id, event_id, event_type, value
 FROM customer LEFT JOIN ({latest("ts DESC, event_id DESC")}) ON user_id = c_custkey""",

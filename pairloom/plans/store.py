@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.operators.encode import with_vector
 from pairloom.operators.materialize import latest_per_key, online_lookup, time_window
-from pairloom.operators.pit import point_in_time
+from pairloom.operators.pit import AsOfSource, point_in_time_many
 from pairloom.operators.similarity import VectorIndex, probe_topk, pruned_topk, topk_join
+from pairloom.sources.keyed import KeyedTable
 from pairloom.sources.versions import VersionedTable, last_upto
 from pairloom.sources.views import FeatureView, Registry
 
+BUCKETS_PER_TTL = 4  # time buckets in the longest TTL of a historical read
 COMPACT_AFTER = 16  # deltas after which a materialisation writes a new base
 
 
@@ -22,6 +24,7 @@ class FeatureStore:
     spark: SparkSession
     root: str
     registry: Registry
+    key_buckets: int | None = None  # online tables in so many buckets of keys (``KeyedTable``); None keeps base and deltas
 
     def source(self, view: FeatureView) -> DataFrame:
         return self.spark.read.parquet(view.source)
@@ -29,19 +32,28 @@ class FeatureStore:
     # ------------------------------------------------------------ historical
 
     def historical(self, spine: DataFrame, features, spine_ts: str = "event_timestamp") -> DataFrame:
-        """Point-in-time features by ``view:column`` name for every spine row."""
-        out = spine
-        for name, columns in self.registry.resolve(features).items():
+        """Point-in-time features by ``view:column`` name for every spine row.
+
+        Views with the same keys are joined in one pass, cut into time buckets of a ``BUCKETS_PER_TTL``-th of their longest TTL.
+        """
+        out, by_keys, wanted = spine, {}, self.registry.resolve(features)
+        for name, columns in wanted.items():
             view = self.registry.view(name)
-            out = point_in_time(out, self.source(view), view.keys, spine_ts, view.ts_col, columns, view.ttl,
-                                view.tie_break)
-        return out
+            by_keys.setdefault(tuple(view.keys), []).append(AsOfSource(self.source(view), view.ts_col, tuple(columns), view.ttl, tuple(view.tie_break)))
+        for keys, sources in by_keys.items():
+            spans = [s.ttl for s in sources]
+            out = point_in_time_many(out, sources, list(keys), spine_ts, max(spans) / BUCKETS_PER_TTL if all(spans) else None)
+        return out.select(*spine.columns, *[c for columns in wanted.values() for c in columns])
 
     # ------------------------------------------------------------ materialise
 
     def online_table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root.rstrip('/')}/online/{self.registry.online_view(name).name}")
 
+    def keyed_table(self, name: str) -> KeyedTable:
+        view = self.registry.online_view(name)
+        return KeyedTable(self.spark, f"{self.root.rstrip('/')}/online/{view.name}", tuple(view.keys), view.ts_col, tuple(view.tie_break), self.key_buckets)
+
     def materialize(self, name: str, df: DataFrame | None = None, use_event_time: bool = True,
                     run_id: str = "materialize") -> int:
         """Write the latest row per key as a new base version."""
@@ -49,6 +61,8 @@ class FeatureStore:
         table = self.online_table(name)
         rows = self.source(view) if df is None else df
         latest = latest_per_key(rows, view.keys, view.ts_col if use_event_time else None, view.tie_break)
+        if self.key_buckets:
+            return self.keyed_table(name).write(latest, run_id)
         return table.write(latest, run_id)
 
     def materialize_incremental(self, name: str, end: dt.datetime, df: DataFrame | None = None,
@@ -60,13 +74,15 @@ class FeatureStore:
         """
         view = self.registry.online_view(name)
         table = self.online_table(name)
-        past = table.history()
+        past = self.keyed_table(name).history() if self.key_buckets else table.history()
         last = last_upto(past)
         start = dt.datetime.fromisoformat(last) if last else end - view.ttl
         if last and end <= start:
             return past[-1]["version"]
         rows = time_window(self.source(view) if df is None else df, view.ts_col, start, end)
         latest = latest_per_key(rows, view.keys, view.ts_col, view.tie_break)
+        if self.key_buckets:
+            return self.keyed_table(name).merge(latest, run_id, end.isoformat(sep=" ", timespec="microseconds"))
         version = table.write(latest, run_id, kind="delta", upto=end.isoformat(sep=" ", timespec="microseconds"),
                               past=past)
         if len(table.parts(past=past)) + 1 > compact_after:
@@ -76,6 +92,8 @@ class FeatureStore:
     def online(self, name: str, version: int | None = None) -> DataFrame:
         """The online table: one row per key, newest wins across base and deltas."""
         view = self.registry.online_view(name)
+        if self.key_buckets:
+            return self.keyed_table(name).read(version=version)
         return self.online_table(name).read_latest(view.keys, view.ts_col, view.tie_break, version)
 
     # ------------------------------------------------------------ online reads
@@ -88,7 +106,8 @@ class FeatureStore:
             (computed if (name, column) in self.registry.on_demand else stored).append((feature, name, column))
         out = requests
         for name, columns in self.registry.resolve([f for f, _, _ in stored]).items():
-            out = online_lookup(out, self.online(name), self.registry.view(name).keys, columns)
+            rows = self.keyed_table(name).read_for(out) if self.key_buckets else self.online(name)
+            out = online_lookup(out, rows, self.registry.view(name).keys, columns)
         for _, name, column in computed:
             text, encoder = self.registry.on_demand[(name, column)]
             out = with_vector(out, encoder, text, column)
