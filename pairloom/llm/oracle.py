@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pairloom.llm.urls import DAMPING, LEAST_SHARE, STEPS
-
+# Fixed values of the url query: the walk's damping and steps, and the least distrust in mean seeds.
+DAMPING, STEPS, LEAST_DISTRUST = 0.85, 8, 0.05
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -77,7 +77,9 @@ links AS (SELECT host AS a, translate(unnest(regexp_extract_all(html, '(?i)<a\s[
 edges AS (SELECT a, b, count(*)::DOUBLE AS weight FROM links WHERE a <> '' AND a <> b GROUP BY a, b),
 {_propagated('trust', 'allowed', 'a', 'b')},
 {_propagated('distrust', 'blocked', 'b', 'a')},
-bad AS (SELECT d.host FROM distrust{STEPS} d LEFT JOIN trust{STEPS} t ON t.host = d.host WHERE d.score > coalesce(t.score, 0) AND d.score > {LEAST_SHARE})
+rated AS (SELECT d.host, (d.score - (1 - {DAMPING}) * coalesce(s.seed, 0)) * (SELECT count(*) FROM distrust_seed) AS distrust, coalesce(t.score, 0) * (SELECT count(*) FROM trust_seed) AS trust
+  FROM distrust{STEPS} d LEFT JOIN trust{STEPS} t ON t.host = d.host LEFT JOIN distrust_seed s ON s.host = d.host),
+bad AS (SELECT host FROM rated WHERE distrust > trust AND distrust >= {LEAST_DISTRUST})
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM j
 """
 

@@ -1,8 +1,11 @@
 """URL verdicts from host rules, and for the rest from trust propagated over the link graph of hosts.
 
 Trust is a personalised PageRank from hosts that rules allow, along links; distrust is one from hosts that rules
-block, along reversed links (who links to a blocked host inherits from it). Each host is judged by comparing the
-two. Built-in functions only.
+block, along reversed links (who links to a blocked host inherits from it). Both are measured against the mean weight of
+their seeds, so that a host's score does not depend on how many other hosts the rules judge: a host that alone links to a blocked host
+has ``DAMPING * (1 - DAMPING)`` of it, 0.1275, whether there is one blocked host or a thousand; several that link to the same one
+share that. A host is blocked when the distrust that reaches it over links, its own seed aside, is above its trust and at least
+``LEAST_DISTRUST``: pages of a host that the rules leave open are not blocked for the sake of its other pages. Built-in functions only.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed. Null html has no
 links. Repeated rows each get their row; an empty table gives an empty result; other columns are not read.
@@ -19,8 +22,8 @@ from pairloom.llm.common import Scratch
 # An absolute link in a page.
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 DAMPING, STEPS = 0.85, 8
-# A host is blocked when its distrust is above its trust and above this share of all distrust.
-LEAST_SHARE = 0.2
+# The least distrust of a blocked host, as a multiple of the mean seed of distrust.
+LEAST_DISTRUST = 0.05
 
 
 @dataclass(frozen=True)
@@ -91,7 +94,7 @@ def _seeds(hosts: DataFrame, column: str) -> DataFrame:
     return own.crossJoin(own.agg(F.sum("part").alias("whole"))).select("host", (F.col("part") / F.col("whole")).alias("seed"))
 
 
-def judge(pages: DataFrame, rules, damping=DAMPING, steps=STEPS, least_share=LEAST_SHARE) -> DataFrame:
+def judge(pages: DataFrame, rules, damping=DAMPING, steps=STEPS, least_distrust=LEAST_DISTRUST) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every page."""
     scratch = Scratch(pages.sparkSession, "urls")
     cut = parts(pages).withColumn("fit", _fitting(rules)).select("page_id", "host", "path", "fit.rule", "fit.verdict", "html")
@@ -102,9 +105,13 @@ def judge(pages: DataFrame, rules, damping=DAMPING, steps=STEPS, least_share=LEA
         F.count_if(F.col("verdict") == "block").alias("blocked")), "hosts")
     score = None
     for name, column, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
-        one = propagate(scratch.stage(_seeds(hosts, column), f"seeds-{name}"), scratch.stage(_shares(edges, src, dst), f"shares-{name}"),
-                        scratch, name, damping, steps).select("host", F.col("score").alias(name))
+        seeds = scratch.stage(_seeds(hosts, column), f"seeds-{name}")
+        one = propagate(seeds, scratch.stage(_shares(edges, src, dst), f"shares-{name}"), scratch, name, damping, steps)
+        # Seeds sum to 1, so their number is the inverse of their mean.
+        if name == "distrust":
+            one = one.join(seeds, "host", "left").select("host", (F.col("score") - (1 - damping) * F.coalesce("seed", F.lit(0.0))).alias("score"))
+        one = one.crossJoin(F.broadcast(seeds.agg(F.count(F.lit(1)).alias("seeds")))).select("host", (F.col("score") * F.col("seeds")).alias(name))
         score = one if score is None else score.join(one, "host", "full")
-    bad = score.filter((F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0))) & (F.col("distrust") > least_share)).select("host", F.lit(True).alias("bad"))
+    bad = score.filter((F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0))) & (F.col("distrust") >= least_distrust)).select("host", F.lit(True).alias("bad"))
     return judged.join(bad, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))
