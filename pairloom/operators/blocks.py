@@ -17,6 +17,7 @@ Results are those of comparing every pair: similarities in double precision from
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.vectors import as_matrix, row_lengths
 from pairloom.operators.kernels import _banned_pairs, _first_k, _keep_first_k, _round
@@ -180,8 +181,75 @@ class _Rectangle:
             yield from out.combine_chunks().to_batches()
 
 
-def _stream(k: int, floor: float | None, exclude_same_id: bool, grouped: bool, lists, lead):
+class _BandRectangle:
+    """One query block: of the docs whose similarity lies strictly inside a band, those of the smallest priorities for each query."""
+
+    def __init__(self, tables: list[pa.RecordBatch], k: int, band: tuple[float, float], seed: str):
+        self.queries, self.k, self.band, self.seed = pa.Table.from_batches(tables), k, band, seed
+        self.matrix = as_matrix(self.queries["vec"])
+        self.lengths = row_lengths(self.matrix)
+        self.keys = draws(self.queries["query_id"], seed)
+        self.most = np.full(len(self.matrix), np.iinfo(np.int64).max)
+        self.held: list[tuple] = []
+        self.rows, self.limit = 0, max(200_000, 4 * k * len(self.matrix))
+
+    def active(self, number: int) -> np.ndarray:
+        return np.flatnonzero(self.lengths > 0)
+
+    def meet(self, docs: pa.RecordBatch, queries: np.ndarray) -> None:
+        d = as_matrix(docs.column(docs.schema.get_field_index("vec")))
+        dn, ids = row_lengths(d), docs.column(docs.schema.get_field_index("doc_id"))
+        keys = draws(ids, self.seed)
+        low, high = self.band
+        for start in range(0, len(queries), QUERY_SLICE):
+            part = queries[start:start + QUERY_SLICE]
+            # Only priorities that still count are worth a similarity.
+            priority = self.keys[part][:, None] ^ keys[None, :]
+            scale = self.lengths[part][:, None] * dn[None, :]
+            dots = self.matrix[part] @ d.T
+            near = (priority < self.most[part][:, None]) & (scale > 0) & (dots > (low - SLACK) * scale) & (dots < (high + SLACK) * scale)
+            rows, cols = np.nonzero(near)
+            values = _round(dots[rows, cols] / scale[rows, cols])
+            inside = (values > low) & (values < high)
+            rows, cols, values = rows[inside], cols[inside], values[inside]
+            if len(rows):
+                self.held.append((part[rows], priority[rows, cols], values, ids.take(pa.array(cols))))
+                self.rows += len(rows)
+        if self.rows > self.limit:
+            self.settle()
+
+    def settle(self) -> None:
+        q, priority, values = (np.concatenate([h[i] for h in self.held]) for i in range(3))
+        ids = pa.chunked_array([h[3] for h in self.held])
+        order = np.lexsort((priority, q))
+        q = q[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(q)) + 1]) if len(q) else np.zeros(0, int)
+        rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+        kept = order[rank < self.k]
+        full = q[rank == self.k - 1]
+        self.most[full] = priority[order[rank == self.k - 1]] + 1
+        self.held = [(q[rank < self.k], priority[kept], values[kept], ids.take(pa.array(kept)).combine_chunks())]
+        self.rows = len(kept)
+
+    def results(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            self.settle()
+            q, priority, values, ids = self.held[0]
+            out = pa.table({"query_id": self.queries["query_id"].take(pa.array(q)), "doc_id": ids, "similarity": pa.array(values), "priority": pa.array(priority)})
+            yield from out.combine_chunks().to_batches()
+
+
+def draws(ids, seed: str) -> np.ndarray:
+    """60 bits of the md5 of seed and id; the exclusive or of two of them is the priority of a pair."""
+    return np.array([int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:15], 16) for i in ids.to_pylist()], np.int64)
+
+
+def _top_k(k: int, floor: float | None, exclude_same_id: bool, grouped: bool, lists, lead):
     lowest = -math.inf if floor is None else floor
+    return lambda waiting: _Rectangle(waiting, k, lowest, exclude_same_id, grouped, lists, lead)
+
+
+def _stream(make, lists=None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, waiting, rectangle, number, active, since = None, [], None, None, None, 0
@@ -203,7 +271,7 @@ def _stream(k: int, floor: float | None, exclude_same_id: bool, grouped: bool, l
                 if not waiting:
                     continue
                 if rectangle is None:
-                    rectangle = _Rectangle(waiting, k, lowest, exclude_same_id, grouped, lists, lead)
+                    rectangle = make(waiting)
                 if listed != number:
                     number, active = listed, rectangle.active(listed)
                     since = 0
@@ -218,8 +286,8 @@ def _stream(k: int, floor: float | None, exclude_same_id: bool, grouped: bool, l
     return run
 
 
-def _rectangles(q: DataFrame, d: DataFrame, cells: int, k: int, floor, exclude_same_id: bool, grouped: bool, lists=None, lead=None) -> DataFrame:
-    """Both sides carry ``_cell`` and ``list``: the rows of ``query_id, doc_id, similarity`` that each rectangle keeps."""
+def _rectangles(q: DataFrame, d: DataFrame, cells: int, make, grouped: bool = False, lists=None, more=()) -> DataFrame:
+    """Both sides carry ``_cell`` and ``list``: the rows of ``query_id, doc_id, similarity`` (and ``more``) that each rectangle keeps."""
     groups = ["query_group", "doc_group"] if grouped else []
     query_type, doc_type = q.schema["query_id"].dataType, d.schema["doc_id"].dataType
     none = lambda kind: F.lit(None).cast(kind)
@@ -230,8 +298,8 @@ def _rectangles(q: DataFrame, d: DataFrame, cells: int, k: int, floor, exclude_s
     run = max(1, -(-cells // MAX_TASKS))
     both = left.unionByName(right).withColumn("_task", F.floor(F.col("_cell") / run).cast("int")).repartitionById(max(1, -(-cells // run)), "_task")
     ordered = both.sortWithinPartitions("_cell", "_kind", "list").select(F.col("_cell").cast("long"), F.col("_kind").cast("long"), F.col("list").cast("long"), "list", "query_id", "doc_id", "vec", "kth", *groups)
-    schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_id", doc_type), T.StructField("similarity", T.DoubleType())])
-    return ordered.toDF("_cell", "_kind", "_number", *ordered.columns[3:]).mapInArrow(_stream(k, floor, exclude_same_id, grouped, lists, lead), schema)
+    schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_id", doc_type), T.StructField("similarity", T.DoubleType()), *more])
+    return ordered.toDF("_cell", "_kind", "_number", *ordered.columns[3:]).mapInArrow(_stream(make, lists), schema)
 
 
 def _shape(n_queries: int, n_docs: int, dim: int, slots: int, memory: int) -> tuple[int, int]:
@@ -244,14 +312,34 @@ def _shape(n_queries: int, n_docs: int, dim: int, slots: int, memory: int) -> tu
     return blocks, parts
 
 
-def plain_rectangles(q: DataFrame, d: DataFrame, k: int, floor, exclude_same_id: bool, grouped: bool, n_queries: int, n_docs: int, dim: int, memory: int = QUERY_BYTES) -> DataFrame:
-    """Every pair is compared; blocks and parts are cut by id hash. ``q`` has ``query_id, query_vec``, ``d`` has ``doc_id, doc_vec``."""
+def _laid_out(q: DataFrame, d: DataFrame, n_queries: int, n_docs: int, dim: int, memory: int) -> tuple[DataFrame, DataFrame, int]:
+    """Both sides in cells of all pairs of a query block and a part of the docs, cut by id hash."""
     blocks, parts = _shape(n_queries, n_docs, dim, d.sparkSession.sparkContext.defaultParallelism, memory)
     q = q.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     d = d.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts))).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     cell = (F.col("_block") * parts + F.col("_part")).alias("_cell")
-    q = q.select("*", cell, F.lit(0).alias("list"), F.lit(None).cast("double").alias("kth"))
-    return _rectangles(q, d.select("*", cell, F.lit(0).alias("list")), blocks * parts, k, floor, exclude_same_id, grouped)
+    return q.select("*", cell, F.lit(0).alias("list"), F.lit(None).cast("double").alias("kth")), d.select("*", cell, F.lit(0).alias("list")), blocks * parts
+
+
+def plain_rectangles(q: DataFrame, d: DataFrame, k: int, floor, exclude_same_id: bool, grouped: bool, n_queries: int, n_docs: int, dim: int, memory: int = QUERY_BYTES) -> DataFrame:
+    """Every pair is compared. ``q`` has ``query_id, query_vec``, ``d`` has ``doc_id, doc_vec``."""
+    q, d, cells = _laid_out(q, d, n_queries, n_docs, dim, memory)
+    return _rectangles(q, d, cells, _top_k(k, floor, exclude_same_id, grouped, None, None), grouped)
+
+
+def band_join(q: DataFrame, d: DataFrame, k: int, band: tuple[float, float], seed: str, memory: int = QUERY_BYTES) -> DataFrame:
+    """``query_id, doc_id, similarity, priority``: of all docs with a similarity strictly inside ``band``, k for each query.
+
+    Which k is drawn by ``priority``, the exclusive or of two md5 draws, so every doc of the band has the same chance and a rerun the
+    same result. Every pair is compared; a rectangle keeps k rows per query, never the pairs. ``q`` has ``query_id, query_vec``, ``d`` has
+    ``doc_id, doc_vec``, both with unique ids; rows without a vector take no part.
+    """
+    q, d = q.where(F.col("query_vec").isNotNull()), d.where(F.col("doc_vec").isNotNull())
+    first = q.select(F.size("query_vec").alias("n")).first()
+    q, d, cells = _laid_out(q, d, q.count(), d.count(), first["n"] if first else 1, memory)
+    found = _rectangles(q, d, cells, lambda waiting: _BandRectangle(waiting, k, band, seed), more=[T.StructField("priority", T.LongType())])
+    order = Window.partitionBy("query_id").orderBy("priority", "doc_id")
+    return found.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= k).drop("_nth")
 
 
 def _blocks_of_lists(sizes: dict, centroids: np.ndarray, blocks: int) -> dict:
@@ -299,8 +387,8 @@ def pruned_rectangles(q: DataFrame, index, k: int, floor, exclude_same_id: bool,
         wanted = spark.createDataFrame([(c, b) for c, b in sorted(reach.items())], "_list int, _blocks array<int>")
         d = index.docs.join(F.broadcast(wanted), "_list").withColumn("_block", F.explode("_blocks")).withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
         asked = asked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        return _rectangles(asked.select("*", cell, F.col("_list").alias("list")), d.select("*", cell, F.col("_list").alias("list")), blocks * parts, k, floor,
-                           exclude_same_id, grouped, (index.centroids, radius, first), lead)
+        return _rectangles(asked.select("*", cell, F.col("_list").alias("list")), d.select("*", cell, F.col("_list").alias("list")), blocks * parts,
+                           _top_k(k, floor, exclude_same_id, grouped, (index.centroids, radius, first), lead), grouped, True)
 
     own = {c: list(range(b, b + n)) for c, (b, n) in placed.items() if c in index.sizes}
     first = stage(search(q.withColumn("kth", F.lit(None).cast("double")), own, True), "own-lists")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -123,10 +124,23 @@ def with_vector(df: DataFrame, encoder, text_col: str, name: str) -> DataFrame:
 
 
 def hashed_counts(df: DataFrame, id_col: str, text_col: str, dim: int = 384) -> DataFrame:
-    """The non-zero buckets of each text as rows ``id, bucket, weight``; row-local, no shuffle."""
-    vectors = df.select(id_col, HashingEncoder(dim, normalize=False)(F.col(text_col)).alias("_v"))
-    return (
-        vectors.select(id_col, F.posexplode_outer("_v").alias("bucket", "_w"))
-        .where(F.col("_w") != 0)
-        .select(id_col, F.col("bucket").cast("bigint").alias("bucket"), F.col("_w").cast("bigint").alias("weight"))
-    )
+    """The non-zero buckets of each text as rows ``id, bucket, weight``; row-local, no shuffle, and no zero leaves its task."""
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("bucket", T.LongType()), T.StructField("weight", T.LongType())])
+
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _WordCodes(dim)
+        for batch in batches:
+            counts = _hash_counts([t or "" for t in batch.column(1).to_pylist()], dim, codes)
+            rows, buckets = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(buckets.astype(np.int64)), pa.array(counts[rows, buckets].astype(np.int64))],
+                                             names=[id_col, "bucket", "weight"])
+
+    return df.select(id_col, F.lower(text_col).alias("_text")).mapInArrow(sparse, schema)
+
+
+def loader_named(name: str) -> Callable:
+    """The loader that ``package.module:function`` names, for a model given on the command line."""
+    module, colon, function = name.partition(":")
+    if not colon:
+        raise ValueError("a model is named as package.module:function")
+    return getattr(importlib.import_module(module), function)

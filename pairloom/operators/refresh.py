@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pairloom.functions.hashing import shuffle_key
 from pairloom.functions.vectors import DECIMALS, cosine
+from pairloom.operators.blocks import band_join
 from pairloom.operators.pairs import HARD_NEGATIVE, POSITIVE, run_time
+from pairloom.operators.positions import hash_position
 from pairloom.operators.splits import first_rows
 from pairloom.session import counted_broadcast, stage
 
@@ -32,7 +34,37 @@ def _numbered(df: DataFrame, n: int, seed, tag: str, id_col: str, name: str, enc
     return encode(rows) if encode else rows
 
 
-def refresh_candidates(pairs: DataFrame, seed, epoch: int, queries: int = QUERIES, candidates: int = CANDIDATES,
+def band_candidates(pairs: DataFrame, seed, epoch: int, per_query: int = CANDIDATES, band=BAND, exclude_known: bool = True,
+                    id_col: str = "training_sample_id", query_vec: str = "query_vec", doc_vec: str = "doc_vec", query_carry=(), doc_carry=(),
+                    encode=None) -> DataFrame:
+    """Every positive with ``per_query`` documents drawn from all those inside the band, as ``refresh_candidates`` gives them.
+
+    Nothing is sampled beforehand: all pairs are compared in rectangles (``blocks.band_join``), and only ids and similarities leave them.
+    A known positive of a query is left out after the join, for which each query gets as many documents more as it can have of these.
+    """
+    tag = f"refresh{epoch}"
+    rows = stage(encode(pairs) if encode else pairs, "refresh-rows")
+    positives = rows.where(F.col("label") == POSITIVE)
+    numbered = hash_position(positives.select(id_col), shuffle_key(seed, f"{tag}q", F.col(id_col)), "_i", ties=[id_col])
+    known = positives.select("query_id", F.col("document_id").alias("_doc")).distinct()
+    spare = (rows.groupBy("query_id").agg(F.count_if(F.col("label") == POSITIVE).alias("n")).agg(F.max("n")).first()[0] or 0) if exclude_known else 0
+    if exclude_known and spare:
+        # A document may stand in several rows.
+        spare *= rows.groupBy("document_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    found = band_join(positives.select(F.col(id_col).alias("query_id"), F.col(query_vec).alias("query_vec")),
+                      rows.select(F.col(id_col).alias("doc_id"), F.col(doc_vec).alias("doc_vec")), per_query + spare, band, f"{seed}:{tag}")
+    found = stage(found.select(F.col("query_id").alias("_q"), F.col("doc_id").alias("_d"), F.col("similarity").alias("similarity_score"), "priority"), "band")
+    met = found.join(rows.select(F.col(id_col).alias("_q"), "query_id"), "_q").join(rows.select(F.col(id_col).alias("_d"), F.col("document_id").alias("_doc")), "_d")
+    if exclude_known:
+        met = met.join(known, ["query_id", "_doc"], "left_anti")
+    order = Window.partitionBy("_q").orderBy("priority", "_d")
+    chosen = met.withColumn("_j", F.row_number().over(order) - 1).where(F.col("_j") < per_query).join(numbered.withColumnRenamed(id_col, "_q"), "_q")
+    asked = rows.select(F.col(id_col).alias("_q"), "query_text", *query_carry)
+    docs = rows.select(F.col(id_col).alias("_d"), "document_text", *doc_carry)
+    return chosen.join(asked, "_q").join(docs, "_d")
+
+
+def refresh_candidates(pairs: DataFrame, seed, epoch: int, queries: int | None = QUERIES, candidates: int | None = CANDIDATES,
                        band=BAND, exclude_known: bool = True, id_col: str = "training_sample_id",
                        query_vec: str = "query_vec", doc_vec: str = "doc_vec", query_carry=(),
                        doc_carry=(), encode=None) -> DataFrame:
@@ -43,7 +75,13 @@ def refresh_candidates(pairs: DataFrame, seed, epoch: int, queries: int = QUERIE
     samples are bounded by the parameters. ``exclude_known`` leaves out documents that are a known positive
     of the same query. ``query_carry`` and ``doc_carry`` name columns to keep from either side. ``encode``
     maps a frame of sampled rows to one with the vector columns, where those are not stored.
+    With ``queries=None`` and ``candidates=None`` nothing is sampled: see ``band_candidates``.
     """
+    if queries is None and candidates is None:
+        return band_candidates(pairs, seed, epoch, band=band, exclude_known=exclude_known, id_col=id_col, query_vec=query_vec, doc_vec=doc_vec,
+                               query_carry=query_carry, doc_carry=doc_carry, encode=encode)
+    if queries is None or candidates is None:
+        raise ValueError("queries and candidates are both sampled or both not")
     tag = f"refresh{epoch}"
     asked = stage(_numbered(pairs.where(F.col("label") == POSITIVE), queries, seed, f"{tag}q", id_col, "_i", encode).select(
         "_i", F.col("query_id"), F.col("query_text"), F.col(query_vec).alias("_qv"), *query_carry), "asked")

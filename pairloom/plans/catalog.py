@@ -42,6 +42,7 @@ KEY_BUCKETS = 16
 LIFETIMES = {"click": 7, "view": 14, "signup": 30}
 FIRST = 200
 BAND = (0.1, 0.8)
+REFRESH_ALL = 200
 EVENTS_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("event_type", T.StringType()),
@@ -478,6 +479,13 @@ def q_refresh_negatives(spark, folder):
         "training_sample_id", "label", "similarity_score", "query_id", "document_id", "event_timestamp")
 
 
+def q_refresh_all(spark, folder):
+    """All positives against all documents of the default band, drawn by priority; nothing is sampled first."""
+    pairs_now = stage(vector_pairs(spark, folder), "pairs")
+    return refresh_hard_negatives(pairs_now, RUN_TS, SEED, 5, REFRESH_ALL, queries=None, candidates=None).select(
+        "training_sample_id", "label", "similarity_score", "query_id", "document_id", "event_timestamp")
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     doubles = {f.name for f in df.schema if f.dataType.typeName() == "double"}
     return df.select(*[F.round(c, DECIMALS).alias(c) if c in doubles else F.col(c) for c in df.columns])

@@ -240,6 +240,30 @@ UNION ALL
 SELECT 'dynamic_hard_' || n || '_20240201000000', 'hard_negative', s, 'dynamic_' || query_id, 'dynamic_doc_' || j,
        {STAMP} FROM new"""
 
+def _band_draw(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+REFRESH_ALL = f"""WITH {VECTOR_PAIRS},
+asked AS (SELECT *, row_number() OVER (ORDER BY md5('{c.SEED}:refresh5q:' || training_sample_id), training_sample_id) - 1 AS i FROM pairs WHERE label = 'positive'),
+met AS (
+  SELECT a.i, a.query_id, d.training_sample_id AS d, d.document_id AS doc, round(list_cosine_similarity(a.qv, d.dv), 6) AS s,
+         xor({_band_draw(f"'{c.SEED}:refresh5:' || a.training_sample_id")}, {_band_draw(f"'{c.SEED}:refresh5:' || d.training_sample_id")}) AS priority
+  FROM asked a CROSS JOIN pairs d),
+banded AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY priority, d) - 1 AS j FROM met m WHERE s > 0.4 AND s < 0.8 AND NOT EXISTS (
+    SELECT 1 FROM pairs k WHERE k.label = 'positive' AND k.query_id = m.query_id AND k.document_id = m.doc)),
+new AS (
+  SELECT *, row_number() OVER (ORDER BY i, j) - 1 AS n FROM banded WHERE j < 10
+  QUALIFY n < least({c.REFRESH_ALL}, (SELECT count(*) FROM pairs WHERE label = 'hard_negative'))),
+old AS (
+  SELECT training_sample_id FROM pairs WHERE label = 'hard_negative'
+  QUALIFY row_number() OVER (ORDER BY event_timestamp, training_sample_id) <= (SELECT count(*) FROM new))
+SELECT training_sample_id, label, similarity_score, query_id, document_id, event_timestamp FROM pairs
+WHERE training_sample_id NOT IN (SELECT training_sample_id FROM old)
+UNION ALL
+SELECT 'dynamic_hard_' || n || '_20240201000000', 'hard_negative', s, 'dynamic_' || query_id, 'dynamic_doc_' || j, {STAMP} FROM new"""
+
 LOSS = """0.5 * (CASE WHEN label = 'positive' THEN (1 - similarity) * (1 - similarity)
                  ELSE power(greatest(0.0, 0.5 - (1 - similarity)), 2) END)"""
 
@@ -413,6 +437,7 @@ FROM chunked t LEFT JOIN hashed h ON h.id = t.id GROUP BY t.id""",
     "on_demand_lookup": f"""WITH asked AS (SELECT item_id AS id, text FROM benchmark), hashed AS ({counts("asked", "text")})
 {adapted("asked", "hashed", "item_id")}""",
     "refresh_negatives": REFRESH,
+    "refresh_all": REFRESH_ALL,
     "eval_by_label": f"""WITH {VECTOR_PAIRS}
 SELECT label, count(*) AS n, round(avg(similarity), 6) AS mean_similarity FROM pairs GROUP BY label""",
     "eval_gaps": f"""WITH {VECTOR_PAIRS}, m AS (

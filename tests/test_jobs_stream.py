@@ -143,3 +143,38 @@ def test_command_line(spark, built, tmp_path, capsys):
     again = str(tmp_path / "again")
     assert main(["reembed", "-i", f"{root}/passages.parquet", "-o", again, "--dim", "64", "--adapter", f"{run}/adapter"]) == 0
     assert VersionedTable(spark, again).read().count() == spark.read.parquet(f"{root}/passages.parquet").count()
+
+
+def test_searches_on_the_command_line(spark, built, tmp_path, capsys):
+    root, _ = built
+    store, asked, out = str(tmp_path / "online"), str(tmp_path / "asked.parquet"), str(tmp_path / "out")
+    encoder = HashingEncoder(64)
+    passages = spark.read.parquet(f"{root}/passages_chunked.parquet").withColumn("embeddings", encoder(F.col("text"))).withColumn(
+        "event_timestamp", F.when(F.length("text") % 2 == 0, F.lit("2024-01-01")).otherwise("2024-01-09").cast("timestamp_ntz"))
+    views = tmp_path / "views"
+    passages.select("id", "text", "embeddings", "event_timestamp").write.parquet(str(views / "passages_chunked.parquet"))
+    assert main(["materialize", "--data-dir", str(views), "-o", store, "--view", "wiki_passages", "--dim", "64", "--end", "2024-01-05"]) == 0
+    early = FeatureStore(spark, store, standard_views("unused", 64)).online("wiki_passages")
+    assert 0 < early.count() < passages.count() and early.where("event_timestamp > '2024-01-05'").isEmpty()
+    first = early.where("length(text) > 40").orderBy("id").limit(5)
+    first.select(F.col("id").alias("question_id"), F.col("text").alias("question")).write.parquet(asked)
+    base = ["--store", store, "-i", asked, "--top-k", "2", "--dim", "64"]
+    assert main(["answer", *base, "-o", out + "1"]) == 0
+    assert main(["answer", *base, "-o", out + "2", "--index-lists", "4"]) == 0
+    plain, listed = ({tuple(r) for r in spark.read.parquet(out + n).select("question_id", "id", "distance", "rank").collect()} for n in "12")
+    assert plain == listed and sum(r[3] == 0 and r[2] == 1.0 for r in plain) == 5
+    vectors = str(tmp_path / "vectors.parquet")
+    spark.read.parquet(asked).select("question_id", encoder(F.col("question")).alias("query_embedding")).write.parquet(vectors)
+    assert main(["search", "--store", store, "-i", vectors, "--top-k", "2", "--dim", "64", "-o", out + "3", "--features", "text", "event_timestamp"]) == 0
+    by_vector = spark.read.parquet(out + "3")
+    assert {tuple(r) for r in by_vector.select("question_id", "id", "distance", "rank").collect()} == plain and "event_timestamp" in by_vector.columns
+
+
+def test_a_model_named_on_the_command_line(spark, built, tmp_path):
+    root, _ = built
+    out = str(tmp_path / "again")
+    assert main(["reembed", "-i", f"{root}/passages.parquet", "-o", out, "--dim", "3", "--base-model", "test_model:load"]) == 0
+    row = VersionedTable(spark, out).read().where("text is not null").first()
+    assert [round(x) for x in row.embeddings] == [len(row.text), row.text.count(" "), 1]
+    with pytest.raises(ValueError, match="package.module:function"):
+        main(["reembed", "-i", f"{root}/passages.parquet", "-o", out, "--base-model", "nothing"])
