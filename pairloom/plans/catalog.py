@@ -43,6 +43,8 @@ LIFETIMES = {"click": 7, "view": 14, "signup": 30}
 FIRST = 200
 BAND = (0.1, 0.8)
 REFRESH_ALL = 200
+LOG_DIM = 32
+LOG_CONFIG = jobs.TrainConfig(epochs=3, batch_size=64, learning_rate=1.0, world_size=2, warmup=5, hard_negative_update_freq=2)
 EVENTS_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("event_type", T.StringType()),
@@ -526,6 +528,25 @@ def q_adapter_training_sharded(spark, folder):
     return spark.createDataFrame(rows, "epoch long, loss double, n_rows long, n_steps long, final_trace double")
 
 
+def _trained(spark, folder) -> str:
+    """The folder of a training run over the stored training set."""
+    target = scratch_path(spark, "run")
+    jobs.train_job(spark, stored_training_set(spark, folder), HashingEncoder(LOG_DIM), target, LOG_CONFIG, dt.datetime.fromisoformat(RUN_TS))
+    return target
+
+
+def q_training_log(spark, folder):
+    """Sizes, labels and steps that a run has written after each epoch; one refresh lies between the second and the third."""
+    log = spark.read.parquet(f"{_trained(spark, folder)}/metrics")
+    return log.where("tag like 'Dataset/%' or tag = 'Training/Steps'").select("tag", "step", "value")
+
+
+def q_run_record(spark, folder):
+    return spark.read.parquet(f"{_trained(spark, folder)}/runs").select(
+        "base_model", "loss_function", "epochs", "batch_size", "learning_rate", "world_size", "hard_negative_update_freq", "epochs_completed", "timestamp",
+        "warmup_steps", "steps")
+
+
 QUERIES = {name[2:]: f for name, f in list(globals().items()) if name.startswith("q_")}
 # The same join with keys cut into time slices, as for a key that holds much of the data.
 QUERIES["pit_features_sliced"] = partial(q_pit_features, hot_rows=10)

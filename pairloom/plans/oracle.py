@@ -264,6 +264,21 @@ WHERE training_sample_id NOT IN (SELECT training_sample_id FROM old)
 UNION ALL
 SELECT 'dynamic_hard_' || n || '_20240201000000', 'hard_negative', s, 'dynamic_' || query_id, 'dynamic_doc_' || j, {STAMP} FROM new"""
 
+# Rows of each epoch of the logged run: a refresh puts as many hard negatives in as it takes out.
+LOGGED = f"""WITH {TRAINING}, {SPLIT},
+sizes AS (SELECT count(*) FILTER (split <> 'test') AS n, CAST(floor(0.8 * count(*) FILTER (split <> 'test')) AS BIGINT) AS train FROM split),
+per_epoch AS (SELECT CAST(ceil(ceil(train / {c.LOG_CONFIG.world_size}) / {c.LOG_CONFIG.batch_size}) AS BIGINT) AS steps FROM sizes),
+epochs AS (SELECT unnest(range(1, {c.LOG_CONFIG.epochs + 1}))::INTEGER AS step)"""
+LOG = f"""{LOGGED}
+SELECT tag, step, value::DOUBLE AS value FROM epochs, (
+  SELECT 'Dataset/Total_Size' AS tag, n AS value FROM sizes UNION ALL SELECT 'Dataset/Train_Size', train FROM sizes UNION ALL SELECT 'Dataset/Eval_Size', n - train FROM sizes
+  UNION ALL SELECT 'Dataset/' || label || '_count', count(*) FROM split WHERE split <> 'test' GROUP BY label)
+UNION ALL SELECT 'Training/Steps', step, step * steps FROM epochs, per_epoch"""
+RECORD = f"""{LOGGED}
+SELECT 'HashingEncoder' AS base_model, 'ContrastiveLoss' AS loss_function, {c.LOG_CONFIG.epochs}::INTEGER AS epochs, {c.LOG_CONFIG.batch_size}::INTEGER AS batch_size,
+  {c.LOG_CONFIG.learning_rate}::DOUBLE AS learning_rate, {c.LOG_CONFIG.world_size}::INTEGER AS world_size, {c.LOG_CONFIG.hard_negative_update_freq}::INTEGER AS hard_negative_update_freq,
+  {c.LOG_CONFIG.epochs}::INTEGER AS epochs_completed, {STAMP} AS timestamp, {c.LOG_CONFIG.warmup}::INTEGER AS warmup_steps, {c.LOG_CONFIG.epochs} * steps AS steps FROM per_epoch"""
+
 LOSS = """0.5 * (CASE WHEN label = 'positive' THEN (1 - similarity) * (1 - similarity)
                  ELSE power(greatest(0.0, 0.5 - (1 - similarity)), 2) END)"""
 
@@ -460,6 +475,8 @@ UNION ALL
 SELECT 'run', 'Dataset/' || label || '_count', 1, count(*)::DOUBLE FROM pairs GROUP BY label""",
     "contrastive_loss": f"""WITH {VECTOR_PAIRS}
 SELECT count(similarity) AS n, round(avg({LOSS}), 6) AS loss FROM pairs""",
+    "training_log": LOG,
+    "run_record": RECORD,
     "adapter_training": full_batch(),
     "adapter_training_sharded": local_steps(),
     "view_validation": f"""WITH {PASSAGES},
