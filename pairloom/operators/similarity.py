@@ -319,6 +319,67 @@ def assign_to_lists(docs: DataFrame, doc_id: str, doc_vec: str, centroids: np.nd
                        {s["_list"]: s["r"] for s in stats}, keep_copies)
 
 
+def extend_index(index: VectorIndex, docs: DataFrame, doc_id: str, doc_vec: str, group_col: str | None = None, max_list: int | None = None,
+                 seed: int = 42) -> VectorIndex:
+    """The index with new and changed docs (one row per id) in place of what it held of these ids; nothing is trained again.
+
+    Only ``docs`` are assigned, to the centroids there are. The radius of a list widens to its farthest new doc, so its bound stays
+    valid and exact searches stay exact. A list of more than ``max_list`` docs is split in two by a 2-means of its own docs, the only ones
+    that are assigned again; a list of equal vectors stays whole. A doc that has lost its vector leaves the index.
+    """
+    if index.keep_copies is not None:
+        raise ValueError("an index that keeps few copies cannot tell which of them a change concerns")
+    fresh = assign_to_lists(docs, doc_id, doc_vec, index.centroids, group_col)
+    left = index.docs.join(docs.select(F.col(doc_id).alias("doc_id")), "doc_id", "left_anti").select(*index.docs.columns)
+    merged = stage(left.unionByName(fresh.docs), "lists")
+    sizes = {r["_list"]: r["n"] for r in merged.groupBy("_list").agg(F.count("*").alias("n")).collect()}
+    radius = {c: max(index.radius.get(c, 0.0), fresh.radius.get(c, 0.0)) for c in sizes}
+    out, whole = VectorIndex(merged, index.centroids, sizes, radius), set()
+    while max_list and (big := sorted(c for c, n in out.sizes.items() if n > max_list and c not in whole)):
+        out = _split_lists(out, big, whole, seed)
+    return out
+
+
+def _split_lists(index: VectorIndex, big: list, whole: set, seed: int) -> VectorIndex:
+    """Each list of ``big`` in two, the second under a new number; lists that have one direction only join ``whole``."""
+    centroids, halves = index.centroids, {}
+    for c in big:
+        two = train_centroids(index.docs.where(F.col("_list") == c), "doc_id", "doc_vec", 2, seed)
+        if len(two) < 2 or np.allclose(two[0], two[1]):
+            whole.add(c)
+            continue
+        halves[c] = len(centroids)
+        centroids = np.concatenate([centroids, two[1:]])
+        centroids[c] = two[0]
+    if not halves:
+        return index
+    new, place = centroids, index.docs.columns.index("_list")
+    schema = T.StructType([*index.docs.schema.fields, T.StructField("_angle", T.DoubleType())])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(place).to_numpy().copy()
+            angle = np.full(len(lists), -1.0)
+            rows = np.flatnonzero(np.isin(lists, list(halves)))
+            if len(rows):
+                unit = _unit(as_matrix(batch.column(batch.schema.get_field_index("doc_vec")).take(pa.array(rows))))
+                first, second = lists[rows], np.array([halves[c] for c in lists[rows]])
+                a, b = (unit * new[first]).sum(axis=1), (unit * new[second]).sum(axis=1)
+                lists[rows] = np.where(b > a, second, first)
+                angle[rows] = np.arccos(np.clip(np.maximum(a, b), -1, 1))
+            columns = [pa.array(lists) if i == place else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(angle)], names=[*batch.schema.names, "_angle"])
+
+    split = stage(index.docs.mapInArrow(again, schema), "lists")
+    stats = split.groupBy("_list").agg(F.count("*").alias("n"), F.max("_angle").alias("r")).collect()
+    radius = {s["_list"]: s["r"] if s["r"] >= 0 else index.radius[s["_list"]] for s in stats}
+    sizes = {s["_list"]: s["n"] for s in stats}
+    for c, other in halves.items():
+        if not (sizes.get(c) and sizes.get(other)):
+            whole |= {c, other}
+    return VectorIndex(split.drop("_angle"), centroids, sizes, radius)
+
+
 def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
     """One row per query and list that ``choose(cosines, bounds)`` selects."""
     centroids = index.centroids

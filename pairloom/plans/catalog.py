@@ -15,7 +15,7 @@ from pairloom.operators.encode import HashingEncoder, hashed_counts, with_vector
 from pairloom.operators.materialize import latest_per_key
 from pairloom.operators.pit import point_in_time
 from pairloom.operators.refresh import refresh_hard_negatives
-from pairloom.operators.similarity import block_topk, build_index, probe_topk, pruned_topk, topk_join
+from pairloom.operators.similarity import block_topk, build_index, extend_index, probe_topk, pruned_topk, topk_join
 from pairloom.operators.train import AdaptedEncoder, train_adapter, train_sharded
 from pairloom.plans import jobs
 from pairloom.plans.store import FeatureStore
@@ -458,6 +458,14 @@ def q_vector_topk_blocks(spark, folder):
     return _found(block_topk(v, build_index(v, "vec_id", "embedding", LISTS, SEED), 5, **_SEARCH)[0])
 
 
+def q_vector_topk_followed(spark, folder):
+    """An index of two thirds of the vectors that then follows the rest, with lists split beyond a size: nothing is trained again."""
+    v = embeddings(spark, folder)
+    index = build_index(v.where("vec_id % 3 <> 0"), "vec_id", "embedding", LISTS, SEED)
+    index = extend_index(index, v.where("vec_id % 3 = 0"), "vec_id", "embedding", max_list=2 * sum(index.sizes.values()) // LISTS)
+    return _found(pruned_topk(v, index, 5, **_SEARCH))
+
+
 def q_vector_topk_ivf(spark, folder):
     """All lists are probed, which is exact; fewer give the approximate form."""
     v = embeddings(spark, folder)

@@ -436,6 +436,7 @@ FROM customer LEFT JOIN ({latest("ts DESC, event_id DESC")}) ON user_id = c_cust
     "vector_topk": TOP5,
     "vector_topk_pruned": TOP5,
     "vector_topk_blocks": TOP5,
+    "vector_topk_followed": TOP5,
     "vector_topk_ivf": TOP5,
     "rag_answer": f"""WITH {PASSAGES},
 chunked AS (SELECT {CHUNK_ID} AS id, piece AS text FROM ({chunks('passages')})),

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.operators.encode import with_vector
 from pairloom.operators.materialize import latest_per_key, online_lookup, time_window
 from pairloom.operators.pit import AsOfSource, point_in_time_many
-from pairloom.operators.similarity import VectorIndex, probe_topk, pruned_topk, topk_join
+from pairloom.operators.similarity import VectorIndex, build_index, extend_index, probe_topk, pruned_topk, topk_join
+from pairloom.session import stage
 from pairloom.sources.keyed import KeyedTable
 from pairloom.sources.versions import VersionedTable, last_upto
 from pairloom.sources.views import FeatureView, Registry
@@ -136,6 +137,32 @@ class FeatureStore:
         columns = [f.partition(":")[2] for f in features] or ["text"]
         return found.join(table.select(key, *columns), key)
 
+    def vector_index(self, name: str, lists: int, seed: int = 42) -> tuple[VectorIndex, int]:
+        """A centroid index of the online table, and the version it holds."""
+        view = self.registry.online_view(name)
+        version = self.online_table(name).history()[-1]["version"]
+        return build_index(self.online(name, version), view.keys[0], view.vector.name, lists, seed), version
+
+    def follow(self, name: str, index: VectorIndex, since: int, max_list: int | None = None) -> tuple[VectorIndex, int]:
+        """The index with what the online table has got since version ``since``: only keys of later deltas are assigned.
+
+        Their current rows count, so a late row that lost against a newer one changes nothing. A new base written by ``materialize`` is
+        compared as a whole.
+        """
+        view, table = self.registry.online_view(name), self.online_table(name)
+        past = table.history()
+        later = [(before, r) for before, r in zip([None, *past], past) if r["version"] > since]
+        if not later:
+            return index, since
+        # A base right behind a delta of its own run only rewrites what is there; any other base brings rows of its own.
+        written = [r for before, r in later if r["kind"] == "delta" or before is None or (before["kind"], before["run_id"]) != ("delta", r["run_id"])]
+        now = self.online(name)
+        if written:
+            keys = table.read_parts(written).select(*view.keys).distinct()
+            changed = stage(now.join(keys, list(view.keys), "left_semi"), "changed")
+            index = extend_index(index, changed, view.keys[0], view.vector.name, max_list=max_list)
+        return index, past[-1]["version"]
+
     def answer(self, name: str, questions: DataFrame, question_id: str, text_col: str, encoder, top_k: int = 10,
                **search) -> DataFrame:
         """Questions to passages: encode each question, then search the view."""
