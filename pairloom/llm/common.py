@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{BLANKS}]+"), lambda w: w != "")
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system: a worker serves task after task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidy(run):
     """A function over Arrow batches that gives memory back at the end of its task.
 
@@ -40,10 +50,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return wrapped
 

@@ -13,12 +13,13 @@ columns are not read. Ties go to the language first in the alphabet.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.llm.common import tidy
+from pairloom.llm.common import give_back, tidy
 
 UNKNOWN = "und"
 HIDDEN, SEGMENT, PIECE, PER_LANGUAGE = 8, 128, 256, 500
@@ -260,3 +261,23 @@ def predict(docs: DataFrame, net: ByteNetwork | None, keep=()) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").alias("_text"), *kept)
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
     return rows.mapInArrow(run, ", ".join([schema, *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)]))
+
+
+def told(net: ByteNetwork | None, least: float) -> Callable[[Column], Column]:
+    """Whether the language of a text can be told with at least this score; only the text travels to Python, and one boolean back."""
+
+    @F.arrow_udf("boolean")
+    def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out, held, size = [], [], 0
+            for i, text in enumerate(batch):
+                held.append(text.as_py() or "")
+                size += len(held[-1])
+                if size > PASS or i + 1 == len(batch):
+                    found = label_texts(net, held) if net else [(UNKNOWN, 0.0)] * len(held)
+                    out += [lang != UNKNOWN and score >= least for lang, score in found]
+                    held, size = [], 0
+            yield pa.array(out, pa.bool_())
+            give_back()
+
+    return known

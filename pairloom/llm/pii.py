@@ -22,11 +22,12 @@ import hashlib
 import math
 import random
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.llm.common import id_and_text, tidy
+from pairloom.llm.common import give_back, id_and_text, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the base spans.
@@ -397,14 +398,16 @@ def mask_column(docs: DataFrame, text: Column, sample: int = SAMPLE) -> Column:
     weights = train(training_windows(id_and_text(docs), sample))
 
     @F.arrow_udf("string")
-    def mask(values: pa.Array) -> pa.Array:
-        out = []
-        for value in values:
-            value = value.as_py()
-            if value is not None and _SIGN.search(value):
-                base = base_spans(value)
-                value = masked(value, base + added_spans(value, base, weights))
-            out.append(value)
-        return pa.array(out, pa.string())
+    def mask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for values in batches:
+            out = []
+            for value in values:
+                value = value.as_py()
+                if value is not None and _SIGN.search(value):
+                    base = base_spans(value)
+                    value = masked(value, base + added_spans(value, base, weights))
+                out.append(value)
+            yield pa.array(out, pa.string())
+            give_back()
 
     return mask(text)
