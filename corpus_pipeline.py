@@ -34,12 +34,7 @@ def least_score(languages: int) -> float:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = language.model(docs)
-    # The documents' own columns go along under reserved names, so that none of them meets a result of its name.
-    own = {f"_own{i}": c for i, c in enumerate(docs.columns)}
-    renamed = docs.select("doc_id", "text", *[F.col(c).alias(name) for name, c in own.items()])
-    kept = language.predict(renamed, net, keep=list(own))
-    kept = kept.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least_score(len(net.labels) if net else 0)))
-    return kept.select(*[F.col(name).alias(c) for name, c in own.items()])
+    return docs.filter(language.told(net, least_score(len(net.labels) if net else 0))(F.col("text")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
