@@ -12,6 +12,9 @@ anything; ``c`` spare segments make up for the first ``c`` empty ones of a set,
 are signed. ``allocate`` chooses a, b and c for each band by the rows and the false pairs they are expected to
 cost, from the counts of all sizes.
 
+Verification. A pair is first tested by the parities of both sets, a few bits a shingle, each of which a differing shingle flips:
+more differing bits than a link allows differing shingles rule it out exactly. Only what passes moves whole sets.
+
 Groups. A signature shared by g sets gives g - 1 pairs with its smallest id, not g * g. Each set is first checked
 against the partner it shares most signatures with; pairs already connected need no check. What is left are
 signatures whose sets still lie in different groups. Up to ``HOT`` sets, all pairs across groups are checked. The sets of
