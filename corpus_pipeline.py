@@ -10,7 +10,9 @@
 5. ``tokens``: what is left is encoded, and a digest shows that it decodes again.
 
 Each stage works on whatever its predecessor kept and returns the columns of ``documents``, the last one its digest
-columns. An empty table stays empty; null texts are dropped by the first stage.
+columns. An empty table stays empty; null texts are dropped by the first stage. Extra columns go along unchanged, whatever their names, up to the
+last stage. Repeated rows of an id share its fate: all stay or all go. Of a group the smallest id stays, so there are no ties. Texts of any
+length are read whole, one at a time in a task.
 """
 
 from __future__ import annotations
