@@ -83,3 +83,53 @@ def test_no_rows(spark):
     assert language.predict(empty, language.model(empty)).count() == 0
     only = documents(spark, [(1, "word", None)])
     assert language.predict(only, language.model(only)).first().lang_pred == "und"
+
+
+def plain_label(net, text):
+    """Every byte on its own, in ordinary floating-point numbers."""
+    import math
+
+    w, n = {k: v.astype(float).tolist() for k, v in net.weights.items()}, net.hidden
+    data = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+    sigma = lambda v: 1 / (1 + math.exp(-v))
+
+    def states(part, side):
+        state, out = [0.0] * n, []
+        for byte in part:
+            back = [sum(state[i] * w["h" + side][i][j] for i in range(n)) for j in range(3 * n)]
+            x = w["x" + side][byte]
+            z, r = ([sigma(x[k + j] + back[k + j]) for j in range(n)] for k in (0, n))
+            new = [math.tanh(r[j] * (back[2 * n + j] + w["c" + side][j]) + x[2 * n + j]) for j in range(n)]
+            state = [new[j] + z[j] * (state[j] - new[j]) for j in range(n)]
+            out.append(state)
+        return out
+
+    total, counted = [0.0] * len(net.labels), 0
+    for at in range(0, len(data), language.SEGMENT):
+        part = data[at:at + language.SEGMENT]
+        for byte, f, b in zip(part, states(part, "f"), states(part[::-1], "b")[::-1]):
+            if 97 <= byte <= 122 or byte >= 128:
+                logits = [sum((f + b)[i] * w["out"][i][k] for i in range(2 * n)) + w["bias"][k] for k in range(len(net.labels))]
+                odds = [math.exp(v - max(logits)) for v in logits]
+                total = [t + o / sum(odds) for t, o in zip(total, odds)]
+                counted += 1
+    if not counted or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    best = max(range(len(total)), key=lambda k: total[k])
+    return net.labels[best], total[best] / counted
+
+
+def test_labels_equal_a_plain_run_over_the_bytes(net):
+    texts = [spoken(k, n, n) for k in SOUNDS for n in (1, 7, 60)] + ["KA to Éau", "", "12 34", "x", "é" * 200, spoken("aa", 30, 1) + " " + spoken("bb", 30, 2)]
+    for (lang, score), text in zip(language.label_texts(net, texts), texts):
+        want, value = plain_label(net, text)
+        assert (lang, score) == (want, pytest.approx(value, abs=2e-5)), text
+
+
+def test_told_is_the_filter_of_the_predictions(spark, net):
+    rows = [(i, t) for i, t in enumerate([None, "", "1 2 3", spoken("aa", 9, 1), spoken("bb", 9, 1), "ka sch éau", "?"])]
+    docs = clashing(documents(spark, rows)).repartition(3)
+    for least in (0.0, 0.6, 1.1):
+        want = {r.doc_id for r in language.predict(docs, net).collect() if r.lang_pred != "und" and r.score >= least}
+        assert {r.doc_id for r in docs.filter(language.told(net, least)(docs["text"])).collect()} == want
+    assert docs.filter(language.told(None, 0.0)(docs["text"])).count() == 0
