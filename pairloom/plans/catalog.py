@@ -8,7 +8,7 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pairloom.functions.vectors import DECIMALS, dot
+from pairloom.functions.vectors import DECIMALS, batched_cosine, dot
 from pairloom.operators import evaluate, pairs, quality, splits
 from pairloom.operators.chunk import chunk, chunk_profile
 from pairloom.operators.encode import HashingEncoder, hashed_counts, with_vector
@@ -41,6 +41,7 @@ LISTS = 16
 KEY_BUCKETS = 16
 LIFETIMES = {"click": 7, "view": 14, "signup": 30}
 FIRST = 200
+SELF_IN_TEN = (10, 5, 4, 1)
 BAND = (0.1, 0.8)
 REFRESH_ALL = 200
 LOG_DIM = 32
@@ -513,6 +514,20 @@ def q_eval_final(spark, folder):
     return _rounded(evaluate.final_metrics(vector_pairs(spark, folder)))
 
 
+def q_eval_grades(spark, folder):
+    """Grades of four sets of positives, in which so many in ten vectors meet themselves and the others another vector."""
+    p = stage(vector_pairs(spark, folder).withColumn("_own", F.pmod(F.substring("query_id", 2, 20).cast("bigint"), F.lit(10))), "pairs")
+    negatives = p.where("label <> 'positive'").select("label", "similarity")
+    out = None
+    for share in SELF_IN_TEN:
+        own = F.when(F.col("_own") < share, batched_cosine("query_vec", "query_vec")).otherwise(F.col("similarity"))
+        rows = p.select(F.lit(pairs.POSITIVE).alias("label"), own.alias("similarity")).unionByName(negatives)
+        row = evaluate.final_metrics(rows).select(F.lit(share).cast("bigint").alias("self_in_ten"), "positive_similarity_mean", "negative_similarity_mean",
+                                                  "overall_quality_score", "grade")
+        out = row if out is None else out.unionByName(row)
+    return _rounded(out)
+
+
 def q_eval_metrics_table(spark, folder):
     report = metrics.scalars(evaluate.final_metrics(vector_pairs(spark, folder)), "run", 1, "Final_Evaluation")
     counts = metrics.label_counts(vector_pairs(spark, folder), "run", 1)

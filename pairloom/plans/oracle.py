@@ -264,6 +264,14 @@ WHERE training_sample_id NOT IN (SELECT training_sample_id FROM old)
 UNION ALL
 SELECT 'dynamic_hard_' || n || '_20240201000000', 'hard_negative', s, 'dynamic_' || query_id, 'dynamic_doc_' || j, {STAMP} FROM new"""
 
+GRADES = f"""WITH {VECTOR_PAIRS},
+shares AS (SELECT unnest({list(c.SELF_IN_TEN)})::BIGINT AS k),
+means AS (SELECT k, avg(CASE WHEN CAST(substr(query_id, 2) AS BIGINT) % 10 < k THEN list_cosine_similarity(qv, qv) ELSE similarity END) AS p,
+  avg(similarity) FILTER (label <> 'positive') AS n FROM pairs, shares GROUP BY k),
+scored AS (SELECT *, (CASE WHEN p > 0 THEN least(p, 1.0) ELSE 0 END + CASE WHEN p - n > 0 THEN least((p - n) / 0.6, 1.0) ELSE 0 END) / 2 AS score FROM means)
+SELECT k AS self_in_ten, round(p, 6) AS positive_similarity_mean, round(n, 6) AS negative_similarity_mean, round(score, 6) AS overall_quality_score,
+  CASE WHEN score >= 0.8 THEN 'excellent' WHEN score >= 0.6 THEN 'good' WHEN score >= 0.4 THEN 'moderate' ELSE 'poor' END AS grade FROM scored"""
+
 # Rows of each epoch of the logged run: a refresh puts as many hard negatives in as it takes out.
 LOGGED = f"""WITH {TRAINING}, {SPLIT},
 sizes AS (SELECT count(*) FILTER (split <> 'test') AS n, CAST(floor(0.8 * count(*) FILTER (split <> 'test')) AS BIGINT) AS train FROM split),
@@ -467,6 +475,7 @@ SELECT round(pm, 6) AS positive_similarity_mean, round(ps, 6) AS positive_simila
        round(sep, 6) AS similarity_separation, round(score, 6) AS overall_quality_score,
        CASE WHEN score >= 0.8 THEN 'excellent' WHEN score >= 0.6 THEN 'good' WHEN score >= 0.4 THEN 'moderate'
             ELSE 'poor' END AS grade FROM final""",
+    "eval_grades": GRADES,
     "eval_metrics_table": f"""WITH {VECTOR_PAIRS}, {FINAL}
 SELECT 'run' AS run_id, 'Final_Evaluation/' || tag AS tag, 1::INTEGER AS step, round(value, 6) AS value FROM final,
   LATERAL (VALUES ('positive_similarity_mean', pm), ('positive_similarity_std', ps), ('negative_similarity_mean', nm),
