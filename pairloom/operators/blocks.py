@@ -95,8 +95,10 @@ class _Rectangle:
 
     def __init__(self, tables: list[pa.RecordBatch], k: int, floor: float, exclude_same_id: bool, grouped: bool, lists, lead):
         self.queries, self.k, self.exclude, self.grouped, self.lead = pa.Table.from_batches(tables), k, exclude_same_id, grouped, lead
-        self.matrix = as_matrix(self.queries["vec"])
-        self.lengths = row_lengths(self.matrix)
+        # Held as stored (floats take half of doubles); a slice becomes doubles where it is used, which is exact.
+        self.matrix = _stored(self.queries["vec"])
+        self.queries = self.queries.drop_columns(["vec"])
+        self.lengths = np.concatenate([row_lengths(self._doubles(slice(s, s + QUERY_SLICE))) for s in range(0, len(self.matrix), QUERY_SLICE)] or [np.zeros(0)])
         given = self.queries["kth"].fill_null(-np.inf).to_numpy()
         # A zero query has no similarity, so nothing reaches it.
         self.least = np.where(self.lengths > 0, np.maximum(given, floor), np.inf)
@@ -109,6 +111,9 @@ class _Rectangle:
             self.rest = np.sqrt(np.maximum(0, 1 - (self.front ** 2).sum(axis=1)))
         self.useful = True
 
+    def _doubles(self, rows) -> np.ndarray:
+        return self.matrix[rows].astype(np.float64)
+
     def active(self, number: int) -> np.ndarray:
         """The queries that have to meet a list."""
         if self.lists is None:
@@ -145,7 +150,7 @@ class _Rectangle:
         for start in range(0, len(queries), QUERY_SLICE):
             part = queries[start:start + QUERY_SLICE]
             scale = self.lengths[part][:, None] * dn[None, :]
-            dots = self.matrix[part] @ d.T
+            dots = self._doubles(part) @ d.T
             hits = dots >= (self.least[part] - SLACK)[:, None] * scale
             masks = list(_banned_pairs(self.queries.select(["query_id", *(["query_group"] if self.grouped else [])]).take(pa.array(part)), docs, self.exclude, self.grouped)(slice(None)))
             for mask in masks:
@@ -244,6 +249,20 @@ def draws(ids, seed: str) -> np.ndarray:
     return np.array([int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:15], 16) for i in ids.to_pylist()], np.int64)
 
 
+def _stored(column: pa.ChunkedArray) -> np.ndarray:
+    """The rows of a list column without nulls as a matrix of their own type, chunk by chunk into one array."""
+    chunks = [c for c in column.chunks if len(c)]
+    if not chunks:
+        return np.zeros((0, 0))
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in chunks]
+    out = np.empty((len(column), len(flat[0]) // len(chunks[0])), dtype=np.result_type(*flat))
+    at = 0
+    for chunk, values in zip(chunks, flat):
+        out[at:at + len(chunk)] = values.reshape(len(chunk), -1)
+        at += len(chunk)
+    return out
+
+
 def _top_k(k: int, floor: float | None, exclude_same_id: bool, grouped: bool, lists, lead):
     lowest = -math.inf if floor is None else floor
     return lambda waiting: _Rectangle(waiting, k, lowest, exclude_same_id, grouped, lists, lead)
@@ -268,10 +287,11 @@ def _stream(make, lists=None):
                 if kind == _QUERY:
                     waiting.append(part)
                     continue
-                if not waiting:
-                    continue
                 if rectangle is None:
-                    rectangle = make(waiting)
+                    if not waiting:
+                        continue
+                    # Queries come first in a cell: the rectangle holds them, the batches go.
+                    rectangle, waiting = make(waiting), []
                 if listed != number:
                     number, active = listed, rectangle.active(listed)
                     since = 0

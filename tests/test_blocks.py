@@ -117,3 +117,17 @@ def test_band_join_equals_its_definition(near, monkeypatch):
     got = blocks.band_join(*renamed, 4, (0.2, 0.7), "s", memory=16 * 8 * 150)
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 1000
     assert blocks.band_join(renamed[0].limit(0), renamed[1], 4, (0.2, 0.7), "s").count() == 0
+
+
+def test_a_query_block_holds_its_vectors_once():
+    """A block holds its vectors once, as stored (floats), chunk by chunk; a slice becomes doubles where it is used."""
+    import pyarrow as pa
+
+    vectors = [[1.0, 0.0, 2.0], [0.0, 3.0, 0.0], [4.0, 5.0, 6.0]]
+    kind = pa.list_(pa.float32())
+    tables = [pa.record_batch({"query_id": pa.array(ids), "vec": pa.array(vecs, kind), "kth": pa.array([None] * len(ids), pa.float64()),
+                               "list": pa.array([0] * len(ids), pa.int32())}) for ids, vecs in ((["a"], vectors[:1]), (["b", "c"], vectors[1:]))]
+    rectangle = blocks._top_k(1, None, True, False, None, None)(tables)
+    assert "vec" not in rectangle.queries.column_names
+    assert rectangle.matrix.dtype == np.float32 and rectangle.matrix.tolist() == vectors
+    assert rectangle.lengths.dtype == np.float64 and np.allclose(rectangle.lengths, np.linalg.norm(vectors, axis=1))
