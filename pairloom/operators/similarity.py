@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.hashing import draw
 from pairloom.functions.vectors import as_matrix, row_lengths
-from pairloom.operators.blocks import QUERY_BYTES, BlockReport, plain_rectangles, pruned_rectangles
+from pairloom.operators.blocks import QUERY_BYTES, BlockReport, _with_kept, plain_rectangles, probed_rectangles, pruned_rectangles
 from pairloom.operators.kernels import _banned_pairs, _cosines, _first_k, _keep_first_k, _round  # noqa: F401
 from pairloom.session import stage
 
-MAX_BLOCK = 4096         # rows of one side in a grid cell
 QUERY_SLICE = 512        # query rows multiplied at a time inside a cell
 SCAN_QUERIES = 256       # up to this many queries are sent to the docs instead of shuffling the docs
 SCAN_SLICE = 2048        # doc rows multiplied at a time in a scan
@@ -25,7 +24,6 @@ MAX_CELL_TASKS = 20_000
 COPIED_SHARE = 0.8       # below this share of distinct vectors, copies are compared once
 COPIED_PAIRS = 10 ** 9   # with fewer pairs to compare, looking for copies costs more than it saves
 MAX_CENTROIDS = 4096
-BOUND_SLACK = 1e-6       # covers the rounding of similarities and of the angle bound
 
 
 # ---------------------------------------------------------------- kernels (run inside tasks)
@@ -402,37 +400,6 @@ def _route(queries: DataFrame, index: VectorIndex, choose) -> DataFrame:
     return queries.mapInArrow(route, schema)
 
 
-def _listed_cells(routed: DataFrame, index: VectorIndex, k: int, floor: float | None, exclude_same_id: bool,
-                  grouped: bool, block: int) -> DataFrame:
-    """Search each routed (query, list). A list or query set over the block size is split by id hash.
-
-    The routing runs twice, for the counts and for the search, which costs less than storing routed vectors.
-    """
-    spark = routed.sparkSession
-    per_list = {r["_list"]: r["n"] for r in routed.groupBy("_list").agg(F.count("*").alias("n")).collect()}
-    plan = [(c, -(-n // block), -(-index.sizes[c] // block)) for c, n in per_list.items() if c in index.sizes]
-    # One row per centroid list, so at most MAX_CENTROIDS rows are broadcast.
-    first, numbered = 0, []
-    for c, qn, dn in plan:
-        numbered.append((c, qn, dn, first))
-        first += qn * dn
-    fans = F.broadcast(spark.createDataFrame(numbered, "_list int, _qn int, _dn int, _first long"))
-    cell = F.col("_first") + F.col("_qb") * F.col("_dn") + F.col("_db")
-    q = (
-        routed.join(fans, "_list")
-        .withColumn("_qb", F.pmod(F.xxhash64("query_id"), "_qn"))
-        .withColumn("_db", F.explode(F.sequence(F.lit(0), F.col("_dn") - 1)))
-        .withColumn("_cell", cell).drop("_list", "_qn", "_dn", "_first", "_qb", "_db")
-    )
-    d = (
-        index.docs.where(F.col("_list").isin([c for c, _, _ in plan])).join(fans, "_list")
-        .withColumn("_db", F.pmod(F.xxhash64("doc_id"), "_dn"))
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1)))
-        .withColumn("_cell", cell).drop("_list", "_qn", "_dn", "_first", "_qb", "_db")
-    )
-    return _run_cells(q, d, k, floor, exclude_same_id, grouped, first)
-
-
 def _nearest_lists(nprobe: int):
     def choose(cos: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
         order = np.argsort(-cos, axis=1, kind="stable")[:, :nprobe]
@@ -445,13 +412,30 @@ def _nearest_lists(nprobe: int):
 
 def probe_topk(queries: DataFrame, index: VectorIndex, k: int, nprobe: int, *, query_id: str, query_vec: str,
                floor: float | None = None, exclude_same_id: bool = True, query_group: str | None = None,
-               block: int = MAX_BLOCK, collapse: bool | None = None) -> DataFrame:
-    """Approximate top-k: every query searches its ``nprobe`` nearest lists. With all lists it is exact."""
+               block: int | None = None, collapse: bool | None = None) -> DataFrame:
+    """Approximate top-k: every query searches its ``nprobe`` nearest lists. With all lists it is exact.
+
+    Queries move as blocks, as in ``block_topk`` (``block`` queries at most, by default as many as memory allows), not once per list.
+    """
     index.check(k, exclude_same_id)
-    grouped = query_group is not None
+    grouped, dim, centroids = query_group is not None, index.centroids.shape[1], index.centroids
 
     def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
-        return _listed_cells(_route(asked, index, _nearest_lists(nprobe)), index, wanted, floor, exclude, grouped, block)
+        schema = T.StructType([*asked.schema.fields, T.StructField("_list", T.IntegerType()), T.StructField("_near", T.ArrayType(T.IntegerType()))])
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                matrix = as_matrix(batch.column(batch.schema.get_field_index("query_vec")))
+                if not len(matrix):
+                    continue
+                length = row_lengths(matrix)
+                batch, cos = batch.filter(pa.array(length > 0)), (matrix[length > 0] / length[length > 0][:, None]) @ centroids.T
+                near = np.argsort(-cos, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1, dtype=np.int32) * near.shape[1]), pa.array(near.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near[:, 0].copy()), lists], names=[*batch.schema.names, "_list", "_near"])
+
+        routed = stage(asked.mapInArrow(nearest, schema), "nearest")
+        return probed_rectangles(routed, index, wanted, floor, exclude, grouped, routed.count(), dim, _block_bytes(block, dim, wanted))
 
     q = _side(queries, "query", query_id, query_vec, query_group)
     return _search(q, sum(index.sizes.values()), k, exclude_same_id, grouped, collapse, run)
@@ -459,44 +443,31 @@ def probe_topk(queries: DataFrame, index: VectorIndex, k: int, nprobe: int, *, q
 
 def pruned_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str, query_vec: str,
                 floor: float | None = None, exclude_same_id: bool = True, query_group: str | None = None,
-                block: int = MAX_BLOCK, collapse: bool | None = None) -> DataFrame:
+                block: int | None = None, collapse: bool | None = None) -> DataFrame:
     """Exact top-k that skips lists which cannot hold a result.
 
     First every query searches its nearest list, which gives a lower bound for its k-th similarity. A doc
     of a list lies within the list's angular radius of the centroid, so by the triangle inequality on
     angles its cosine is at most ``cos(max(0, angle(query, centroid) - radius))``; only lists whose bound
-    reaches the query's lower bound (or the floor) are searched in the second pass.
+    reaches the query's lower bound (or the floor) are searched in the second pass. Queries move as blocks, as in
+    ``block_topk`` (``block`` queries at most, by default as many as memory allows), not once per list they reach.
     """
     index.check(k, exclude_same_id)
-    grouped = query_group is not None
-    lowest = -2.0 if floor is None else floor
-    radius = np.full(len(index.centroids), -np.inf)
-    for c, r in index.radius.items():
-        radius[c] = r
-
-    def within_reach(cos: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-        angle = np.arccos(np.clip(cos, -1, 1))
-        bound = np.cos(np.maximum(0.0, angle - radius[None, :])) + BOUND_SLACK
-        kth = batch.column(batch.schema.get_field_index("_kth")).fill_null(lowest).to_numpy(zero_copy_only=False)
-        nearest = batch.column(batch.schema.get_field_index("_nearest")).to_numpy(zero_copy_only=False)
-        wanted = (bound >= np.maximum(kth, lowest)[:, None]) & np.isfinite(radius)[None, :]
-        wanted[np.arange(len(cos)), nearest] = False
-        return wanted
+    grouped, dim = query_group is not None, index.centroids.shape[1]
 
     def run(asked: DataFrame, wanted: int, exclude: bool) -> DataFrame:
-        # The list each query searched first is stored with it, so that the second pass leaves out exactly that.
+        # The list each query searches first is stored with it, so that the second pass leaves out exactly that.
         routed = stage(_route(asked, index, _nearest_lists(1)), "nearest")
-        first = stage(_listed_cells(routed, index, wanted, floor, exclude, grouped, block), "first")
-        kth = _rank(first, wanted).where(F.col("rank") == wanted - 1).select(
-            "query_id", F.col("similarity").alias("_kth"))
-        ready = routed.withColumnRenamed("_list", "_nearest").join(kth, "query_id", "left")
-        second = _listed_cells(_route(ready, index, within_reach), index, wanted, floor, exclude, grouped, block)
-        return first.select("query_id", "doc_id", "similarity").unionByName(second)
+        return pruned_rectangles(routed, index, wanted, floor, exclude, grouped, routed.count(), dim, _block_bytes(block, dim, wanted), False)[0]
 
     q = _side(queries, "query", query_id, query_vec, query_group)
     return _search(q, sum(index.sizes.values()), k, exclude_same_id, grouped, collapse, run)
 
 
+def _block_bytes(block: int | None, dim: int, k: int) -> int:
+    return QUERY_BYTES if block is None else 8 * block * _with_kept(dim, k)
+
+
 def block_topk(queries: DataFrame, index: VectorIndex, k: int, *, query_id: str, query_vec: str, floor: float | None = None,
                exclude_same_id: bool = True, query_group: str | None = None, memory: int = QUERY_BYTES, use_lead: bool = True,
                collapse: bool | None = None) -> tuple[DataFrame, BlockReport]:
