@@ -392,13 +392,13 @@ def _rectangles(q: DataFrame, d: DataFrame, cells: int, make, grouped: bool = Fa
 
 
 def _shape(n_queries: int, n_docs: int, dim: int, slots: int, memory: int) -> tuple[int, int]:
-    """Query blocks, and parts of the docs: as few as memory allows, as many as keep every slot at work."""
+    """Query blocks, and parts of the docs: as few as memory allows, enough to keep every slot at work, with the fewest copies of rows."""
     rows = max(1, memory // (8 * max(dim, 1)))
-    blocks = max(1, -(-n_queries // rows))
-    parts = max(1, -(-n_docs // MAX_PART_DOCS), min(-(-2 * slots // blocks), n_docs // MIN_DOCS))
-    if blocks * parts < 2 * slots:
-        blocks = max(blocks, min(-(-2 * slots // parts), n_queries // MIN_QUERIES))
-    return blocks, parts
+    least, fewest = max(1, -(-n_queries // rows)), max(1, -(-n_docs // MAX_PART_DOCS))
+    wanted = range(least, max(least, min(2 * slots, n_queries // MIN_QUERIES)) + 1)
+    shapes = [(blocks, max(fewest, min(-(-2 * slots // blocks), n_docs // MIN_DOCS))) for blocks in wanted]
+    # A cell for every slot comes first, then the copies: each query goes to every part, each doc to every block.
+    return min(shapes, key=lambda s: (-min(s[0] * s[1], 2 * slots), s[0] * n_docs + s[1] * n_queries))
 
 
 def _with_kept(dim: int, k: int) -> int:

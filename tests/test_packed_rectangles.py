@@ -75,7 +75,7 @@ def test_probing_moves_a_query_once_a_part_not_once_a_list(spread_out, monkeypat
     laid = []
     monkeypatch.setattr(blocks, "_rectangles", lambda q, d, *a, f=blocks._rectangles, **b: laid.append((q.count(), d.count())) or f(q, d, *a, **b))
     assert result(sim.probe_topk(df, index, 3, 8, **QUERY_KEYS)) == brute(rows, 3)
-    assert laid == [(400, 400)]  # one block, one part: every query and every doc once
+    assert laid == [(400, 400)]  # one block and one part: every query and every doc once
     few = result(sim.probe_topk(df, index, 3, 2, **QUERY_KEYS))
     assert 0 < len(set(few) & set(brute(rows, 3))) < 1200
 
@@ -94,3 +94,9 @@ def test_vectors_move_packed(spread_out):
     _, df = spread_out
     got = sim.topk_join(df, df, 2, **QUERY_KEYS, doc_id="id", doc_vec="v", scan_queries=0, collapse=False)
     assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") >= 3  # both sides packed, then compared
+
+
+def test_cells_for_all_slots_copy_few_rows():
+    """One block of all queries would copy each of them to twelve parts."""
+    b, parts = blocks._shape(51_282, 51_282, 104, 6, blocks.QUERY_BYTES)
+    assert b * parts >= 12 and b + parts <= 8
